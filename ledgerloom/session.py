@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,9 +44,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from there."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` once to the shared checkpoint folder and go on from the written table.
+
+    Parquet rather than ``checkpoint()``: later passes read only the columns they need, and the
+    file size tells Spark whether the table may be broadcast.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
