@@ -18,12 +18,18 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 
 
 def keep_most_complete(
-    df: DataFrame, keys: Sequence[str], ties: Sequence[Column | str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    ties: Sequence[Column | str] = (),
+    counted: Sequence[str] | None = None,
 ) -> DataFrame:
-    """The row with the fewest NULLs; then ``ties``, then all columns, so the choice is stable."""
-    counted = df.withColumn("_missing", missing_count(df.columns))
+    """The row with the fewest NULLs; then ``ties``, then all columns, so the choice is stable.
+
+    ``counted`` names the columns whose NULLs count; all of them if not given.
+    """
+    marked = df.withColumn("_missing", missing_count(list(counted or df.columns)))
     rest = [F.col(name) for name in df.columns if name not in keys]
-    return keep_first(counted, keys, [F.col("_missing"), *ties, *rest]).drop("_missing")
+    return keep_first(marked, keys, [F.col("_missing"), *ties, *rest]).drop("_missing")
 
 
 def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
