@@ -164,7 +164,7 @@ PANEL_REQUIRED = (
     "company", "ticker", "cik", "period_end", "fiscal_year", "fiscal_quarter",
     "total_assets", "total_liabilities", "equity",
 )
-NOT_MEASURES = ("fiscal_year", "fiscal_quarter", "sic_code")
+NOT_MEASURES = ("cik", "fiscal_year", "fiscal_quarter", "sic_code")
 
 # --- Fixed values: ratio definitions as (numerator, denominator); no denominator = a difference.
 QUARTERLY_RATIOS = {

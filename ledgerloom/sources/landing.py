@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -15,3 +15,9 @@ def orphans(landed: DataFrame, universe: DataFrame, key: str = "ticker") -> Data
     """Landed documents whose upper-cased ticker is in no universe row; listed, never deleted."""
     known = universe.select(F.upper(key).alias("_known")).distinct()
     return landed.join(known, F.upper(landed[key]) == known["_known"], "left_anti")
+
+
+def landed_tickers(spark: SparkSession, path: str) -> DataFrame:
+    """Tickers of the documents in a folder, from file names alone; no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
+    return files.select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("ticker"))

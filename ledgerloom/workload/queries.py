@@ -209,7 +209,7 @@ def market_values(spark, sf_dir):
         features.with_ratios(joined, rules.MARKET_RATIOS).select(
             "cik", "period_end", "market_cap", "enterprise_value"
         ),
-        2,
+        4,
     )
 
 
