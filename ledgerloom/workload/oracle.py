@@ -565,7 +565,7 @@ VIEWS["clean7_tx"] = _winsor([*_LAG_NAMES, *_GROWN], "clean6_tx")
 add("clean_panel_full", f"""
 select cik, period_end, {', '.join(v.PANEL_FIELDS)}, balance_sheet_difference, balance_sheet_valid,
   {', '.join(_LAG_NAMES)}, {', '.join(_GROWN)} from clean7_tx""",
-    3, [*v.PANEL_FIELDS, "balance_sheet_difference", *_LAG_NAMES, *_GROWN])
+    6, [*v.PANEL_FIELDS, "balance_sheet_difference", *_LAG_NAMES, *_GROWN])
 
 
 def _nulls(names: list[str], source: str) -> str:

@@ -568,8 +568,7 @@ def clean_panel_full(spark, sf_dir):
     return v.rounded(
         cleaned.panel.select(
             "cik", "period_end", *v.PANEL_FIELDS, "balance_sheet_difference", "balance_sheet_valid", *lags, *growth
-        ),
-        3,
+        )
     )
 
 
