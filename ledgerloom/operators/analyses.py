@@ -12,7 +12,7 @@ from ledgerloom.operators.clean import series_window
 from ledgerloom.operators.dedupe import keep_first
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranks import ntile_by_sort
-from ledgerloom.session import bounded_side, cut_lineage
+from ledgerloom.session import small_side
 
 GROUP = ("target_sector", "fiscal_year")
 
@@ -155,7 +155,7 @@ def group_moments(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) ->
         *[F.avg(name).alias(f"{name}__mean") for name in columns],
         *[F.stddev_samp(name).alias(f"{name}__std") for name in columns],
     )
-    return bounded_side(cut_lineage(moments))
+    return small_side(moments)
 
 
 def outliers(
@@ -200,7 +200,7 @@ def closest_peers(
     asked = scaled.join(picked.select(*keys, entity), [*keys, entity], "left_semi").select(
         *keys, F.col(entity).alias("picked"), *[F.col(name).alias(f"_{name}") for name in columns]
     )
-    pairs = scaled.join(bounded_side(cut_lineage(asked)), list(keys)).where(F.col(entity) != F.col("picked"))
+    pairs = scaled.join(small_side(asked), list(keys)).where(F.col(entity) != F.col("picked"))
     square = F.lit(0.0)
     for name in columns:
         gap = F.col(name) - F.col(f"_{name}")

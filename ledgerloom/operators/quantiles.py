@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import magnitude_bucket
-from ledgerloom.session import bounded_side, cut_lineage
+from ledgerloom.session import small_side
 
 BEFORE = (Window.unboundedPreceding, -1)
 
@@ -82,7 +82,7 @@ def exact_quantiles(
             wanted = wanted | ((rank >= F.col("below")) & (rank < F.col("below") + F.col("rows")))
     cells = running.where(wanted).select(*keys, "bucket", "below", "n")
     # Without groups there are at most two cells per column and probability.
-    side = bounded_side(cut_lineage(cells)) if by else F.broadcast(cells)
+    side = small_side(cells) if by else F.broadcast(cells)
     near = long.join(side, [*keys, "bucket"]).groupBy(*keys, "bucket", "below", "n", "value").agg(
         F.count(F.lit(1)).alias("rows")
     )
@@ -117,4 +117,4 @@ def group_medians(df: DataFrame, columns: Sequence[str], by: str) -> DataFrame:
             for name in columns
         ]
     )
-    return bounded_side(cut_lineage(wide))
+    return small_side(wide)

@@ -8,31 +8,34 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.operators.quantiles import BEFORE, melt, rows_below
-from ledgerloom.session import bounded_side, cut_lineage
+from ledgerloom.session import cut_lineage, small_side
 
-# A value shared by this many rows is looked up by broadcast instead of by shuffle. There are at
-# most (all rows) / HOT_ROWS such values, so the broadcast side stays small.
+# No task of a lookup join gets more rows of one key than this; keys with more are split.
 HOT_ROWS = 5_000_000
-HOT_SPREAD = 512
 
 
 def lookup_join(
-    left: DataFrame, lookup: DataFrame, keys: Sequence[str], value: str, weight: str, hot_rows: int = HOT_ROWS
+    left: DataFrame,
+    lookup: DataFrame,
+    weights: DataFrame,
+    keys: Sequence[str],
+    weight: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Attach ``value`` from ``lookup`` (unique keys, ``weight`` = matching left rows).
+    """Join each row with its one ``lookup`` row, however many rows share a key.
 
-    Rows of hot keys get their value by broadcast and are then spread over many partitions of
-    the shuffled join that serves all other keys.
+    ``weight`` says how many left rows a key has, in ``lookup`` and in ``weights``. A key with
+    more than ``hot_rows`` is split: its rows are salted and its lookup row is copied once per
+    salt. There are at most (left rows) / ``hot_rows`` such keys, so their list is broadcast.
     """
-    hot = lookup.where(F.col(weight) >= hot_rows).select(*keys, F.col(value).alias("_hot"))
-    marked = left.join(F.broadcast(hot), list(keys), "left")
-    spread = F.pmod(F.xxhash64(*[F.col(name) for name in left.columns]), F.lit(HOT_SPREAD)) + 1
-    salted = marked.withColumn("_salt", F.when(F.col("_hot").isNotNull(), spread).otherwise(F.lit(0)))
-    cold = lookup.where(F.col(weight) < hot_rows).select(
-        *keys, F.lit(0).cast("long").alias("_salt"), F.col(value).alias("_cold")
+    copies = F.ceil(F.col(weight) / hot_rows)
+    hot = weights.where(F.col(weight) > hot_rows).select(*keys, copies.alias("_copies"))
+    row_hash = F.xxhash64(*[F.col(name) for name in left.columns])
+    salted = left.join(F.broadcast(hot), list(keys), "left").withColumn(
+        "_salt", F.pmod(row_hash, F.coalesce(F.col("_copies"), F.lit(1)))
     )
-    joined = salted.join(cold, [*keys, "_salt"], "left")
-    return joined.withColumn(value, F.coalesce("_hot", "_cold")).drop("_hot", "_cold", "_salt")
+    copied = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
+    return salted.join(copied.drop(weight), [*keys, "_salt"]).drop("_salt", "_copies")
 
 
 def percent_ranks(
@@ -57,7 +60,7 @@ def percent_ranks(
         "rows",
         ((F.col("below") + (F.col("rows") + 1) / 2) / F.col("total")).alias("rank"),
     )
-    looked_up = lookup_join(long, ranked, [*group, "value"], "rank", "rows", hot_rows)
+    looked_up = lookup_join(long, ranked, counts, [*group, "value"], "rows", hot_rows)
     return looked_up.groupBy(key).agg(
         *[F.max(F.when(F.col("column") == name, F.col("rank"))).alias(name) for name in measures]
     )
@@ -87,7 +90,7 @@ def numbered_by_sort(
     same = saved["_part"] == F.col("_block")
     for key in by:
         same = same & saved[key].eqNullSafe(F.col(f"_by_{key}"))
-    joined = saved.join(bounded_side(cut_lineage(starts)), same)
+    joined = saved.join(small_side(starts), same)
     number = (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("long")
     return joined.select(*df.columns, number.alias(name))
 
@@ -101,7 +104,7 @@ def ntile_by_sort(
     same = F.lit(True)
     for key in by:
         same = same & numbered[key].eqNullSafe(F.col(f"_by_{key}"))
-    joined = numbered.join(bounded_side(cut_lineage(sizes)), same)
+    joined = numbered.join(small_side(sizes), same)
     small, larger = F.expr(f"_size div {tiles}"), F.expr(f"_size % {tiles}")
     head = larger * (small + 1)
     place = F.col("_number") - 1

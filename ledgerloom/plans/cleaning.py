@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import rules
@@ -25,11 +25,22 @@ class CleanPanel:
     dropped: list[str]
 
 
-def _watched(df: DataFrame, columns: list[str]) -> tuple[DataFrame, Observation]:
-    """Count rows and missing cells of a frame on the way, without a pass of its own."""
+def _missing(columns: list[str]) -> Column:
+    return F.coalesce(F.sum(missing_count(columns)), F.lit(0)).cast("long") if columns else F.lit(0)
+
+
+def _outside(bounds: clean.Bounds) -> Column:
+    """How many values the bounds move."""
+    moved = F.lit(0).cast("long")
+    for name, (low, high) in bounds.items():
+        moved = moved + F.count_if((F.col(name) < low) | (F.col(name) > high))
+    return moved
+
+
+def _watched(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
+    """Take metrics of a frame while it passes by, without a job of their own."""
     seen = Observation()
-    missing = F.sum(missing_count(columns)) if columns else F.lit(0)
-    return df.observe(seen, F.count(F.lit(1)).alias("rows"), missing.cast("long").alias("missing")), seen
+    return df.observe(seen, *[value.alias(name) for name, value in metrics.items()]), seen
 
 
 def _present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
@@ -40,22 +51,28 @@ def clean_panel(raw: DataFrame, entity: str = "ticker", period: str = "period_en
     """Tidy, validate, dedupe, fill, winsorize, add lags and growth, in this order.
 
     The panel is written out twice: before the quantile passes, which read it more than once,
-    and after the lag window for the same reason. Everything between is a projection.
+    and after the lag window for the same reason. Everything between is a projection, and the
+    step counters are observed while those two tables are written.
     """
-    tidy, arrived = _watched(clean.tidy_text(raw), _present(raw, rules.NOT_NEGATIVE))
-    possible, checked = _watched(clean.drop_impossible(tidy), _present(raw, rules.NOT_NEGATIVE))
+    signed, carried = _present(raw, rules.NOT_NEGATIVE), _present(raw, rules.CARRY_FORWARD)
+    medians = _present(raw, rules.MEDIAN_FILLED)
+    tidy, arrived = _watched(clean.tidy_text(raw), rows=F.count(F.lit(1)), missing=_missing(signed))
+    possible, checked = _watched(clean.drop_impossible(tidy), missing=_missing(signed))
     ties = [F.desc_nulls_last("filing_date")] if "filing_date" in raw.columns else []
     counted = [name for name in raw.columns if name not in TEXTS]
     unique = dedupe.keep_most_complete(possible, [entity, period], ties, counted)
-    carried = _present(raw, rules.CARRY_FORWARD)
-    before, unfilled = _watched(unique, carried)
-    after, filled = _watched(clean.forward_fill(before, entity=entity, period=period), carried)
+    before, unfilled = _watched(unique, rows=F.count(F.lit(1)), missing=_missing(carried))
+    after, filled = _watched(
+        clean.forward_fill(before, entity=entity, period=period),
+        missing=_missing(carried),
+        gaps=_missing(medians),
+    )
     base = cut_lineage(after)
 
-    medians = _present(raw, rules.MEDIAN_FILLED)
     imputed = clean.fill_group_median(base)
     bounds = clean.quantile_bounds(imputed)
-    balanced = statements.identity_check(clean.clip_to_bounds(imputed, bounds), rules.IDENTITY_PCT_CLEAN)
+    shown, clipped = _watched(imputed, gaps=_missing(medians), moved=_outside(bounds))
+    balanced = statements.identity_check(clean.clip_to_bounds(shown, bounds), rules.IDENTITY_PCT_CLEAN)
     dropped = clean.sparse_columns(balanced)
     lagged = features.with_lags(balanced.drop(*dropped), entity=entity, period=period)
     grown = cut_lineage(features.with_growth(lagged))
@@ -66,27 +83,19 @@ def clean_panel(raw: DataFrame, entity: str = "ticker", period: str = "period_en
     if "cik" in final.columns and entity != "cik":
         final = final.withColumn("cik", normal_cik(F.col("cik")))
 
-    gaps = base.agg(F.sum(missing_count(medians)).alias("n")).first()["n"] if medians else 0
-    left = imputed.agg(F.sum(missing_count(medians)).alias("n")).first()["n"] if medians else 0
-    clipped = _clipped(imputed, bounds) + _clipped(grown, late_bounds)
+    late = grown.agg(_outside(late_bounds).alias("moved")).first()["moved"]
     counts = {
         "impossible_values_fixed": checked.get["missing"] - arrived.get["missing"],
         "duplicate_rows_removed": arrived.get["rows"] - unfilled.get["rows"],
         "values_forward_filled": unfilled.get["missing"] - filled.get["missing"],
-        "values_median_filled": (gaps or 0) - (left or 0),
-        "values_winsorized": clipped,
+        "values_median_filled": filled.get["gaps"] - clipped.get["gaps"],
+        "values_winsorized": clipped.get["moved"] + late,
         "columns_dropped": len(dropped),
     }
     counters = raw.sparkSession.createDataFrame(list(counts.items()), "step string, affected bigint")
     return CleanPanel(final, counters, dropped)
 
 
-def _clipped(df: DataFrame, bounds: clean.Bounds) -> int:
-    if not bounds:
-        return 0
-    return clean.outside_counts(df, bounds).agg(F.sum("clipped").alias("n")).first()["n"] or 0
-
-
 def clean_files(spark: SparkSession, source: str, target: str, report: str) -> CleanPanel:
     """Read a panel CSV, clean it, and write the clean panel and the report."""
     raw = read_panel(spark, source)

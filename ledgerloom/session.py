@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 SESSION_CONF = {
@@ -43,23 +43,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def _write_out(df: DataFrame) -> DataFrame:
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and go on from the written table.
 
     Parquet rather than ``checkpoint()``: later passes read only the columns they need, and the
     file size tells Spark whether the table may be broadcast.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return _write_out(df)
 
 
-def bounded_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a join side for broadcast when it is counted to be small, else leave the join to shuffle.
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Write a join side out and mark it for broadcast if it was counted to be small.
 
-    ``df`` should be cheap to read twice, such as the result of :func:`cut_lineage`.
+    A larger side comes back unmarked, and the join shuffles.
     """
-    counted = df.select(F.lit(1)).limit(max_rows + 1).count()
-    return F.broadcast(df) if counted <= max_rows else df
+    seen = Observation()
+    written = _write_out(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return F.broadcast(written) if seen.get["rows"] <= max_rows else written
