@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Sub-buckets per power of two in `magnitude_bucket`; with 1,075 powers below one and 1,024
-# above it there are at most 2 * 2100 * 256 + 1 buckets, however large the data is.
-BUCKETS_PER_OCTAVE = 256
-_ZERO_SHIFT = 1076 * BUCKETS_PER_OCTAVE
+# Cells per power of two in `magnitude_cell`, and cells per bucket, as powers of two. Doubles span
+# fewer than 2,101 powers of two, so there are at most 2 * 2101 * 2**12 buckets of 2**20 cells, and
+# a cell holds at most 2**20 different doubles, whatever the data.
+CELL_BITS = 32
+BUCKET_BITS = 20
 
 
 def safe_divide(numerator: Column, denominator: Column) -> Column:
@@ -46,15 +47,20 @@ def relative_change(current: Column, previous: Column) -> Column:
     return F.when(previous == 0, from_zero).otherwise(safe_divide(current, previous) - F.lit(1.0))
 
 
-def magnitude_bucket(value: Column) -> Column:
-    """Bucket number that never decreases as the value grows.
+def magnitude_cell(value: Column) -> Column:
+    """Cell number that never decreases as the value grows.
 
-    Buckets are logarithmic on both sides of zero, so heavy-tailed amounts spread evenly
-    without a look at the data.
+    Cells are logarithmic on both sides of zero, so heavy-tailed amounts spread evenly without a
+    look at the data.
     """
-    exponent = F.least(F.log2(F.abs(value)), F.lit(1024.0))
-    size = F.floor(exponent * F.lit(float(BUCKETS_PER_OCTAVE))).cast("int") + F.lit(_ZERO_SHIFT)
-    return F.when(value == 0, F.lit(0)).when(value > 0, size).otherwise(-size)
+    exponent = F.least(F.log2(F.abs(value)), F.lit(1024.0)) + F.lit(1076.0)
+    size = F.floor(exponent * F.lit(float(1 << CELL_BITS))).cast("long")
+    return F.when(value == 0, F.lit(0).cast("long")).when(value > 0, size).otherwise(-size)
+
+
+def cell_bucket(cell: Column) -> Column:
+    """The bucket a cell lies in; buckets are in cell order too."""
+    return F.shiftright(cell, BUCKET_BITS)
 
 
 def present_count(columns: list[str]) -> Column:

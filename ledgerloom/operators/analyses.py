@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 from ledgerloom.functions.numbers import indicator, round_half_even, safe_divide
 from ledgerloom.operators.clean import series_window
 from ledgerloom.operators.dedupe import keep_first
+from ledgerloom.operators.joins import attach_groups
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranks import ntile_by_sort
-from ledgerloom.session import small_side
+from ledgerloom.session import BROADCAST_ROWS, small_side
 
 GROUP = ("target_sector", "fiscal_year")
 
@@ -149,20 +150,21 @@ def sector_benchmarks(df: DataFrame, columns: Sequence[str], sector: str = "targ
     return means.join(medians, [sector, "column"], "left")
 
 
-def group_moments(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """Mean and sample deviation per group, written out and ready to join."""
-    moments = _grouped(df, keys).groupBy(*keys).agg(
+def with_group_moments(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Rows of known groups, with mean and sample deviation of the columns in their group."""
+    known = _grouped(df, keys)
+    moments = known.groupBy(*keys).agg(
         *[F.avg(name).alias(f"{name}__mean") for name in columns],
         *[F.stddev_samp(name).alias(f"{name}__std") for name in columns],
     )
-    return small_side(moments)
+    return attach_groups(known, moments, keys)
 
 
 def outliers(
     df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ("target_sector",), limit: float = 3.0
 ) -> DataFrame:
     """(row, column, value, z) for values further than ``limit`` deviations from the group mean."""
-    joined = df.join(group_moments(df, columns, keys), list(keys))
+    joined = with_group_moments(df, columns, keys)
     cells = [
         F.struct(
             F.lit(name).alias("column"),
@@ -188,7 +190,7 @@ def closest_peers(
     ``picked`` holds the entity and group keys of the companies asked about, a few per group; each
     other company meets only those. Spark keeps ``limit`` rows per picked company in every task.
     """
-    joined = _grouped(df, keys).join(group_moments(df, columns, keys), list(keys))
+    joined = with_group_moments(df, columns, keys)
     scaled = joined.select(
         *keys,
         entity,
@@ -200,7 +202,9 @@ def closest_peers(
     asked = scaled.join(picked.select(*keys, entity), [*keys, entity], "left_semi").select(
         *keys, F.col(entity).alias("picked"), *[F.col(name).alias(f"_{name}") for name in columns]
     )
-    pairs = scaled.join(small_side(asked), list(keys)).where(F.col(entity) != F.col("picked"))
+    few, rows = small_side(asked)
+    few = F.broadcast(few) if rows <= BROADCAST_ROWS else few
+    pairs = scaled.join(few, list(keys)).where(F.col(entity) != F.col("picked"))
     square = F.lit(0.0)
     for name in columns:
         gap = F.col(name) - F.col(f"_{name}")

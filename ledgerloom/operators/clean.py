@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ledgerloom import rules
 from ledgerloom.functions.numbers import clip
 from ledgerloom.functions.text import tidy_company, tidy_ticker
+from ledgerloom.operators.joins import attach_groups
 from ledgerloom.operators.quantiles import exact_quantiles, group_medians, median_name
 
 Bounds = Mapping[str, tuple[float, float]]
@@ -76,7 +77,7 @@ def fill_group_median(
 ) -> DataFrame:
     """Fill gaps with the exact median of the row's group; a row without a group loses its values."""
     present = [name for name in columns if name in df.columns]
-    joined = df.join(group_medians(df, present, by), by, "left")
+    joined = attach_groups(df, group_medians(df, present, by), [by])
     filled = {
         name: F.when(F.col(by).isNotNull(), F.coalesce(F.col(name), F.col(median_name(name))))
         for name in present

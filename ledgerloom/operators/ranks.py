@@ -7,36 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.operators.quantiles import BEFORE, melt, rows_below
-from ledgerloom.session import cut_lineage, small_side
-
-# No task of a lookup join gets more rows of one key than this; keys with more are split.
-HOT_ROWS = 5_000_000
-
-
-def lookup_join(
-    left: DataFrame,
-    lookup: DataFrame,
-    weights: DataFrame,
-    keys: Sequence[str],
-    weight: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Join each row with its one ``lookup`` row, however many rows share a key.
-
-    ``weight`` says how many left rows a key has, in ``lookup`` and in ``weights``. A key with
-    more than ``hot_rows`` is split: its rows are salted and its lookup row is copied once per
-    salt. There are at most (left rows) / ``hot_rows`` such keys, so their list is broadcast.
-    """
-    copies = F.ceil(F.col(weight) / hot_rows)
-    hot = weights.where(F.col(weight) > hot_rows).select(*keys, copies.alias("_copies"))
-    row_hash = F.xxhash64(*[F.col(name) for name in left.columns])
-    salted = left.join(F.broadcast(hot), list(keys), "left").withColumn(
-        "_salt", F.pmod(row_hash, F.coalesce(F.col("_copies"), F.lit(1)))
-    )
-    copied = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1)))
-    return salted.join(copied.drop(weight), [*keys, "_salt"]).drop("_salt", "_copies")
-
+from ledgerloom.operators.joins import HOT_ROWS, lookup_join
+from ledgerloom.operators.quantiles import melt, rows_below, running_rows
+from ledgerloom.session import BROADCAST_ROWS, cut_lineage, small_side
 
 def percent_ranks(
     df: DataFrame,
@@ -66,52 +39,55 @@ def percent_ranks(
     )
 
 
-def numbered_by_sort(
-    df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (), name: str = "rank"
-) -> DataFrame:
-    """Row numbers 1..n in a total order, over everything or within groups.
+def _placed_by_sort(df: DataFrame, order: Sequence[Column | str], by: Sequence[str]) -> DataFrame:
+    """Add ``_number`` (1..n in the order, per group) and ``_size`` (rows of the group).
 
-    Spark's range-partitioned sort does the work: the sorted rows are written once, and every
-    row's number is its place in its partition plus the rows that came before the partition.
-    The helper table has one row per partition and group inside it.
+    Spark's range-partitioned sort does the work: the sorted rows are written once, and a row's
+    number is its place in its partition plus the rows that came before the partition. The
+    helper table has one row per partition and group inside it.
     """
-    placed = df.orderBy(*by, *order).withColumn("_id", F.monotonically_increasing_id())
-    saved = cut_lineage(placed).withColumn("_part", F.shiftright("_id", 33))
+    sorted_rows = df.orderBy(*by, *order).withColumn("_id", F.monotonically_increasing_id())
+    saved = cut_lineage(sorted_rows).withColumn("_part", F.shiftright("_id", 33))
     blocks = saved.groupBy("_part", *by).agg(
-        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_rows")
+        F.min("_id").alias("_first"), F.count(F.lit(1)).alias("rows")
     )
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(*BEFORE)
+    group = Window.partitionBy(*by)
     starts = blocks.select(
         F.col("_part").alias("_block"),
         *[F.col(key).alias(f"_by_{key}") for key in by],
         "_first",
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"),
+        running_rows(group.orderBy("_part")).alias("_before"),
+        F.sum("rows").over(group).alias("_size"),
     )
+    side, rows = small_side(starts)
     same = saved["_part"] == F.col("_block")
     for key in by:
         same = same & saved[key].eqNullSafe(F.col(f"_by_{key}"))
-    joined = saved.join(small_side(starts), same)
-    number = (F.col("_before") + F.col("_id") - F.col("_first") + 1).cast("long")
-    return joined.select(*df.columns, number.alias(name))
+    # Beyond the broadcast limit a join key still has no more rows than one sorted partition.
+    joined = saved.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, same)
+    number = F.col("_before") + F.col("_id") - F.col("_first") + 1
+    return joined.select(*df.columns, number.cast("long").alias("_number"), "_size")
+
+
+def numbered_by_sort(
+    df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (), name: str = "rank"
+) -> DataFrame:
+    """Row numbers 1..n in a total order, over everything or within groups of any size."""
+    placed = _placed_by_sort(df, order, by)
+    return placed.select(*df.columns, F.col("_number").alias(name))
 
 
 def ntile_by_sort(
     df: DataFrame, tiles: int, order: Sequence[Column | str], by: Sequence[str], name: str = "tile"
 ) -> DataFrame:
     """Equal-sized tiles in sorted order; the first (rows mod tiles) tiles are one row larger."""
-    numbered = numbered_by_sort(df, order, by, "_number")
-    sizes = numbered.groupBy(*[F.col(key).alias(f"_by_{key}") for key in by]).agg(F.max("_number").alias("_size"))
-    same = F.lit(True)
-    for key in by:
-        same = same & numbered[key].eqNullSafe(F.col(f"_by_{key}"))
-    joined = numbered.join(small_side(sizes), same)
     small, larger = F.expr(f"_size div {tiles}"), F.expr(f"_size % {tiles}")
     head = larger * (small + 1)
     place = F.col("_number") - 1
     in_head = F.floor(place / (small + 1)) + 1
     in_tail = larger + F.floor((place - head) / F.greatest(small, F.lit(1))) + 1
     tile = F.when(place < head, in_head).otherwise(in_tail).cast("int")
-    return joined.select(*df.columns, tile.alias(name))
+    return _placed_by_sort(df, order, by).select(*df.columns, tile.alias(name))
 
 
 def top_rows(df: DataFrame, limit: int, order: Sequence[Column | str]) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions.numbers import clip, indicator, round_half_even
+from ledgerloom.operators.joins import attach_groups
 from ledgerloom.operators.quality import unpivot_row
 from ledgerloom.operators.quantiles import exact_quantiles, group_medians, median_name
 from ledgerloom.operators.ranks import numbered_by_sort, percent_ranks, top_rows
@@ -37,7 +38,7 @@ def sector_ranks(
     df: DataFrame, sector: str = "target_sector", entity: str = "ticker", **options: int
 ) -> DataFrame:
     """Percent rank in the sector of every scored measure, gaps filled first; one row per company."""
-    with_medians = df.join(group_medians(df, MEDIAN_MEASURES, sector), sector, "left")
+    with_medians = attach_groups(df, group_medians(df, MEDIAN_MEASURES, sector), [sector])
     measures = {
         name: F.coalesce(F.col(name), F.col(median_name(name))) for name in MEDIAN_MEASURES
     } | {name: F.coalesce(F.col(name), F.lit(fill)) for name, fill in CONSTANT_FILLS.items()}

@@ -43,7 +43,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
-def _write_out(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write ``df`` once to the shared checkpoint folder and go on from the written table.
+
+    Parquet rather than ``checkpoint()``: later passes read only the columns they need.
+    """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
@@ -51,20 +55,8 @@ def _write_out(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and go on from the written table.
-
-    Parquet rather than ``checkpoint()``: later passes read only the columns they need, and the
-    file size tells Spark whether the table may be broadcast.
-    """
-    return _write_out(df)
-
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Write a join side out and mark it for broadcast if it was counted to be small.
-
-    A larger side comes back unmarked, and the join shuffles.
-    """
+def small_side(df: DataFrame) -> tuple[DataFrame, int]:
+    """Write a join side out and say how many rows it has, so that it is broadcast only if small."""
     seen = Observation()
-    written = _write_out(df.observe(seen, F.count(F.lit(1)).alias("rows")))
-    return F.broadcast(written) if seen.get["rows"] <= max_rows else written
+    written = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("rows")))
+    return written, seen.get["rows"]
