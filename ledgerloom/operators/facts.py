@@ -172,8 +172,12 @@ def resolve_by_entity(
     filed: str = "filed",
     position: Sequence[str] = ("pos",),
 ) -> DataFrame:
-    """Latest filing per field and year; one tag supplies all years of a company's field."""
+    """Latest filing per field and year; one tag supplies all years of a company's field.
+
+    The yearly values, at most one per tag and year, come out partitioned by company, so what
+    is computed per company from here on needs no further shuffle.
+    """
     keys = [*entity, "statement", "field", "field_order", "priority", year]
-    yearly = latest_filing(tagged, keys, [value, period], filed, position)
+    yearly = latest_filing(tagged, keys, [value, period], filed, position).repartition(*entity)
     best = F.min("priority").over(Window.partitionBy(*entity, "field"))
     return yearly.withColumn("_best", best).where(F.col("priority") == F.col("_best")).drop("_best")

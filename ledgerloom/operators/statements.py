@@ -53,8 +53,9 @@ def merge_statements(
     This is the left join of the statements on company, period and filing date, done as one
     aggregation: statements share the grain, so a row's other statements belong to it exactly
     when their filing dates are equal (NULL equals NULL). ``join_on='period'`` accepts them
-    whatever their filing date. Rows per company are bounded by its distinct period ends, which
-    is what the window over ``entity`` holds.
+    whatever their filing date. The resolved values, at most one per field and period, are
+    brought together by company once; the aggregation and the window then need no shuffle, and
+    the window holds a company's distinct period ends.
     """
     if join_on not in ("filing", "period"):
         raise ValueError(f"join_on must be 'filing' or 'period', not {join_on!r}")
@@ -64,7 +65,8 @@ def merge_statements(
         parts.append(F.min_by(F.col(filed), order).alias(f"_{name}_filed"))
         parts.append(F.count(order).alias(f"_{name}_rows"))
     fields_all = [field for fields in statements.values() for field in fields]
-    wide = resolved.groupBy(*entity, period).agg(*parts, *_spread(fields_all, value))
+    together = resolved.repartition(*entity)
+    wide = together.groupBy(*entity, period).agg(*parts, *_spread(fields_all, value))
 
     company = Window.partitionBy(*entity)
     base = F.coalesce(

@@ -24,8 +24,13 @@ def read_texts(spark: SparkSession, path: str, glob: str = "*.json") -> DataFram
 
 
 def parse_texts(texts: DataFrame, schema: T.DataType) -> DataFrame:
-    """Add ``doc``; text that is not valid JSON gives a document of NULLs."""
-    return texts.withColumn("doc", F.from_json("text", schema, {"mode": "PERMISSIVE"}))
+    """Add ``doc``; text that is not valid JSON gives a document of NULLs.
+
+    Parsing is the costly part, so it sits in a generator: filters on ``doc`` cannot be pushed
+    below it and parse the text a second time.
+    """
+    parsed = F.from_json("text", schema, {"mode": "PERMISSIVE"})
+    return texts.select("*", F.explode_outer(F.array(parsed)).alias("doc"))
 
 
 def read_fact_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -66,9 +71,7 @@ def flatten_facts(
         zero_fill(F.coalesce(F.col("doc.cik"), F.lit("")), 10).alias("cik"),
         F.coalesce(F.col("doc.entityName"), F.lit("")).alias("company"),
     ]
-    by_taxonomy = usable_documents(documents).select(
-        *head, F.explode("doc.facts").alias("taxonomy", "concepts")
-    )
+    by_taxonomy = documents.select(*head, F.explode("doc.facts").alias("taxonomy", "concepts"))
     concepts = F.col("concepts")
     if tags is not None:
         concepts = F.map_filter(concepts, lambda tag, _: tag.isin(tags))

@@ -502,12 +502,12 @@ def _identity(pct: str, floor: str) -> str:
 add("identity_check_1pct", f"select cik, period_end, {_identity('0.01', '1000000')} from panel_tx", 2, ["balance_sheet_difference"])
 add("identity_check_2pct", f"select cik, period_end, {_identity('0.02', '1000')} from panel_tx", 2, ["balance_sheet_difference"])
 add("identity_valid_counts", f"""
-select count_if(balance_sheet_valid) as valid, count_if(not balance_sheet_valid) as invalid
+select cast(count_if(balance_sheet_valid) as bigint) as valid, cast(count_if(not balance_sheet_valid) as bigint) as invalid
 from (select {_identity('0.02', '1000')} from panel_tx) t""")
 _POSSIBLE = ", ".join(f"case when {n} >= 0 then {n} end as {n}" for n in rules.NOT_NEGATIVE)
 add("impossible_values", f"select cik, period_end, {_POSSIBLE} from panel_tx")
 add("impossible_value_counts", "\nunion all ".join(
-    f"select '{n}' as \"column\", count_if({n} < 0) as fixed from panel_tx" for n in rules.NOT_NEGATIVE))
+    f"select '{n}' as \"column\", cast(count_if({n} < 0) as bigint) as fixed from panel_tx" for n in rules.NOT_NEGATIVE))
 _NARROW = "cik, fiscal_year, fiscal_quarter, period_end, total_assets"
 add("dedupe_first", f"""
 select {_NARROW} from (select *, row_number() over (partition by cik, fiscal_year order by fiscal_quarter, period_end) as rn
@@ -549,7 +549,7 @@ def _winsor(names: list[str], source: str) -> str:
 add("winsorize", f"select cik, period_end, {', '.join(v.PANEL_FIELDS)} from ({_winsor(list(v.PANEL_FIELDS), 'panel_tx')}) w",
     4, list(v.PANEL_FIELDS))
 add("winsorize_counts", "\nunion all ".join(
-    f"select '{n}' as \"column\", count_if({n} < lo or {n} > hi) as clipped from panel_tx cross join "
+    f"select '{n}' as \"column\", cast(count_if({n} < lo or {n} > hi) as bigint) as clipped from panel_tx cross join "
     f"(select quantile_cont({n}, 0.01) as lo, quantile_cont({n}, 0.99) as hi from panel_tx) b group by lo, hi"
     for n in v.PANEL_FIELDS))
 
@@ -603,7 +603,7 @@ add("coverage", "\nunion all ".join(
     f"select '{n}' as \"column\", {_covered(n)} as coverage_pct from panel_tx" for n in v.PANEL_FIELDS),
     6, ["coverage_pct"])
 add("missing_counts", "\nunion all ".join(
-    f"select '{n}' as \"column\", count_if({n} is null) as missing from panel_tx" for n in _ALL_PANEL))
+    f"select '{n}' as \"column\", cast(count_if({n} is null) as bigint) as missing from panel_tx" for n in _ALL_PANEL))
 add("distinct_counts", "\nunion all ".join(
     f"select '{n}' as \"column\", count(distinct {n}) as distinct_values from sector_panel_tx"
     for n in ("cik", "target_sector", "fiscal_year")))
@@ -745,7 +745,7 @@ select cik, min(step) as first, max(step) as last, count(*) as length from (
     select *, fiscal_year * 4 + fiscal_quarter as step from panel_tx where net_income < 0) a) b
 group by cik, run having count(*) >= 2""")
 add("cash_burn", f"""
-select cik, count_if(loss and before and capital < last_capital) as burning_periods from (
+select cik, cast(count_if(loss and before and capital < last_capital) as bigint) as burning_periods from (
   select *, net_income < 0 as loss, lag(net_income < 0) over ({_SERIES}) as before,
     lag(capital) over ({_SERIES}) as last_capital from (
     select cik, period_end, {_known('net_income', 0)} as net_income,

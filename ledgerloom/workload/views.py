@@ -84,8 +84,12 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quarterly panel, unique by (cik, period_end)."""
-    wide = latest(spark, sf_dir).groupBy("cik", "period_end").agg(
+    """Quarterly panel, unique by (cik, period_end).
+
+    The latest values, at most one per tag and period, are partitioned by filer once; the panel
+    rows and all windows per filer follow without another shuffle.
+    """
+    wide = latest(spark, sf_dir).repartition("cik").groupBy("cik", "period_end").agg(
         F.max("filed").alias("filing_date"),
         *[F.max(F.when(F.col("tag") == tag, F.col("val"))).alias(name) for tag, name in PANEL_TAGS.items()],
     )

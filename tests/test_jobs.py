@@ -1,6 +1,7 @@
 """Whole jobs from files to results."""
 
 import datetime as dt
+import re
 
 from conftest import document, record, rows, write_json
 from test_documents import submission
@@ -145,3 +146,16 @@ def test_fixed_columns(spark):
     df = spark.createDataFrame([("1",)], "cik string")
     full = statements.ensure_columns(df, {name: "double" for name in rules.QUARTERLY_FIELDS})
     assert len(full.columns) == 31
+
+
+def test_facts_reach_the_panels_in_two_shuffles(spark, tmp_path):
+    """Field values, then companies; hash aggregation only, and every document is parsed once."""
+    documents = landed(spark, tmp_path)
+    quarterly = panels.quarterly_panel(panels.quarterly_facts(documents), universe(spark))
+    annual = panels.annual_panel(panels.annual_facts(documents), universe(spark))
+    for panel in (quarterly, annual):
+        text = panel._jdf.queryExecution().executedPlan().toString()
+        assert "SortAggregate" not in text and "Python" not in text and "BroadcastHashJoin" in text
+        facts_side = text.split("SortMergeJoin")[-1].rsplit("Exchange hashpartitioning(cik", 1)[0]
+        assert len(re.findall(r"Exchange hashpartitioning\(ticker", facts_side)) == 2
+        assert text.count("from_json(") == 1
