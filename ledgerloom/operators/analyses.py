@@ -16,6 +16,8 @@ from ledgerloom.operators.ranks import ntile_by_sort
 from ledgerloom.session import BROADCAST_ROWS, small_side
 
 GROUP = ("target_sector", "fiscal_year")
+# A peer search is about single companies; comparing a whole group with itself is refused.
+MAX_PICKED = 100
 
 
 def _grouped(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -203,6 +205,9 @@ def closest_peers(
         *keys, F.col(entity).alias("picked"), *[F.col(name).alias(f"_{name}") for name in columns]
     )
     few, rows = small_side(asked)
+    crowd = few.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
+    if crowd and crowd > MAX_PICKED:
+        raise ValueError(f"{crowd} companies picked in one group; ask for at most {MAX_PICKED}")
     few = F.broadcast(few) if rows <= BROADCAST_ROWS else few
     pairs = scaled.join(few, list(keys)).where(F.col(entity) != F.col("picked"))
     square = F.lit(0.0)

@@ -25,22 +25,28 @@ class CleanPanel:
     dropped: list[str]
 
 
-def _missing(columns: list[str]) -> Column:
-    return F.coalesce(F.sum(missing_count(columns)), F.lit(0)).cast("long") if columns else F.lit(0)
-
-
 def _outside(bounds: clean.Bounds) -> Column:
-    """How many values the bounds move."""
-    moved = F.lit(0).cast("long")
+    """How many values of a row the bounds move."""
+    moved = F.lit(0)
     for name, (low, high) in bounds.items():
-        moved = moved + F.count_if((F.col(name) < low) | (F.col(name) > high))
+        out = (F.col(name) < low) | (F.col(name) > high)
+        moved = moved + F.coalesce(out, F.lit(False)).cast("int")
     return moved
 
 
-def _watched(df: DataFrame, **metrics: Column) -> tuple[DataFrame, Observation]:
-    """Take metrics of a frame while it passes by, without a job of their own."""
+def _counted_table(df: DataFrame, helpers: list[str], **metrics: Column) -> tuple[DataFrame, dict]:
+    """Write a frame out without its helper columns, taking metrics of the rows as they are written.
+
+    The metrics belong to the last stage, whose tasks count once even when earlier stages are
+    repeated after a lost executor.
+    """
     seen = Observation()
-    return df.observe(seen, *[value.alias(name) for name, value in metrics.items()]), seen
+    watched = df.observe(seen, *[value.alias(name) for name, value in metrics.items()])
+    return cut_lineage(watched.drop(*helpers)), seen.get
+
+
+def _total(value: Column) -> Column:
+    return F.coalesce(F.sum(value), F.lit(0)).cast("long")
 
 
 def _present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
@@ -51,45 +57,54 @@ def clean_panel(raw: DataFrame, entity: str = "ticker", period: str = "period_en
     """Tidy, validate, dedupe, fill, winsorize, add lags and growth, in this order.
 
     The panel is written out twice: before the quantile passes, which read it more than once,
-    and after the lag window for the same reason. Everything between is a projection, and the
-    step counters are observed while those two tables are written.
+    and after the lag window for the same reason. Everything between is a projection.
     """
     signed, carried = _present(raw, rules.NOT_NEGATIVE), _present(raw, rules.CARRY_FORWARD)
     medians = _present(raw, rules.MEDIAN_FILLED)
-    tidy, arrived = _watched(clean.tidy_text(raw), rows=F.count(F.lit(1)), missing=_missing(signed))
-    possible, checked = _watched(clean.drop_impossible(tidy), missing=_missing(signed))
+    negative = F.lit(0).cast("long")
+    for name in signed:
+        negative = negative + F.count_if(F.col(name) < 0)
+    arrived = raw.agg(F.count(F.lit(1)).alias("rows"), negative.alias("negative")).first()
+
+    possible = clean.drop_impossible(clean.tidy_text(raw))
     ties = [F.desc_nulls_last("filing_date")] if "filing_date" in raw.columns else []
     counted = [name for name in raw.columns if name not in TEXTS]
     unique = dedupe.keep_most_complete(possible, [entity, period], ties, counted)
-    before, unfilled = _watched(unique, rows=F.count(F.lit(1)), missing=_missing(carried))
-    after, filled = _watched(
-        clean.forward_fill(before, entity=entity, period=period),
-        missing=_missing(carried),
-        gaps=_missing(medians),
+    marked = unique.withColumn("_empty", missing_count(carried))
+    base, filled = _counted_table(
+        clean.forward_fill(marked, entity=entity, period=period),
+        ["_empty"],
+        rows=F.count(F.lit(1)),
+        carried=_total(F.col("_empty") - missing_count(carried)),
+        gaps=_total(missing_count(medians)),
     )
-    base = cut_lineage(after)
 
     imputed = clean.fill_group_median(base)
     bounds = clean.quantile_bounds(imputed)
-    shown, clipped = _watched(imputed, gaps=_missing(medians), moved=_outside(bounds))
+    shown = imputed.withColumns({"_gaps": missing_count(medians), "_moved": _outside(bounds)})
     balanced = statements.identity_check(clean.clip_to_bounds(shown, bounds), rules.IDENTITY_PCT_CLEAN)
     dropped = clean.sparse_columns(balanced)
     lagged = features.with_lags(balanced.drop(*dropped), entity=entity, period=period)
-    grown = cut_lineage(features.with_growth(lagged))
+    grown, clipped = _counted_table(
+        features.with_growth(lagged),
+        ["_gaps", "_moved"],
+        gaps=_total(F.col("_gaps")),
+        moved=_total(F.col("_moved")),
+    )
 
     engineered = [name for name in grown.columns if name.endswith(("_lag1", "_growth_qoq"))]
     late_bounds = clean.quantile_bounds(grown, engineered)
+    late = grown.agg(_total(_outside(late_bounds)).alias("moved")).first()["moved"]
     final = clean.clip_to_bounds(grown, late_bounds)
     if "cik" in final.columns and entity != "cik":
         final = final.withColumn("cik", normal_cik(F.col("cik")))
 
-    late = grown.agg(_outside(late_bounds).alias("moved")).first()["moved"]
     counts = {
-        "impossible_values_fixed": checked.get["missing"] - arrived.get["missing"],
-        "duplicate_rows_removed": arrived.get["rows"] - unfilled.get["rows"],
-        "values_forward_filled": unfilled.get["missing"] - filled.get["missing"],
-        "values_median_filled": filled.get["gaps"] - clipped.get["gaps"],
-        "values_winsorized": clipped.get["moved"] + late,
+        "impossible_values_fixed": arrived["negative"],
+        "duplicate_rows_removed": arrived["rows"] - filled["rows"],
+        "values_forward_filled": filled["carried"],
+        "values_median_filled": filled["gaps"] - clipped["gaps"],
+        "values_winsorized": clipped["moved"] + late,
         "columns_dropped": len(dropped),
     }
     counters = raw.sparkSession.createDataFrame(list(counts.items()), "step string, affected bigint")
