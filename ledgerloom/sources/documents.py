@@ -39,10 +39,6 @@ def read_fact_documents(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select(F.regexp_replace("file_name", r"\.json$", "").alias("ticker"), "doc")
 
 
-def usable_documents(documents: DataFrame) -> DataFrame:
-    return documents.where(F.col("doc.facts").isNotNull())
-
-
 def rejected_documents(documents: DataFrame) -> DataFrame:
     """Tickers whose document is corrupt or carries no facts."""
     return documents.where(F.col("doc.facts").isNull()).select("ticker")
