@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.llm.common import table
+from ledgerloom.llm.packing import pack
 from ledgerloom.llm.partenum import jaccard_join
+from ledgerloom.llm.wavelet import read_documents, write_shards
+
+
+def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place, length and checksum, as read back from the written wavelet shards."""
+    return read_documents(write_shards(table(spark, sf_dir, "documents"), end_id=0))
+
+
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces and their places in sequences of at most 1024 ids."""
+    return pack(table(spark, sf_dir, "documents"), end_id=2, tokens=1024)
 
 
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,5 +26,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 REGISTRY = {
+    "op1_wavelet_tokens": op1_wavelet_tokens,
+    "op9_vector_packing": op9_vector_packing,
     "op10_jaccard_join": op10_jaccard_join,
 }
