@@ -24,3 +24,26 @@ comp as (select node, min(seen) as c from reach group by node)
 select t.doc_id, cast(len(t.s) as bigint) as n_shingles, coalesce(m.c, t.doc_id) as component_id
 from sets t left join classes k on t.s = k.s left join comp m on k.rep = m.node
 """
+
+SQL["op2_branch_and_bound"] = """
+with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s)
+select query_id, rank, vec_id, score from r where rank <= 5
+"""
+
+SQL["op6_product_quantisation"] = """
+with recursive v as (select vec_id, list_transform(embedding, lambda x: x::double) as e from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+  and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+edges as (select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id
+  where list_cosine_similarity(a.e, b.e) >= 0.95),
+reach(node, seen) as (select vec_id, vec_id from embeddings union
+  select r.node, e.b from reach r join edges e on r.seen = e.a),
+comp as (select node, min(seen) as c from reach group by node),
+n as (select a, count(*) as n from edges group by a)
+select t.vec_id, coalesce(n.n, 0) as n_links, comp.c as component_id, t.vec_id = comp.c as kept
+from embeddings t join comp on comp.node = t.vec_id left join n on n.a = t.vec_id
+"""

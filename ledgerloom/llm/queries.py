@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from ledgerloom.llm.common import table
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.partenum import jaccard_join
+from ledgerloom.llm.pq import near_duplicates
+from ledgerloom.llm.topk import top_k
 from ledgerloom.llm.wavelet import read_documents, write_shards
 
 
@@ -15,6 +17,17 @@ def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_documents(write_shards(table(spark, sf_dir, "documents"), end_id=0))
 
 
+def op2_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five largest integer inner products of every 50th vector against all others."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
+
+
+def op6_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's links and component at a cosine of 0.95."""
+    return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 1024 ids."""
     return pack(table(spark, sf_dir, "documents"), end_id=2, tokens=1024)
@@ -27,6 +40,8 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 REGISTRY = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
+    "op2_branch_and_bound": op2_branch_and_bound,
+    "op6_product_quantisation": op6_product_quantisation,
     "op9_vector_packing": op9_vector_packing,
     "op10_jaccard_join": op10_jaccard_join,
 }
