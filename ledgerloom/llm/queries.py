@@ -8,7 +8,9 @@ from ledgerloom.llm.common import table
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.partenum import jaccard_join
 from ledgerloom.llm.pq import near_duplicates
+from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.topk import top_k
+from ledgerloom.llm.toxicity import toxicity_grades
 from ledgerloom.llm.wavelet import read_documents, write_shards
 
 
@@ -23,11 +25,21 @@ def op2_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
 
 
+def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's expected severity and grade."""
+    return toxicity_grades(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op6_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links and component at a cosine of 0.95."""
     return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
 
 
+def op7_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's quality score."""
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 1024 ids."""
     return pack(table(spark, sf_dir, "documents"), end_id=2, tokens=1024)
@@ -41,7 +53,9 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 REGISTRY = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_branch_and_bound": op2_branch_and_bound,
+    "op3_ordinal_toxicity": op3_ordinal_toxicity,
     "op6_product_quantisation": op6_product_quantisation,
+    "op7_quality_nbsvm": op7_quality_nbsvm,
     "op9_vector_packing": op9_vector_packing,
     "op10_jaccard_join": op10_jaccard_join,
 }
