@@ -55,13 +55,19 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
 
 def word_counts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(slots, counts) of each text's words: runs of letters in lower case (ASCII and Latin-1)."""
+    """(slots, counts) of each text's words, runs of letters in lower case (ASCII and Latin-1), and word beginnings.
+
+    Beginnings of 4 and 5 bytes let inflected and derived forms share what is learned.
+    """
     for _, data, offsets in textbytes.slices(texts, 1_000_000):
         plain = data.copy()
         upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
         plain[upper] += 32
         plain[~_LETTER[plain]] = 0x20
         starts, ends, cuts = textbytes.words(plain, offsets)
-        slots = _slot(textbytes.word_hashes(plain, starts, ends), 7)
+        slots = np.stack([
+            _slot(textbytes.word_hashes(plain, starts, np.minimum(ends, starts + most)), family)
+            for family, most in ((7, len(plain)), (8, 4), (9, 5))
+        ], 1)
         for i in range(len(offsets) - 1):
             yield np.unique(slots[cuts[i] : cuts[i + 1]], return_counts=True)

@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ledgerloom.llm.common import crc_fold, ship_code
 from ledgerloom.llm.features import SIZE, indicators
@@ -123,7 +124,7 @@ def _fit(rates: dict[int, float]):
     return run
 
 
-def _score(model):
+def _score(model, column: str):
     def run(batches):
         own = model.value
         square, product = own["scale"] ** 2, own["weight"]
@@ -133,22 +134,20 @@ def _score(model):
                 length = np.sqrt(square[slots].sum(dtype=np.float64))
                 margins.append(product[slots].sum(dtype=np.float64) / max(length, 1e-12) + own["bias"])
             value = np.clip(own["slope"] * np.array(margins, np.float64) + own["shift"], -35, 35)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(1 / (1 + np.exp(-value)))], names=["doc_id", "score"])
+            columns = [*batch.columns, pa.array(1 / (1 + np.exp(-value)))]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, column])
 
     return run
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 3000, threshold: float = 0.3) -> DataFrame:
-    """Score every text: doc_id, held_out, score (0 to 1), predicted (score >= ``threshold``), one row a row.
-
-    Labels (doc_id, quality 0 or 1) teach only from ids whose crc32 modulo 5 is not 0; the others are held out. A
-    score sees the text alone. NULL text is empty, and an empty text is scored by the model's constant. Rows with
-    NULL or repeated ids are scored like all others. Without labels every score is 0.5. Extra columns are ignored.
-    """
+def with_quality(docs: DataFrame, labels: DataFrame, per_class: int = 3000, column: str = "quality_score") -> DataFrame:
+    """``docs`` (doc_id, text, any others) with the score of each text as ``column``; a column of that name is replaced."""
     spark = docs.sparkSession
     ship_code(spark)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample, rates = training_sample(texts, labels, "quality", per_class)
+    plain = docs.drop(column)
+    sample, rates = training_sample(
+        plain.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")), labels, "quality", per_class
+    )
     slots = sample.mapInArrow(_features, "label int, slots binary")
     # at most 2 * per_class rows; one task fits the model
     fitted = slots.repartition(1).mapInArrow(_fit(rates), MODEL).first()
@@ -156,7 +155,18 @@ def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 3000, th
         "scale": np.frombuffer(fitted["scale"], np.float32), "weight": np.frombuffer(fitted["weight"], np.float32),
         "bias": fitted["bias"], "slope": fitted["slope"], "shift": fitted["shift"],
     })
-    scored = texts.mapInArrow(_score(model), "doc_id long, score double")
+    return plain.mapInArrow(_score(model, column), StructType([*plain.schema.fields, StructField(column, DoubleType())]))
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, per_class: int = 3000, threshold: float = 0.3) -> DataFrame:
+    """Score every text: doc_id, held_out, score (0 to 1), predicted (score >= ``threshold``), one row a row.
+
+    Labels (doc_id, quality 0 or 1) teach only from ids whose crc32 modulo 5 is not 0; the others are held out. A
+    score sees the text alone. NULL text is empty, and an empty text is scored by the model's constant. Rows with
+    NULL or repeated ids are scored like all others. Without labels every score is 0.5. Extra columns are ignored.
+    """
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    scored = with_quality(texts, labels, per_class, "score")
     return scored.select(
         "doc_id", (crc_fold() == 0).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
+from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.partenum import jaccard_join
 from ledgerloom.llm.pq import near_duplicates
+from ledgerloom.llm.pseudonyms import pseudonymised
 from ledgerloom.llm.quality import quality_scores
 from ledgerloom.llm.topk import top_k
 from ledgerloom.llm.toxicity import toxicity_grades
 from ledgerloom.llm.wavelet import read_documents, write_shards
 
+# The key of the registered query; a user passes a secret one.
+KEY = b"key of the registered query"
+
 
 def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's place, length and checksum, as read back from the written wavelet shards."""
@@ -30,6 +36,12 @@ def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_grades(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus mixed to 95 % of the largest source entropy, at most 4 readings a source, at its own token budget."""
+    chosen = mixed(table(spark, sf_dir, "documents"), entropy=0.95, repeats=4.0, budget=1.0)
+    return chosen.select("doc_id", "source", "mix_block", "mix_position")
+
+
 def op6_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every vector's links and component at a cosine of 0.95."""
     return near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.95)
@@ -40,6 +52,12 @@ def op7_quality_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), threshold=0.3)
 
 
+def op8_feistel_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its private values replaced by format-preserving pseudonyms."""
+    hidden = pseudonymised(table(spark, sf_dir, "documents"), KEY)
+    return hidden.select("doc_id", "text", F.size("private_kinds").alias("n_private"))
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's pieces and their places in sequences of at most 1024 ids."""
     return pack(table(spark, sf_dir, "documents"), end_id=2, tokens=1024)
@@ -54,8 +72,10 @@ REGISTRY = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_branch_and_bound": op2_branch_and_bound,
     "op3_ordinal_toxicity": op3_ordinal_toxicity,
+    "op5_temperature_mix": op5_temperature_mix,
     "op6_product_quantisation": op6_product_quantisation,
     "op7_quality_nbsvm": op7_quality_nbsvm,
+    "op8_feistel_pii": op8_feistel_pii,
     "op9_vector_packing": op9_vector_packing,
     "op10_jaccard_join": op10_jaccard_join,
 }

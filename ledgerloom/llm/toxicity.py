@@ -4,7 +4,7 @@ P(grade >= k) = sigmoid(w . x - cut_k): one weight vector for all grades and an
 the logarithms of word counts. The result is the expected grade, the sum of those probabilities.
 
 Labels only say toxic or not. Grades above 1 come from how many occurrences a toxic text has of words marked by the
-labels themselves: words that occur in several toxic training texts and hardly in others (``STEPS``). The fit runs in
+labels themselves: words and word beginnings that occur in several toxic training texts and hardly in others. The fit runs in
 one task on a bounded sample; scores cover all rows.
 """
 
@@ -19,8 +19,8 @@ from ledgerloom.llm.common import crc_fold, ship_code
 from ledgerloom.llm.features import SIZE, word_counts
 from ledgerloom.llm.labelled import training_sample
 
-# Marked occurrences from which a toxic text has grade 2 and grade 3.
-STEPS = (3, 6)
+# Marked occurrences, up to three for one word, from which a toxic text has grade 2 and grade 3.
+STEPS = (7, 16)
 MODEL = "weight binary, cuts binary"
 
 
