@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import textbytes
+from ledgerloom.llm import blobs, textbytes
 from ledgerloom.llm.common import grouped, key_runs, parts, ship_code, written
 from ledgerloom.llm.components import components
 from ledgerloom.llm.textbytes import mix
@@ -33,7 +33,6 @@ SKETCH = 128
 BLOCK = 2048
 
 SETS = "doc_id long, n_shingles long, node long, sketch binary"
-BLOBS = "bucket int, nodes binary, at binary, sigs binary"
 GROUPS = "gid long, size long, node long"
 PAIRS = "a long, b long"
 
@@ -123,96 +122,38 @@ def _sets(k: int):
     return run
 
 
-def _blobs(k: int, threshold: Fraction, buckets: int, flush: int = 2_000_000):
-    """Signatures of a partition's different sets, dealt out by their leading bits.
-
-    A blob lists its nodes once; an entry is six bytes of signature and a two-byte place in that list.
-    """
+def _blobs(k: int, threshold: Fraction, buckets: int):
+    """Signatures of a partition's different sets."""
 
     def run(batches):
         lows = size_bands(threshold)
         forms = [shape(threshold, int(high) - 1) for high in lows[1:]]
         seen: set[int] = set()
-        nodes: list[int] = []
-        keys: list[np.ndarray] = []
-        held = 0
-
-        def emit():
-            values = np.concatenate(keys)
-            owner = np.repeat(np.arange(len(nodes), dtype=np.uint16), [len(x) for x in keys])
-            bucket = ((values >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
-            order = np.argsort(bucket, kind="stable")
-            values, owner = values[order], owner[order]
-            low = np.ascontiguousarray(values.view(np.uint8).reshape(-1, 8)[:, :6])
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-            names = np.array(nodes, np.int64)
-            out: list[tuple] = []
-            for b in np.flatnonzero(np.diff(cuts)):
-                own = slice(cuts[b], cuts[b + 1])
-                used, place = np.unique(owner[own], return_inverse=True)
-                out.append((int(b), names[used].tobytes(), place.astype(np.uint16).tobytes(), low[own].tobytes()))
-            columns = list(zip(*out))
-            return pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])],
-                names=["bucket", "nodes", "at", "sigs"],
-            )
-
+        writer = blobs.Writer(buckets)
         for batch in batches:
             for elements in text_sets(batch.column("text"), k):
-                if not len(elements):
-                    continue
                 node = node_of(elements)
-                if node in seen:
-                    continue
-                seen.add(node)
-                band = int(np.searchsorted(lows, len(elements), "right")) - 1
-                own = np.concatenate([signatures(elements, b, forms[b]) for b in (band, band + 1)])
-                nodes.append(node)
-                keys.append(own)
-                held += len(own)
-                if held >= flush or len(nodes) >= 60_000:
-                    yield emit()
-                    nodes, keys, held = [], [], 0
-        if nodes:
-            yield emit()
+                if len(elements) and node not in seen:
+                    seen.add(node)
+                    band = int(np.searchsorted(lows, len(elements), "right")) - 1
+                    yield from writer.add(node, np.concatenate([signatures(elements, b, forms[b]) for b in (band, band + 1)]))
+        yield from writer.close()
 
     return run
 
 
 def _shared(batches):
     """Of each bucket, the different groups of two or more nodes that share a signature."""
-    for rows, cuts in key_runs(batches, ["bucket"]):
-        for i in range(len(cuts) - 1):
-            names, owners, sigs, base = [], [], [], 0
-            for blob in rows.slice(cuts[i], cuts[i + 1] - cuts[i]).to_pylist():
-                own = np.frombuffer(blob["nodes"], np.int64)
-                names.append(own)
-                owners.append(np.frombuffer(blob["at"], np.uint16).astype(np.int64) + base)
-                raw = np.zeros((len(blob["at"]) // 2, 8), np.uint8)
-                raw[:, :6] = np.frombuffer(blob["sigs"], np.uint8).reshape(-1, 6)
-                sigs.append(raw.view(np.uint64).ravel())
-                base += len(own)
-            different, place = np.unique(np.concatenate(names), return_inverse=True)
-            owner, sig = place[np.concatenate(owners)], np.concatenate(sigs)
-            yield from _groups(different, owner, sig)
-
-
-def _groups(names: np.ndarray, owner: np.ndarray, sig: np.ndarray) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((owner, sig))
-    sig, owner = sig[order], owner[order]
-    keep = np.ones(len(sig), bool)
-    keep[1:] = (sig[1:] != sig[:-1]) | (owner[1:] != owner[:-1])
-    sig, owner = sig[keep], owner[keep]
-    starts = np.flatnonzero(np.concatenate([[True], sig[1:] != sig[:-1]]))
-    sizes = np.diff(np.append(starts, len(sig)))
-    sums = np.add.reduceat(mix(names[owner].view(np.uint64), 13), starts)
-    gid = mix(sums + sizes.astype(np.uint64), 14).view(np.int64)
-    starts, sizes, gid = starts[sizes > 1], sizes[sizes > 1], gid[sizes > 1]
-    gid, first = np.unique(gid, return_index=True)
-    starts, sizes = starts[first], sizes[first]
-    at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
-    arrays = [pa.array(np.repeat(gid, sizes)), pa.array(np.repeat(sizes, sizes)), pa.array(names[owner[at]])]
-    yield pa.RecordBatch.from_arrays(arrays, names=["gid", "size", "node"])
+    for names, owner, starts in blobs.read(batches):
+        sizes = np.diff(np.append(starts, len(owner)))
+        sums = np.add.reduceat(mix(names[owner].view(np.uint64), 13), starts)
+        gid = mix(sums + sizes.astype(np.uint64), 14).view(np.int64)
+        starts, sizes, gid = starts[sizes > 1], sizes[sizes > 1], gid[sizes > 1]
+        gid, first = np.unique(gid, return_index=True)
+        starts, sizes = starts[first], sizes[first]
+        at = np.arange(sizes.sum()) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+        arrays = [pa.array(np.repeat(gid, sizes)), pa.array(np.repeat(sizes, sizes)), pa.array(names[owner[at]])]
+        yield pa.RecordBatch.from_arrays(arrays, names=["gid", "size", "node"])
 
 
 def _allowed(threshold: Fraction, connected: bool):
@@ -322,8 +263,8 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFr
     sketches = full.select("node", "doc_id", "sketch").join(nodes, "node").filter("doc_id = rep").dropDuplicates(["node"])
     sketches = written(sketches.select("node", "n_shingles", "sketch"))
     buckets = parts(spark)
-    blobs = docs.filter("doc_id is not null").mapInArrow(_blobs(k, threshold, buckets), BLOBS)
-    groups = written(grouped(blobs, ["bucket"]).mapInArrow(_shared, GROUPS).distinct())
+    dealt = docs.filter("doc_id is not null").mapInArrow(_blobs(k, threshold, buckets), blobs.BLOBS)
+    groups = written(grouped(dealt, ["bucket"]).mapInArrow(_shared, GROUPS).distinct())
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     cells = (
         groups.join(sketches, "node")

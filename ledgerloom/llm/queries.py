@@ -9,6 +9,7 @@ from ledgerloom.llm.common import table
 from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.partenum import jaccard_join
+from ledgerloom.llm.passages import repeated_passages
 from ledgerloom.llm.pq import near_duplicates
 from ledgerloom.llm.pseudonyms import pseudonymised
 from ledgerloom.llm.quality import quality_scores
@@ -36,6 +37,11 @@ def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_grades(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op4_compact_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words and more that two documents share."""
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_temperature_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus mixed to 95 % of the largest source entropy, at most 4 readings a source, at its own token budget."""
     chosen = mixed(table(spark, sf_dir, "documents"), entropy=0.95, repeats=4.0, budget=1.0)
@@ -72,6 +78,7 @@ REGISTRY = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_branch_and_bound": op2_branch_and_bound,
     "op3_ordinal_toxicity": op3_ordinal_toxicity,
+    "op4_compact_windows": op4_compact_windows,
     "op5_temperature_mix": op5_temperature_mix,
     "op6_product_quantisation": op6_product_quantisation,
     "op7_quality_nbsvm": op7_quality_nbsvm,
