@@ -73,3 +73,9 @@ def present_count(columns: list[str]) -> Column:
 
 def missing_count(columns: list[str]) -> Column:
     return F.lit(len(columns)) - present_count(columns)
+
+
+def exact_mean(value: Column, digits: int = 12) -> Column:
+    """Mean that does not depend on the order of rows: the sum is taken in decimals of ``digits`` digits."""
+    total = F.sum(value.cast(f"decimal(38,{digits})")).cast("double")
+    return total / F.nullif(F.count(value), F.lit(0))

@@ -7,17 +7,15 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.numbers import indicator, round_half_even, safe_divide
+from ledgerloom.functions.numbers import exact_mean, indicator, round_half_even, safe_divide
 from ledgerloom.operators.clean import series_window
 from ledgerloom.operators.dedupe import keep_first
 from ledgerloom.operators.joins import attach_groups
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranks import ntile_by_sort
-from ledgerloom.session import BROADCAST_ROWS, small_side
+from ledgerloom.session import cut_lineage
 
 GROUP = ("target_sector", "fiscal_year")
-# A peer search is about single companies; comparing a whole group with itself is refused.
-MAX_PICKED = 100
 
 
 def _grouped(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -34,7 +32,7 @@ def join_external(panel: DataFrame, other: DataFrame, on: Sequence[str], how: st
 
 
 def group_mean(df: DataFrame, column: str, keys: Sequence[str] = GROUP, name: str | None = None) -> DataFrame:
-    return _grouped(df, keys).groupBy(*keys).agg(F.avg(column).alias(name or f"{column}_mean"))
+    return _grouped(df, keys).groupBy(*keys).agg(exact_mean(F.col(column)).alias(name or f"{column}_mean"))
 
 
 def group_volatility(df: DataFrame, column: str, keys: Sequence[str] = GROUP) -> DataFrame:
@@ -121,9 +119,9 @@ def event_study(
     sector: str = "target_sector",
     year: str = "fiscal_year",
 ) -> DataFrame:
-    """Mean of a column per sector in two year windows, and the change."""
+    """Mean of an amount per sector in two year windows, and the change."""
     def window_mean(span: tuple[int, int]) -> Column:
-        return F.avg(F.when(F.col(year).between(*span), F.col(column)))
+        return exact_mean(F.when(F.col(year).between(*span), F.col(column)), 4)
 
     means = df.where(F.col(sector).isNotNull()).groupBy(sector).agg(
         window_mean(before).alias("before"), window_mean(after).alias("after")
@@ -189,34 +187,69 @@ def closest_peers(
 ) -> DataFrame:
     """Nearest companies in the group of each picked one, by distance of standardised columns.
 
-    ``picked`` holds the entity and group keys of the companies asked about, a few per group; each
-    other company meets only those. Spark keeps ``limit`` rows per picked company in every task.
+    ``picked`` holds the entity and group keys of the companies asked about, any number of them.
+    Companies lie in grid cells; a picked one looks into its own and the neighbouring cells, which
+    hold everything within one cell width. Whoever has ``limit`` peers within that width is done,
+    the others look again in cells twice as wide. Of companies at exactly one place only
+    ``limit`` + 1 can be among the nearest, so no more of them are met.
     """
     joined = with_group_moments(df, columns, keys)
-    scaled = joined.select(
-        *keys,
-        entity,
-        *[
-            safe_divide(F.col(name) - F.col(f"{name}__mean"), F.col(f"{name}__std")).alias(name)
-            for name in columns
-        ],
-    ).dropna(subset=list(columns))
-    asked = scaled.join(picked.select(*keys, entity), [*keys, entity], "left_semi").select(
-        *keys, F.col(entity).alias("picked"), *[F.col(name).alias(f"_{name}") for name in columns]
+    scaled = cut_lineage(
+        joined.select(
+            *keys,
+            entity,
+            *[
+                safe_divide(F.col(name) - F.col(f"{name}__mean"), F.col(f"{name}__std")).alias(name)
+                for name in columns
+            ],
+        ).dropna(subset=list(columns))
     )
-    few, rows = small_side(asked)
-    crowd = few.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"]
-    if crowd and crowd > MAX_PICKED:
-        raise ValueError(f"{crowd} companies picked in one group; ask for at most {MAX_PICKED}")
-    few = F.broadcast(few) if rows <= BROADCAST_ROWS else few
-    pairs = scaled.join(few, list(keys)).where(F.col(entity) != F.col("picked"))
+    alike = Window.partitionBy(*keys, *columns).orderBy(entity)
+    points = scaled.withColumn("_same", F.row_number().over(alike)).where(F.col("_same") <= limit + 1).drop("_same")
+    points = points.withColumnsRenamed({entity: "peer"})
+    asked = scaled.join(picked.select(*keys, entity), [*keys, entity], "left_semi")
+    waiting = cut_lineage(
+        asked.select(*keys, F.col(entity).alias("picked"), *[F.col(name).alias(f"_{name}") for name in columns])
+    )
+    spans = [F.max(name) - F.min(name) for name in columns]
+    groups = scaled.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.greatest(F.lit(0.0), *spans).alias("span"))
+    largest = groups.agg(F.max("n").alias("n"), F.max("span").alias("span")).first()
+    span = largest["span"] or 0.0
+    width = span * min(1.0, (limit / (largest["n"] or 1)) ** (1 / len(columns))) or 1.0
+    found = None
+    while True:
+        near = _nearest_in_cells(waiting, points, columns, keys, width, limit)
+        every = width >= span
+        ready = near.where((F.col("place") == limit) & (F.col("distance") <= width * (1 - 1e-9))).select(*keys, "picked")
+        done = near if every else near.join(ready, [*keys, "picked"], "left_semi")
+        found = done if found is None else found.unionByName(done)
+        if every:
+            return found
+        waiting = cut_lineage(waiting.join(ready, [*keys, "picked"], "left_anti"))
+        if waiting.isEmpty():
+            return found
+        width *= 2
+
+
+def _nearest_in_cells(
+    waiting: DataFrame, points: DataFrame, columns: Sequence[str], keys: Sequence[str], width: float, limit: int
+) -> DataFrame:
+    """The ``limit`` nearest points in the cell of each waiting row and the cells around it."""
+    cells = [f"_cell_{name}" for name in columns]
+    placed = points.withColumns({cell: F.floor(F.col(name) / width) for cell, name in zip(cells, columns)})
+    looking = waiting
+    for cell, name in zip(cells, columns):
+        steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
+        looking = looking.withColumn("_step", F.explode(steps))
+        looking = looking.withColumn(cell, F.floor(F.col(f"_{name}") / width) + F.col("_step")).drop("_step")
+    pairs = looking.join(placed, [*keys, *cells]).where(F.col("peer") != F.col("picked"))
     square = F.lit(0.0)
     for name in columns:
         gap = F.col(name) - F.col(f"_{name}")
         square = square + gap * gap
-    measured = pairs.select(*keys, "picked", F.col(entity).alias("peer"), F.sqrt(square).alias("distance"))
+    measured = pairs.select(*keys, "picked", "peer", F.sqrt(square).alias("distance"))
     order = Window.partitionBy(*keys, "picked").orderBy("distance", "peer")
-    return measured.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit)
+    return cut_lineage(measured.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit))
 
 
 def with_health_flag(
@@ -244,7 +277,7 @@ def healthy_summary(
 ) -> DataFrame:
     """Sector means of one year's ratios and share of healthy companies; ``df`` carries the flag."""
     one_year = df.where((F.col("fiscal_year") == year) & F.col(sector).isNotNull())
-    means = {name: F.avg(name) for name in ("net_margin", "current_ratio", "debt_to_equity")}
+    means = {name: exact_mean(F.col(name)) for name in ("net_margin", "current_ratio", "debt_to_equity")}
     means["healthy"] = F.avg(indicator(F.col("healthy")))
     return one_year.groupBy(sector).agg(
         *[round_half_even(value, digits).alias(name) for name, value in means.items()]

@@ -8,6 +8,7 @@ already reduced on the map side; windows only run over what is left, which is bo
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -60,13 +61,14 @@ def latest_filing(
 ) -> DataFrame:
     """The filing that counts for every key: latest ``filed``, earliest position among equals.
 
-    A first record without a filing date is never replaced. A ``lead`` column (a tag priority,
-    0 to 100) is compared before anything else. With ``where`` only matching rows compete, and
-    keys with no match come out with NULLs.
+    A first record without a filing date is never replaced. A ``lead`` column (a tag priority)
+    is compared before anything else. With ``where`` only matching rows compete, and keys with
+    no match come out with NULLs. One integer ``position``, unique within a key, is compared in
+    hash tables; several columns are compared as structs.
     """
     payload = list(dict.fromkeys([*([lead] if lead else []), filed, *carry]))
     matches = F.lit(True) if where is None else where
-    if len(position) == 1 and facts.schema[position[0]].dataType == T.IntegerType():
+    if len(position) == 1 and isinstance(facts.schema[position[0]].dataType, (T.IntegerType, T.LongType)):
         picked = _by_packed_order(facts, keys, payload, filed, position[0], lead, matches)
     else:
         picked = _by_struct_order(facts, keys, payload, filed, position, lead, matches)
@@ -78,15 +80,19 @@ def latest_filing(
 def _by_packed_order(facts, keys, payload, filed, position, lead, matches) -> DataFrame:
     """First and newest record by one number each, which keeps the aggregation in hash tables.
 
-    Bits from the top: 7 for the lead (reversed), 24 for the filing day, 32 for the position
-    (reversed).
+    Digits from the top: 10 for the lead (reversed), 8 for the filing day, 19 for the position
+    (reversed). Positions are unique within a key, so all columns come from the same record.
     """
+    def digits(value: Column, shift: int) -> Column:
+        return value.cast("decimal(19,0)") * F.lit(Decimal(10) ** shift).cast(f"decimal({shift + 1},0)")
+
     rank = F.lit(0) if lead is None else F.col(lead)
-    rank, place = rank.cast("long"), F.col(position).cast("long")
+    place = F.col(position).cast("decimal(20,0)")
     day = F.unix_date(filed).cast("long") + (1 << 23)
-    newest = (F.lit(127) - rank) * (1 << 56) + day * (1 << 32) + (F.lit((1 << 32) - 1) - place)
-    first = rank * (1 << 32) + place
-    by_newest, by_first = F.when(matches, newest), F.when(matches, first)
+    newest = digits(F.lit(10**10 - 1) - rank.cast("long"), 27) + digits(day, 19) + (F.lit(Decimal(10) ** 19 - 1) - place)
+    first = digits(rank, 19) + place
+    by_newest = F.when(matches, newest.cast("decimal(38,0)"))
+    by_first = F.when(matches, first.cast("decimal(38,0)"))
     grouped = facts.groupBy(*keys).agg(
         *[F.min_by(name, by_first).alias(f"_first_{name}") for name in payload],
         *[F.max_by(name, by_newest).alias(f"_newest_{name}") for name in payload],

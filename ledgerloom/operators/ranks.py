@@ -18,10 +18,10 @@ def percent_ranks(
     measures: Mapping[str, Column],
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Average-tie percent rank of several measures within ``by``, one row per ``key``.
+    """Average-tie percent rank of several measures within ``by``, one row per ``key`` of ``df``.
 
     A measure's rank is (rows below + (ties + 1) / 2) / rows with a value. NULL measures and
-    rows without a group have no rank. All measures share one pass: equal values are counted
+    rows without a group have the rank NULL. All measures share one pass: equal values are counted
     first, ranks are computed on distinct values, and rows look theirs up.
     """
     long = melt(df, measures, [by, key])
@@ -34,7 +34,8 @@ def percent_ranks(
         ((F.col("below") + (F.col("rows") + 1) / 2) / F.col("total")).alias("rank"),
     )
     looked_up = lookup_join(long, ranked, counts, [*group, "value"], "rows", hot_rows)
-    return looked_up.groupBy(key).agg(
+    unranked = df.select(key, F.lit(None).cast("string").alias("column"), F.lit(None).cast("double").alias("rank"))
+    return looked_up.select(key, "column", "rank").unionByName(unranked).groupBy(key).agg(
         *[F.max(F.when(F.col("column") == name, F.col("rank"))).alias(name) for name in measures]
     )
 

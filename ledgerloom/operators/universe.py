@@ -50,10 +50,13 @@ def matched_only(universe: DataFrame, filers: DataFrame, on: str = "cik_key") ->
 
 
 def with_filer_lookup(universe: DataFrame, categories: DataFrame) -> DataFrame:
-    """Industry columns by bare cik; unmatched companies get '' and 'Unknown'."""
-    side = categories.select(
-        bare_cik(F.col("cik")).alias("cik_key"), "sic_code", "sic_description", "target_sector"
-    )
+    """Industry columns by bare cik; unmatched companies get '' and 'Unknown'.
+
+    Of several categories for one company the least counts. Unreadable ids match nothing.
+    """
+    industry = ["sic_code", "sic_description", "target_sector"]
+    keyed = categories.select(bare_cik(F.col("cik")).alias("cik_key"), *industry).where(F.col("cik_key") != "")
+    side = keep_first(keyed, ["cik_key"], industry)
     joined = universe.drop(*OPTIONAL).withColumn("cik_key", bare_cik(F.col("cik"))).join(side, "cik_key", "left")
     return joined.withColumns(
         {

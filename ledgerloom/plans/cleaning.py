@@ -56,17 +56,18 @@ def _present(df: DataFrame, names: tuple[str, ...]) -> list[str]:
 def clean_panel(raw: DataFrame, entity: str = "ticker", period: str = "period_end") -> CleanPanel:
     """Tidy, validate, dedupe, fill, winsorize, add lags and growth, in this order.
 
-    The panel is written out twice: before the quantile passes, which read it more than once,
-    and after the lag window for the same reason. Everything between is a projection.
+    The input is read once: the write before the quantile passes also takes the counts of the
+    input. The panel is written again after the lag window, because the late quantiles read it more
+    than once. Everything between is a projection.
     """
     signed, carried = _present(raw, rules.NOT_NEGATIVE), _present(raw, rules.CARRY_FORWARD)
     medians = _present(raw, rules.MEDIAN_FILLED)
     negative = F.lit(0).cast("long")
     for name in signed:
-        negative = negative + F.count_if(F.col(name) < 0)
-    arrived = raw.agg(F.count(F.lit(1)).alias("rows"), negative.alias("negative")).first()
+        negative = negative + F.coalesce((F.col(name) < 0).cast("long"), F.lit(0))
+    landed, arrived = _counted_table(raw, [], rows=F.count(F.lit(1)), negative=_total(negative))
 
-    possible = clean.drop_impossible(clean.tidy_text(raw))
+    possible = clean.drop_impossible(clean.tidy_text(landed))
     ties = [F.desc_nulls_last("filing_date")] if "filing_date" in raw.columns else []
     counted = [name for name in raw.columns if name not in TEXTS]
     unique = dedupe.keep_most_complete(possible, [entity, period], ties, counted)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.operators import annual, facts, features, statements
@@ -27,13 +30,37 @@ def annual_facts(documents: DataFrame) -> DataFrame:
     return docs.flatten_facts(documents, tags, rules.ANNUAL_UNITS, any_unit=True)
 
 
+def in_one_unit(
+    long_facts: DataFrame, forms: Sequence[str], units: Sequence[str], any_unit: bool = False
+) -> DataFrame:
+    """Each tag's accepted facts in the first listed unit it has at all, latest filing per period.
+
+    Facts with a ``unit_pos`` may hold a tag in several units, whose values must not compete. With
+    ``any_unit`` other units follow in the document's order. Facts without it were flattened with a
+    unit preference: the choice is made, and nothing has to be shuffled for it.
+    """
+    if "unit_pos" not in long_facts.columns:
+        return facts.accepted(long_facts, forms)
+    others = F.col("unit_pos") if any_unit else None
+    accepted = F.col("form").isin(*forms) & F.col("period_end").isNotNull() & F.col("val").isNotNull()
+    return facts.latest_in_preferred_unit(
+        long_facts,
+        [*ENTITY, "taxonomy", "tag"],
+        "period_end",
+        facts.unit_rank(F.col("unit"), units, others),
+        accepted,
+        ["val", "pos"],
+    )
+
+
 def quarterly_panel(long_facts: DataFrame, universe: DataFrame, join_on: str = "filing") -> DataFrame:
     """One row per filer and period end, with industry and identity check.
 
-    Two shuffles over the facts: one to the winning value per field and period, one to the row
-    per period. Both combine on the map side first.
+    Two shuffles over facts whose units are chosen: one to the winning value per field and period,
+    which combines on the map side, and one of those winners to the filer, where the statements meet.
+    Facts in several units are first reduced to the latest value per tag, unit and period.
     """
-    kept = facts.accepted(long_facts, rules.QUARTERLY_FORMS)
+    kept = in_one_unit(long_facts, rules.QUARTERLY_FORMS, rules.QUARTERLY_UNITS)
     tagged = facts.with_fields(kept, rules.quarterly_rules(long_facts.sparkSession))
     resolved = facts.resolve_by_period(tagged, ENTITY)
     merged = statements.merge_statements(resolved, ENTITY, join_on=join_on)
@@ -51,9 +78,8 @@ def quarterly_dataset(long_facts: DataFrame, universe: DataFrame, join_on: str =
 
 def annual_panel(long_facts: DataFrame, universe: DataFrame) -> DataFrame:
     """One row per filer and fiscal year with at least three fields."""
-    kept = facts.with_calendar(
-        facts.accepted(long_facts, rules.ANNUAL_FORMS, rules.FIRST_ANNUAL_YEAR)
-    )
+    chosen = in_one_unit(long_facts, rules.ANNUAL_FORMS, rules.ANNUAL_UNITS, any_unit=True)
+    kept = facts.with_calendar(chosen).where(F.col("fiscal_year") >= rules.FIRST_ANNUAL_YEAR)
     tagged = facts.with_fields(kept, rules.annual_rules(long_facts.sparkSession))
     resolved = facts.resolve_by_entity(tagged, ENTITY)
     collapsed = annual.collapse_year(resolved, ENTITY)

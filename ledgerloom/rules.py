@@ -230,8 +230,6 @@ def tag_rules(
     rows, order = [], 0
     for taxonomy, statement, fields in groups:
         for name, tags in fields.items():
-            if len(tags) > 100:
-                raise ValueError(f"{name} has more than 100 tags")
             rows += [(taxonomy, tag, statement, name, order, rank) for rank, tag in enumerate(tags)]
             order += 1
     return spark.createDataFrame(rows, TAG_SCHEMA)

@@ -60,7 +60,7 @@ def flatten_facts(
 
     ``tags`` keeps only those concepts before anything is exploded. With ``unit_preference`` each
     tag is read in the first listed unit it has at all (``any_unit``: else in its first one);
-    without, every unit comes out and ``unit_pos`` keeps the document's unit order.
+    without, every unit comes out and a column ``unit_pos`` keeps the document's unit order.
     """
     head = [
         F.col("ticker"),
@@ -83,14 +83,15 @@ def flatten_facts(
     else:
         chosen = by_tag.withColumn("unit", _unit_choice(units, unit_preference, any_unit))
         by_unit = chosen.where(F.col("unit").isNotNull()).select(
-            *keys, F.lit(0).alias("unit_pos"), "unit", F.try_element_at(units, F.col("unit")).alias("records")
+            *keys, "unit", F.try_element_at(units, F.col("unit")).alias("records")
         )
-    records = by_unit.select(*keys, "unit", "unit_pos", F.posexplode("records").alias("pos", "record"))
+    place = ["unit_pos"] if unit_preference is None else []
+    records = by_unit.select(*keys, "unit", *place, F.posexplode("records").alias("pos", "record"))
     value = F.col("record.val")
     return records.select(
         *keys,
         "unit",
-        "unit_pos",
+        *place,
         "pos",
         F.col("record.end").try_cast("date").alias("period_end"),
         F.when(~F.isnan(value), value).alias("val"),

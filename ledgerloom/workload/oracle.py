@@ -12,7 +12,7 @@ SQL: dict[str, str] = {}
 
 # --- views -----------------------------------------------------------------------------------
 
-POSITION = "p1, p2, p3, p4, p5"
+POSITION = "pos"
 
 
 def _facts(per: int) -> str:
@@ -23,7 +23,7 @@ select cast(floor(o_custkey / {per}) as bigint) as cik,
   o_orderpriority as form, o_orderstatus as fp,
   last_day(cast(date_trunc('quarter', o_orderdate) + interval '2' month as date)) as period_end,
   cast(l_shipdate as date) as filed, l_extendedprice - 5000 as val,
-  l_orderkey as p1, l_linenumber as p2, l_partkey as p3, l_suppkey as p4, l_extendedprice as p5
+  (l_orderkey * 8 + l_linenumber) * 16777216 + l_partkey as pos, l_extendedprice as price
 from lineitem join orders on l_orderkey = o_orderkey"""
 
 
@@ -74,8 +74,8 @@ select cik, period_end, cast(year(period_end) as int) as fiscal_year,
   {_PANEL_COLUMNS}
 from latest_tx group by cik, period_end""",
     "sector_tx": """
-select c_custkey // 10 as cik, c_mktsegment as target_sector, c_name as company
-from customer where c_custkey % 10 = 0""",
+select c_custkey // 10 as cik, arg_min(c_mktsegment, c_custkey) as target_sector, arg_min(c_name, c_custkey) as company
+from customer group by 1""",
     "sector_panel_tx": """
 select p.*, s.target_sector, s.company from panel_tx p left join sector_tx s on s.cik = p.cik""",
     "ratio_panel_tx": f"""
@@ -160,6 +160,7 @@ select c_custkey as row_id, cast(floor(c_custkey / 2) as bigint) as cik_num,
   case when c_custkey % 5 = 0 then 'other' else 'Operating' end as entity_type,
   c_custkey % 7 <> 0 as files_10k, c_custkey % 11 = 0 as files_20f_or_40f
 from customer"""
+VIEWS["buyers_tx"] = "select * from universe_tx where row_id in (select o_custkey from orders where year(o_orderdate) >= 2001)"
 VIEWS["raw_universe_tx"] = """
 select *, case when row_id % 23 = 0 then 'n/a' when row_id % 3 = 0 then concat(cast(cik_num as varchar), '.0')
   else cast(cik_num as varchar) end as cik from universe_tx"""
@@ -339,15 +340,15 @@ select u.row_id, lpad(cast(u.cik_num as varchar), 10, '0') as cik, u.ticker,
   coalesce(k.sic_code, '') as sic_code, coalesce(k.sic_description, 'Unknown') as sic_description,
   coalesce(k.target_sector, 'Unknown') as target_sector
 from universe_tx u left join (
-  select case when cik_num = 0 then '' else cast(cik_num as varchar) end as key,
-    coalesce(cast(sic_code as varchar), '') as sic_code,
-    'listed' as sic_description, {sector_case('sic_code')} as target_sector
-  from universe_tx where row_id % 4 = 0) k
-on k.key = case when u.cik_num = 0 then '' else cast(u.cik_num as varchar) end""")
+  select * from (select cik_num, coalesce(cast(sic_code as varchar), '') as sic_code,
+      'listed' as sic_description, {sector_case('sic_code')} as target_sector,
+      row_number() over (partition by cik_num order by coalesce(cast(sic_code as varchar), ''), {sector_case('sic_code')}) as rn
+    from buyers_tx where cik_num <> 0) a where rn = 1) k
+on k.cik_num = u.cik_num""")
 add("profile_join", """
 select u.row_id, lpad(cast(u.cik_num as varchar), 10, '0') as cik, u.ticker, p.entity_type, p.files_10k
-from universe_tx u left join (select * from universe_tx where row_id % 2 = 0) p
-on p.cik_num = u.cik_num and u.cik_num <> 0""")
+from universe_tx u left join (select * from (select *, row_number() over (partition by cik_num order by row_id) as rn
+  from buyers_tx where cik_num <> 0) a where rn = 1) p on p.cik_num = u.cik_num""")
 add("external_join", """
 select p.cik, p.period_end, p.fiscal_year, p.revenue, m.mean_order
 from panel_tx p left join (
@@ -357,17 +358,17 @@ add("market_values", f"""
 select cik, period_end, {even('market_value * stock_price', 4)} as market_cap,
   {even('market_value * stock_price + long_term_debt - cash', 4)} as enterprise_value
 from panel_tx p left join (
-  select cik, cast(year(period_end) as int) as fiscal_year, round(avg(p5) / 1000, 4) as stock_price
+  select cik, cast(year(period_end) as int) as fiscal_year, round(avg(price) / 1000, 4) as stock_price
   from facts_tx group by 1, 2) s using (cik, fiscal_year)""", 4, ["market_cap", "enterprise_value"])
 add("membership_semi", """
 select row_id, lpad(cast(cik_num as varchar), 10, '0') as cik from universe_tx
 where cik_num <> 0 and cik_num in (select cik_num from universe_tx where files_10k)""")
 add("fetch_worklist", """
 select ticker, row_id from universe_tx
-where ticker not in (select ticker from universe_tx where row_id % 3 = 0)""")
+where ticker not in (select ticker from buyers_tx)""")
 add("orphans", """
 select row_id, lower(ticker) as ticker from universe_tx
-where upper(ticker) not in (select upper(ticker) from universe_tx where row_id % 3 = 0)""")
+where upper(ticker) not in (select upper(ticker) from buyers_tx)""")
 add("concat_frames", f"""
 select cik, period_end, arg_min(filed, field_order) as filing_date,
   max(case when field = 'assets' then val end) as assets, {_CALENDAR}, cast(null as double) as sales
@@ -376,6 +377,88 @@ union all
 select cik, period_end, arg_min(filed, field_order), null, {_CALENDAR}, max(case when field = 'sales' then val end)
 from resolved_tx where field = 'sales' group by cik, period_end""")
 
+# --- documents -------------------------------------------------------------------------------
+
+
+def _named(column: str, names: dict[str, str]) -> str:
+    return f"case {column} " + " ".join(f"when '{old}' then '{new}'" for old, new in names.items()) + " end"
+
+
+VIEWS["document_facts_tx"] = f"""
+select concat('T', cast(cik as varchar)) as ticker, lpad(cast(cik as varchar), 10, '0') as cik,
+  concat('Filer ', cast(cik as varchar)) as company, 'us-gaap' as taxonomy, tag, unit,
+  cast(row_number() over (partition by cik, tag, unit order by pos) - 1 as int) as pos, period_end, val, form, fp, filed
+from (select * replace ({_named('tag', v.DOCUMENT_TAGS)} as tag, {_named('form', v.DOCUMENT_FORMS)} as form) from facts_tx) f
+where tag is not null and cik % 7 <> 0"""
+VIEWS["unit_facts_tx"] = """
+select * from (select *, min(case unit when 'USD' then 0 when 'USD/shares' then 1 end) over (partition by cik, tag) as best
+  from document_facts_tx) d where best = case unit when 'USD' then 0 when 'USD/shares' then 1 end"""
+_LONG = "ticker, cik, company, taxonomy, tag, unit, pos, period_end, val, form, fp, filed"
+add("flatten_facts", f"select {_LONG} from document_facts_tx")
+add("document_units", f"select {_LONG} from unit_facts_tx")
+add("rejected_documents", f"""
+select distinct concat('T', cast(cik as varchar)) as ticker from facts_tx
+where cik % 7 = 0 and {_named('tag', v.DOCUMENT_TAGS)} is not null""")
+# field, statement, its place among all fields of the panel, and its tags, best first
+_DOCUMENT_FIELDS = [
+    ("inventory", "balance", 3, ["InventoryNet", "InventoryGross"]),
+    ("total_assets", "balance", 8, ["Assets"]),
+    ("long_term_debt", "balance", 11, ["LongTermDebtNoncurrent", "LongTermDebt"]),
+    ("total_liabilities", "balance", 12, ["Liabilities"]),
+    ("equity", "balance", 13, ["StockholdersEquity"]),
+    ("revenue", "income", 14, ["SalesRevenueNet", "Revenues"]),
+    ("cost_of_revenue", "income", 15, ["CostOfGoodsSold", "CostOfRevenue"]),
+    ("gross_profit", "income", 16, ["GrossProfit"]),
+    ("net_income", "income", 20, ["NetIncomeLoss"]),
+]
+VIEWS["document_rules_tx"] = _values(
+    [(tag, part, name, place, rank) for name, part, place, tags in _DOCUMENT_FIELDS for rank, tag in enumerate(tags)],
+    "tag, statement, field, field_order, priority", "r",
+)
+VIEWS["document_resolved_tx"] = """
+select * from (select f.*, statement, field, field_order,
+    row_number() over (partition by ticker, field, period_end order by priority, filed desc, pos) as rn
+  from unit_facts_tx f join document_rules_tx r on f.tag = r.tag where form in ('10-K', '10-Q')) t where rn = 1"""
+for _part in ("balance", "income"):
+    _spread_fields = ", ".join(
+        f"max(case when field = '{name}' then val end) as {name}" for name, part, _, _ in _DOCUMENT_FIELDS if part == _part
+    )
+    VIEWS[f"document_{_part}_tx"] = f"""
+select ticker, cik, company, period_end, arg_min(filed, field_order) as filing_date, {_spread_fields}
+from document_resolved_tx where statement = '{_part}' group by all"""
+_BALANCE_FIELDS = ", ".join(f"bs.{name}" for name, part, _, _ in _DOCUMENT_FIELDS if part == "balance")
+_INCOME_FIELDS = ", ".join(f"i.{name}" for name, part, _, _ in _DOCUMENT_FIELDS if part == "income")
+_DOCUMENT_PANEL = f"""
+select b.ticker, b.cik, b.company, s.target_sector, b.period_end, b.filing_date,
+  cast(year(b.period_end) as int) as fiscal_year, cast(quarter(b.period_end) as int) as fiscal_quarter,
+  {_BALANCE_FIELDS}, {_INCOME_FIELDS},
+  coalesce(abs(total_assets - (total_liabilities + equity)) <= greatest(coalesce(abs(total_assets), 0) * 0.01::double, 1000000), false)
+    as balance_sheet_valid
+from (select ticker, cik, company, period_end, filing_date from document_balance_tx
+  union all select ticker, cik, company, period_end, filing_date from document_income_tx
+    where ticker not in (select ticker from document_balance_tx)) b
+left join document_balance_tx bs on bs.ticker = b.ticker and bs.period_end = b.period_end and bs.filing_date = b.filing_date
+left join document_income_tx i on i.ticker = b.ticker and i.period_end = b.period_end and i.filing_date = b.filing_date
+left join sector_tx s on lpad(cast(s.cik as varchar), 10, '0') = b.cik"""
+add("quarterly_from_documents", _DOCUMENT_PANEL)
+add("quarterly_from_stored_facts", _DOCUMENT_PANEL)
+_SUBMITTED = """
+(select c.*, f.forms from customer c left join (select o_custkey, list(distinct case o_orderpriority
+  when '1-URGENT' then '10-K' when '2-HIGH' then '10-Q' when '3-MEDIUM' then '10-K' when '4-NOT SPECIFIED' then '20-F'
+  when '5-LOW' then '8-K' end) as forms from orders group by 1) f on f.o_custkey = c.c_custkey) s"""
+add("filer_profiles", f"""
+select cast(c_custkey as varchar) as cik_key, case when c_custkey % 6 <> 0 then 'operating' else '' end as entity_type,
+  '' as state_of_incorporation, c_mktsegment as country, case when c_custkey % 2 = 0 then 'NYSE,OTC' else 'OTC' end as exchanges,
+  coalesce(list_contains(forms, '10-K'), false) as files_10k, coalesce(list_contains(forms, '20-F'), false) as files_20f_or_40f,
+  '' as fiscal_year_end from {_SUBMITTED}""")
+add("filer_categories", f"""
+select case when c_custkey % 4 <> 0 then concat('T', cast(c_custkey as varchar)) else '' end as ticker,
+  lpad(cast(c_custkey as varchar), 10, '0') as cik, case when c_custkey % 5 <> 0 then c_name else '' end as company,
+  case when c_custkey % 3 <> 0 then cast(1000 + (c_custkey * 37) % 8000 as varchar) else '' end as sic_code,
+  case when c_custkey % 3 <> 0 then c_mktsegment else 'Unknown' end as sic_description,
+  case when c_custkey % 3 = 0 then 'Unknown' else {sector_case('(1000 + (c_custkey * 37) % 8000)')} end as target_sector
+from {_SUBMITTED}""")
+
 # --- scalar functions ------------------------------------------------------------------------
 
 add("ticker_index", """
@@ -671,12 +754,14 @@ from {source} where {name} is not null and {group} is not null"""
 _RANKED = ["total_assets", "net_margin", "current_ratio"]
 add("sector_percent_rank", f"""
 select key as ticker, {', '.join(f"max(case when name = '{n}' then r end) as {n}" for n in _RANKED)} from (
-  {' union all '.join(_rank_within(n, 'target_sector', '(select *, ticker as key from target_tx) t') for n in _RANKED)}) u
+  {' union all '.join(_rank_within(n, 'target_sector', '(select *, ticker as key from target_tx) t') for n in _RANKED)}
+  union all select ticker, null, null from target_tx) u
 group by key""", 6, _RANKED)
 _KEYED = "(select *, concat_ws('|', cast(cik as varchar), cast(period_end as varchar)) as key from panel_tx) t"
 add("panel_percent_rank", f"""
 select key, {', '.join(f"max(case when name = '{n}' then r end) as {n}" for n in ('total_assets', 'revenue'))} from (
-  {' union all '.join(_rank_within(n, 'fiscal_year', _KEYED) for n in ('total_assets', 'revenue'))}) u
+  {' union all '.join(_rank_within(n, 'fiscal_year', _KEYED) for n in ('total_assets', 'revenue'))}
+  union all select key, null, null from {_KEYED}) u
 group by key""", 6, ["total_assets", "revenue"])
 add("year_quantiles", "\nunion all ".join(
     f"select fiscal_year, '{n}' as \"column\", count({n}) as n, quantile_cont({n}, 0.01) as p01, median({n}) as p50, "
@@ -753,8 +838,10 @@ select cik, cast(count_if(loss and before and capital < last_capital) as bigint)
 group by cik having count_if(loss and before and capital < last_capital) >= 1""")
 add("event_study", """
 select *, after - before as change from (
-  select target_sector, avg(case when fiscal_year between 1995 and 1997 then revenue end) as before,
-    avg(case when fiscal_year between 1999 and 2001 then revenue end) as after
+  select target_sector, cast(sum(cast(case when fiscal_year between 1995 and 1997 then revenue end as decimal(38, 4))) as double)
+      / count(case when fiscal_year between 1995 and 1997 then revenue end) as before,
+    cast(sum(cast(case when fiscal_year between 1999 and 2001 then revenue end as decimal(38, 4))) as double)
+      / count(case when fiscal_year between 1999 and 2001 then revenue end) as after
   from ratio_panel_tx where target_sector is not null group by 1) t""", 4, ["before", "after", "change"])
 add("quintiles", """
 select cik, period_end, cast(ntile(5) over (partition by fiscal_year order by market_value, cik, period_end) as int) as quintile
@@ -773,7 +860,7 @@ from rated_tx where target_sector is not null) o_{n} where abs(z) > 3""" for n i
 VIEWS["peer_tx"] = """
 select ticker, target_sector, total_assets, (m - avg(m) over w) / nullif(stddev_samp(m) over w, 0) as m,
   (d - avg(d) over w) / nullif(stddev_samp(d) over w, 0) as d
-from (select ticker, target_sector, total_assets, coalesce(net_margin, 0) as m, coalesce(debt_to_equity, 0) as d
+from (select ticker, target_sector, total_assets, net_margin as m, debt_to_equity as d
   from target_tx where target_sector is not null) t window w as (partition by target_sector)"""
 add("peers", """
 select target_sector, picked, peer, distance, cast(place as int) as place from (

@@ -24,6 +24,7 @@ from ledgerloom.operators import (
 from ledgerloom.operators import facts as fx
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranks import percent_ranks
+from ledgerloom.plans import panels
 from ledgerloom.plans.cleaning import clean_panel
 from ledgerloom.session import cut_lineage
 from ledgerloom.sources import documents, landing
@@ -160,7 +161,8 @@ def metadata_join(spark, sf_dir):
 
 @query
 def lookup_default(spark, sf_dir):
-    known = v.universe(spark, sf_dir).where(F.col("row_id") % 4 == 0).select(
+    """Industries are known of the customers that ordered, of some under two rows."""
+    known = v.buyers(spark, sf_dir).select(
         F.col("cik_num").cast("string").alias("cik"),
         F.coalesce(F.col("sic_code").cast("string"), F.lit("")).alias("sic_code"),
         F.lit("listed").alias("sic_description"),
@@ -174,9 +176,8 @@ def lookup_default(spark, sf_dir):
 
 @query
 def profile_join(spark, sf_dir):
-    profiles = v.universe(spark, sf_dir).where(F.col("row_id") % 2 == 0).select(
-        F.col("cik_num").cast("string").alias("cik_key"), "entity_type", "files_10k"
-    )
+    first = dedupe.keep_first(v.buyers(spark, sf_dir), ["cik_num"], ["row_id"])
+    profiles = first.select(F.col("cik_num").cast("string").alias("cik_key"), "entity_type", "files_10k")
     base = v.universe(spark, sf_dir).select(
         "row_id", tx.zero_fill(F.col("cik_num").cast("string"), 10).alias("cik"), "ticker"
     )
@@ -199,7 +200,7 @@ def market_values(spark, sf_dir):
     priced = (
         v.facts(spark, sf_dir)
         .groupBy("cik", F.year("period_end").alias("fiscal_year"))
-        .agg(F.round(F.avg("p5") / 1000, 4).alias("stock_price"))
+        .agg(F.round(F.avg("price") / 1000, 4).alias("stock_price"))
     )
     rows = v.panel(spark, sf_dir).select(
         "cik", "period_end", "fiscal_year", F.col("market_value").alias("shares_outstanding"), "long_term_debt", "cash"
@@ -227,13 +228,13 @@ def membership_semi(spark, sf_dir):
 @query
 def fetch_worklist(spark, sf_dir):
     listed = v.universe(spark, sf_dir).select("row_id", "ticker")
-    landed = listed.where(F.col("row_id") % 3 == 0).select("ticker")
+    landed = v.buyers(spark, sf_dir).select("ticker")
     return landing.fetch_worklist(listed, landed)
 
 
 @query
 def orphans(spark, sf_dir):
-    listed = v.universe(spark, sf_dir).where(F.col("row_id") % 3 == 0).select("ticker")
+    listed = v.buyers(spark, sf_dir).select("ticker")
     landed = v.universe(spark, sf_dir).select("row_id", F.lower("ticker").alias("ticker"))
     return landing.orphans(landed, listed)
 
@@ -247,6 +248,59 @@ def concat_frames(spark, sf_dir):
     return statements.concat_panels(balance, income)
 
 
+# --- documents -------------------------------------------------------------------------------
+
+LONG = ["ticker", "cik", "company", "taxonomy", "tag", "unit", "pos", "period_end", "val", "form", "fp", "filed"]
+
+
+@query
+def flatten_facts(spark, sf_dir):
+    """Every reported value of every facts document."""
+    return documents.flatten_facts(v.fact_documents(spark, sf_dir)).select(*LONG)
+
+
+@query
+def document_units(spark, sf_dir):
+    """Each tag in the first of the quarterly units it has."""
+    return documents.flatten_facts(v.fact_documents(spark, sf_dir), unit_preference=rules.QUARTERLY_UNITS).select(*LONG)
+
+
+@query
+def rejected_documents(spark, sf_dir):
+    return documents.rejected_documents(v.fact_documents(spark, sf_dir))
+
+
+DOCUMENT_PANEL = [
+    "ticker", "cik", "company", "target_sector", "period_end", "filing_date", "fiscal_year", "fiscal_quarter",
+    "total_assets", "total_liabilities", "equity", "long_term_debt", "inventory", "revenue", "cost_of_revenue",
+    "gross_profit", "net_income", "balance_sheet_valid",
+]
+
+
+@query
+def quarterly_from_documents(spark, sf_dir):
+    """The quarterly panel from documents whose units were chosen while they were read."""
+    long = panels.quarterly_facts(v.fact_documents(spark, sf_dir))
+    return panels.quarterly_panel(long, v.filers(spark, sf_dir)).select(*DOCUMENT_PANEL)
+
+
+@query
+def quarterly_from_stored_facts(spark, sf_dir):
+    """The same panel from long facts that hold every unit."""
+    long = cut_lineage(documents.flatten_facts(v.fact_documents(spark, sf_dir)))
+    return panels.quarterly_panel(long, v.filers(spark, sf_dir)).select(*DOCUMENT_PANEL)
+
+
+@query
+def filer_profiles(spark, sf_dir):
+    return documents.filer_profiles(v.submissions(spark, sf_dir))
+
+
+@query
+def filer_categories(spark, sf_dir):
+    return documents.filer_categories(v.submissions(spark, sf_dir))
+
+
 # --- scalar functions ------------------------------------------------------------------------
 
 
@@ -809,9 +863,7 @@ def peers(spark, sf_dir):
     """Five closest companies, by margin and leverage, of each sector's largest company."""
     rows = cut_lineage(
         v.target_snapshot(spark, sf_dir).select(
-            "ticker", "target_sector", "total_assets",
-            F.coalesce("net_margin", F.lit(0.0)).alias("net_margin"),
-            F.coalesce("debt_to_equity", F.lit(0.0)).alias("debt_to_equity"),
+            "ticker", "target_sector", "total_assets", "net_margin", "debt_to_equity"
         )
     )
     picked = analyses.best_in_group(rows, "total_assets", ["target_sector"])

@@ -9,16 +9,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom import schemas
 from ledgerloom.functions.numbers import safe_divide
+from ledgerloom.functions.text import normal_cik
 from ledgerloom.operators.dedupe import keep_first
 from ledgerloom.operators.facts import latest_filing, with_calendar
 from ledgerloom.operators.features import with_target_features
 from ledgerloom.rules import tag_rules
+from ledgerloom.sources.documents import parse_texts
 
-POSITION = ["p1", "p2", "p3", "p4", "p5"]
+# Order, line and part in one number: a filer reports no line twice with the same part.
+POSITION = ["pos"]
 REJECTED_FORM = "5-LOW"
 
 PANEL_TAGS = {
@@ -65,11 +69,8 @@ def facts(spark: SparkSession, sf_dir: str, customers_per_filer: int = 10) -> Da
         F.last_day(F.add_months(F.trunc("o_orderdate", "quarter"), 2)).alias("period_end"),
         F.col("l_shipdate").cast("date").alias("filed"),
         (F.col("l_extendedprice") - 5000).alias("val"),
-        F.col("l_orderkey").alias("p1"),
-        F.col("l_linenumber").alias("p2"),
-        F.col("l_partkey").alias("p3"),
-        F.col("l_suppkey").alias("p4"),
-        F.col("l_extendedprice").alias("p5"),
+        ((F.col("l_orderkey") * 8 + F.col("l_linenumber")) * (1 << 24) + F.col("l_partkey")).cast("long").alias("pos"),
+        F.col("l_extendedprice").alias("price"),
     )
 
 
@@ -110,15 +111,20 @@ def annual_names(df: DataFrame) -> DataFrame:
 
 
 def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sector and name of every filer that has one."""
-    customers = table(spark, sf_dir, "customer").where(F.col("c_custkey") % 10 == 0)
-    return customers.select(
-        F.expr("c_custkey div 10").alias("cik"),
-        F.col("c_mktsegment").alias("target_sector"),
-        F.col("c_name").alias("company"),
+    """Sector and name of every filer: those of the first customer of its group."""
+    return table(spark, sf_dir, "customer").groupBy(F.expr("c_custkey div 10").alias("cik")).agg(
+        F.min_by("c_mktsegment", "c_custkey").alias("target_sector"),
+        F.min_by("c_name", "c_custkey").alias("company"),
     )
 
 
+def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Universe rows of the customers that ordered from 2001 on; others stay without a match."""
+    late = table(spark, sf_dir, "orders").where(F.year("o_orderdate") >= 2001)
+    orders = late.select(F.col("o_custkey").alias("row_id")).distinct()
+    return universe(spark, sf_dir).join(orders, "row_id", "left_semi")
+
+
 def sector_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel(spark, sf_dir).join(sectors(spark, sf_dir), "cik", "left")
 
@@ -201,3 +207,74 @@ def rounded(df: DataFrame, digits: int = 6, keep: Sequence[str] = ()) -> DataFra
     """Round all double columns, so that two engines agree to the last shown digit."""
     doubles = [name for name, kind in df.dtypes if kind == "double" and name not in keep]
     return df.withColumns({name: F.round(name, digits) + F.lit(0.0) for name in doubles})
+
+
+# Tags under which the order lines' codes stand in documents; some feed the same field.
+DOCUMENT_TAGS = {
+    "A1": "Assets", "A2": "Liabilities", "A3": "StockholdersEquity", "A4": "LongTermDebt",
+    "A5": "LongTermDebtNoncurrent", "N1": "Revenues", "N2": "SalesRevenueNet", "N3": "NetIncomeLoss",
+    "N4": "CostOfRevenue", "N5": "CostOfGoodsSold", "R1": "GrossProfit", "R2": "InventoryNet", "R3": "InventoryGross",
+}
+DOCUMENT_FORMS = {"1-URGENT": "10-K", "2-HIGH": "10-Q", "3-MEDIUM": "10-K", "4-NOT SPECIFIED": "10-Q", "5-LOW": "8-K"}
+
+
+def renamed(column: Column, names: dict[str, str]) -> Column:
+    out = F.lit(None).cast("string")
+    for old, new in names.items():
+        out = F.when(column == old, F.lit(new)).otherwise(out)
+    return out
+
+
+def fact_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One facts document per filer as JSON text; every seventh customer group has one without facts."""
+    lines = facts(spark, sf_dir).withColumns(
+        {"tag": renamed(F.col("tag"), DOCUMENT_TAGS), "form": renamed(F.col("form"), DOCUMENT_FORMS)}
+    ).where(F.col("tag").isNotNull())
+    record = F.struct(
+        "pos", F.date_format("period_end", "yyyy-MM-dd").alias("end"), "val", "fp", "form",
+        F.date_format("filed", "yyyy-MM-dd").alias("filed"),
+    )
+    by_unit = lines.groupBy("cik", "tag", "unit").agg(F.array_sort(F.collect_list(record)).alias("records"))
+    by_unit = by_unit.withColumn("records", F.transform("records", lambda r: r.dropFields("pos")))
+
+    def mapped(key: str, value: str) -> Column:
+        return F.map_from_entries(F.collect_list(F.struct(key, value)))
+
+    by_tag = by_unit.groupBy("cik", "tag").agg(F.struct(mapped("unit", "records").alias("units")).alias("body"))
+    by_filer = by_tag.groupBy("cik").agg(mapped("tag", "body").alias("gaap"))
+    body = F.when(F.col("cik") % 7 != 0, F.create_map(F.lit("us-gaap"), F.col("gaap")))
+    text = F.to_json(F.struct(F.col("cik").cast("string").alias("cik"), F.concat(F.lit("Filer "), "cik").alias("entityName"), body.alias("facts")))
+    return by_filer.select(F.concat(F.lit("T"), F.col("cik").cast("string")).alias("ticker"), text.alias("text"))
+
+
+def fact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_texts(fact_texts(spark, sf_dir), schemas.FACTS_DOCUMENT).select("ticker", "doc")
+
+
+def filers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Industries by ten-digit id, for the filers that have a sector."""
+    return sectors(spark, sf_dir).select(
+        normal_cik(F.col("cik")).alias("cik"), F.lit("").alias("sic_code"), F.lit("n/a").alias("sic_description"), "target_sector"
+    )
+
+
+def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parsed submission documents, one per customer, built as JSON text from customers and their orders."""
+    forms = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.array_sort(F.collect_set(renamed(F.col("o_orderpriority"), {**DOCUMENT_FORMS, "4-NOT SPECIFIED": "20-F"}))).alias("form")
+    )
+    key = F.col("c_custkey")
+    lists = F.when(key % 4 != 0, F.array(F.concat(F.lit("T"), key.cast("string")), F.lit("ALT")))
+    body = F.struct(
+        F.when(key % 5 != 0, F.col("c_name")).alias("name"),
+        F.when(key % 3 != 0, (1000 + (key * 37) % 8000).cast("string")).alias("sic"),
+        F.when(key % 3 != 0, F.col("c_mktsegment")).alias("sicDescription"),
+        lists.alias("tickers"),
+        F.array(F.when(key % 2 == 0, "NYSE"), F.lit(""), F.lit("OTC")).alias("exchanges"),
+        F.when(key % 6 != 0, "operating").alias("entityType"),
+        F.struct(F.struct(F.col("c_mktsegment").alias("stateOrCountryDescription")).alias("business")).alias("addresses"),
+        F.struct(F.struct("form").alias("recent")).alias("filings"),
+    )
+    joined = table(spark, sf_dir, "customer").join(forms, "c_custkey", "left")
+    texts = joined.select(key.cast("string").alias("cik_key"), F.to_json(body).alias("text"))
+    return parse_texts(texts, schemas.SUBMISSION_DOCUMENT).select("cik_key", "doc")

@@ -159,3 +159,20 @@ def test_facts_reach_the_panels_in_two_shuffles(spark, tmp_path):
         facts_side = text.split("SortMergeJoin")[-1].rsplit("Exchange hashpartitioning(cik", 1)[0]
         assert len(re.findall(r"Exchange hashpartitioning\(ticker", facts_side)) == 2
         assert text.count("from_json(") == 1
+
+
+def test_stored_facts_in_several_units_do_not_mix(spark, tmp_path):
+    """A later filing in another unit must not replace the value in the preferred one."""
+    gaap = {
+        "Assets": {
+            "EUR": [record("2020-12-31", 999, filed="2022-02-01")],
+            "USD": [record("2020-12-31", 100, filed="2021-02-01")],
+        },
+        "NetIncomeLoss": {"EUR": [record("2020-12-31", 5, filed="2021-02-01")]},
+    }
+    write_json(tmp_path, "AAA.json", document(1, "A Co", gaap))
+    long = docs.flatten_facts(docs.read_fact_documents(spark, str(tmp_path)))
+    quarterly = panels.quarterly_panel(long, universe(spark)).select("total_assets", "net_income")
+    assert rows(quarterly) == [(100.0, None)]
+    kept = panels.in_one_unit(long, rules.ANNUAL_FORMS, rules.ANNUAL_UNITS, any_unit=True).select("tag", "val")
+    assert rows(kept, "tag") == [("Assets", 100.0), ("NetIncomeLoss", 5.0)]

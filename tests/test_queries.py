@@ -7,10 +7,12 @@ import pytest
 from compare import connect, difference
 
 import __spark_entry__ as contract
+from ledgerloom.operators.dedupe import keep_most_complete
 from ledgerloom.workload import views
+from ledgerloom.workload.queries import REGISTRY
 
 SF_DIR = os.environ.get("LEDGERLOOM_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = REGISTRY, contract.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -47,13 +49,19 @@ def test_plans_stay_in_the_jvm_without_cross_joins(spark, name):
 
 
 def test_dedupe_limits_groups_before_the_shuffle(spark):
-    text = plan(QUERIES["dedupe_complete"](spark, SF_DIR))
+    orders = views.table(spark, SF_DIR, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    text = plan(keep_most_complete(orders, ["o_custkey"], ["o_orderdate"]))
     assert re.search(r"WindowGroupLimit .*Partial", text)
 
 
 def test_latest_filing_combines_before_the_shuffle(spark):
     text = plan(views.latest(spark, SF_DIR))
-    assert "partial_min" in text
+    assert "partial_max_by" in text and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("name", ["latest_filing", "preferred_unit", "fallback_period", "fallback_entity"])
+def test_facts_are_resolved_in_hash_tables(spark, name):
+    assert "SortAggregate" not in plan(QUERIES[name](spark, SF_DIR))
 
 
 def test_scan_reads_only_needed_columns(spark):

@@ -43,7 +43,6 @@ def test_percent_rank_matches_pandas(spark, hot_rows):
     want = frame[["ticker"]].copy()
     for name in names:
         want[name] = frame.groupby("target_sector")[name].rank(pct=True)
-    want = want[want[names].notna().any(axis=1)]
     got = ranks.percent_ranks(df, "ticker", "target_sector", {n: F.col(n) for n in names}, hot_rows)
     assert_same(got, want, ["ticker"])
 
@@ -216,3 +215,26 @@ def test_screens_health_and_outside_tables(spark):
     assert rows(analyses.join_external(df, rates, ["fiscal_year"]).select("rate")) == [(0.25,), (0.25,)]
     with pytest.raises(ValueError):
         analyses.join_external(df, rates.withColumn("ticker", F.lit("A")), ["fiscal_year"])
+
+
+def test_closest_peers_of_every_company(spark):
+    """Any number of picks, many of them at one place, against brute force."""
+    rng = np.random.default_rng(3)
+    size = 260
+    frame = pd.DataFrame({
+        "ticker": [f"T{i:03}" for i in range(size)], "target_sector": "One", "fiscal_year": 2020,
+        "m": rng.normal(0, 1, size).round(1), "d": rng.lognormal(0, 1, size).round(1),
+    })
+    frame.loc[frame.index % 3 == 0, ["m", "d"]] = [0.5, 0.5]
+    df = to_spark(spark, frame)
+    got = analyses.closest_peers(df, df, ["m", "d"], limit=3)
+    found = {(r.picked, r.place): (r.peer, r.distance) for r in got.collect()}
+    z = ((frame[["m", "d"]] - frame[["m", "d"]].mean()) / frame[["m", "d"]].std()).to_numpy()
+    assert len(found) == 3 * size
+    for i in range(size):
+        distance = np.sqrt(((z - z[i]) ** 2).sum(1))
+        mine = [found[frame.ticker[i], p + 1] for p in range(3)]
+        place = [frame.index[frame.ticker == name][0] for name, _ in mine]
+        assert i not in place and len(set(place)) == 3
+        assert np.allclose([d for _, d in mine], np.sort(np.delete(distance, i))[:3])
+        assert np.allclose([d for _, d in mine], distance[place])
