@@ -21,6 +21,7 @@ HEADLINE = (
     "fallback_entity",
     "three_statement_join",
     "annual_panel",
+    "quarterly_from_documents",
     "ratios_quarterly",
     "ffill",
     "median_impute",

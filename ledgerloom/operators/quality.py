@@ -32,10 +32,10 @@ def coverage(df: DataFrame, columns: Sequence[str] | None = None, digits: int =
 
 
 def missing_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """NULLs per column; sort by ``missing`` to see the emptiest first."""
+    """NULLs per column, the emptiest first."""
     names = list(columns) if columns is not None else df.columns
     counts = df.agg(*[F.count_if(F.col(name).isNull()).alias(name) for name in names])
-    return unpivot_row(counts, names, "column", "missing", "bigint")
+    return unpivot_row(counts, names, "column", "missing", "bigint").orderBy(F.desc("missing"), "column")
 
 
 def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -44,13 +44,14 @@ def distinct_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def value_counts(df: DataFrame, column: str, name: str = "rows") -> DataFrame:
-    """Rows per value, NULL included."""
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias(name))
+    """Rows per value, NULL included, the most frequent first."""
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias(name)).orderBy(F.desc(name), column)
 
 
-def duplicate_rows(keys: Sequence[str]) -> Column:
-    """Rows beyond the first of each key; NULL keys are equal to each other."""
-    return F.count(F.lit(1)) - F.count_distinct(F.struct(*[F.col(key) for key in keys]))
+def duplicate_rows(df: DataFrame, keys: Sequence[str], name: str = "duplicates") -> DataFrame:
+    """Rows beyond the first of each key, as one row; NULL keys are equal to each other."""
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
+    return counts.agg(F.coalesce(F.sum(F.col("rows") - 1), F.lit(0)).alias(name))
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
@@ -77,8 +78,6 @@ def schema_report(
     metrics: dict[tuple[str, str], Column] = {
         ("missing_column", name): F.lit(1) for name in missing_columns(df, required)
     }
-    if {entity, period} <= set(df.columns):
-        metrics["duplicate_keys", ""] = duplicate_rows([entity, period])
     if "fiscal_year" in df.columns:
         year = F.col("fiscal_year")
         metrics["fiscal_year_min", "fiscal_year"] = F.min(year)
@@ -95,7 +94,13 @@ def schema_report(
         F.struct(F.lit(metric).alias("metric"), F.lit(column).alias("column"), F.col(f"m{i}").alias("value"))
         for i, (metric, column) in enumerate(metrics)
     ]
-    return one_row.select(F.inline(F.array(*cells)))
+    report = one_row.select(F.inline(F.array(*cells)))
+    if not {entity, period} <= set(df.columns):
+        return report
+    repeated = duplicate_rows(df, [entity, period]).select(
+        F.lit("duplicate_keys").alias("metric"), F.lit("").alias("column"), F.col("duplicates").cast("double").alias("value")
+    )
+    return report.unionByName(repeated)
 
 
 def cleaning_report(raw: DataFrame, clean: DataFrame, entity: str = "ticker") -> DataFrame:

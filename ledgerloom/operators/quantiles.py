@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.numbers import cell_bucket, magnitude_cell
+from ledgerloom.operators.joins import lookup_join
 from ledgerloom.session import BROADCAST_ROWS, small_side
 
 BEFORE = (Window.unboundedPreceding, -1)
@@ -93,14 +94,17 @@ def exact_quantiles(
     for place in places.values():
         for rank in (F.floor(place), F.ceil(place)):
             wanted = wanted | ((rank >= F.col("below")) & (rank < F.col("below") + F.col("rows")))
-    picked = offsets.where(wanted).select(*keys, "bucket", "below", "n")
+    picked = offsets.where(wanted).select(*keys, "bucket", "below", "n", "rows")
     if by:
         side, size = small_side(picked)
-        side = F.broadcast(side) if size <= BROADCAST_ROWS else side
     else:
         # At most two buckets per column and probability.
-        side = F.broadcast(picked)
-    near = long.join(side, [*keys, "bucket"])
+        side, size = picked, 0
+    if size <= BROADCAST_ROWS:
+        near = long.join(F.broadcast(side.drop("rows")), [*keys, "bucket"])
+    else:
+        # A common value can fill its bucket, so buckets of very many rows are split.
+        near = lookup_join(long, side, side, [*keys, "bucket"], "rows").where(F.col("n").isNotNull())
     base = [*keys, "bucket", "below", "n"]
     counts = near.groupBy(*base, "cell", "value").agg(F.count(F.lit(1)).alias("rows"))
     start = F.col("below") + F.col("within")

@@ -176,7 +176,7 @@ def dimension_profile(top: DataFrame, entity: str = "ticker") -> DataFrame:
 
 
 def score_histogram(df: DataFrame, columns: Sequence[str] = ALL_SCORES, bins: int = 30) -> DataFrame:
-    """Equal-width bins between the least and greatest value of each score, with the score's mean.
+    """Equal-width bins between the least and greatest value of each score, with its mean and median.
 
     The last bin includes its upper edge; a constant score is centred in a width of one.
     """
@@ -187,11 +187,13 @@ def score_histogram(df: DataFrame, columns: Sequence[str] = ALL_SCORES, bins: in
     cells = [F.struct(F.lit(name).alias("column"), F.col(name).alias("s")) for name in columns]
     edges = spans.select(F.inline(F.array(*cells))).select("column", "s.*")
     flat = F.col("lo") == F.col("hi")
-    edges = edges.select(
+    medians = exact_quantiles(df, columns, {"median": 0.5}).select("column", "median")
+    edges = edges.join(F.broadcast(medians), "column").select(
         "column",
         F.when(flat, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
         F.when(flat, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
         "mean",
+        "median",
     )
     values = [F.struct(F.lit(name).alias("column"), F.col(name).alias("value")) for name in columns]
     long = df.select(F.inline(F.array(*values))).where(F.col("value").isNotNull())
@@ -200,9 +202,9 @@ def score_histogram(df: DataFrame, columns: Sequence[str] = ALL_SCORES, bins: in
     # One row per score column, so the edges are broadcast.
     return (
         long.join(F.broadcast(edges), "column")
-        .groupBy("column", bin_number.alias("bin"), "lo", "hi", "mean")
+        .groupBy("column", bin_number.alias("bin"), "lo", "hi", "mean", "median")
         .agg(F.count(F.lit(1)).alias("companies"))
-        .select("column", "bin", "lo", "hi", "mean", "companies")
+        .select("column", "bin", "lo", "hi", "mean", "median", "companies")
     )
 
 

@@ -11,8 +11,10 @@ from ledgerloom.functions.text import normal_cik
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Header CSV with a fixed schema; a byte-order mark is dropped, bad cells become NULL."""
-    return spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    """Header CSV with a fixed schema; a byte-order mark is dropped, bad cells and NaN become NULL."""
+    rows = spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    numbers = [field.name for field in schema if isinstance(field.dataType, (T.DoubleType, T.FloatType))]
+    return rows.withColumns({name: F.when(~F.isnan(name), F.col(name)) for name in numbers})
 
 
 def read_universe(spark: SparkSession, path: str) -> DataFrame:
@@ -33,10 +35,18 @@ def read_panel(spark: SparkSession, path: str, schema: T.StructType = schemas.QU
     return read_csv(spark, path, schema).withColumn("cik", normal_cik(F.col("cik")))
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+def write_csv(df: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
+    """Header CSV; with ``order`` the files, one after the other, hold the rows sorted."""
+    rows = df.orderBy(*order) if order else df
+    rows.write.mode("overwrite").option("header", True).csv(path)
 
 
-def write_panel(df: DataFrame, path: str, by: tuple[str, ...] = ("fiscal_year",)) -> None:
-    """Parquet, one folder per fiscal year; each task writes the years it holds."""
-    df.write.mode("overwrite").partitionBy(*by).parquet(path)
+def write_panel(
+    df: DataFrame, path: str, by: tuple[str, ...] = ("fiscal_year",), order: tuple[str, ...] = ("ticker", "period_end")
+) -> None:
+    """Parquet, one folder per fiscal year, whose files follow each other in ``order``.
+
+    Range partitions by year and order give few files a folder and split a year that holds many rows.
+    """
+    keys = [*by, *[name for name in order if name in df.columns]]
+    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(*by).parquet(path)

@@ -530,8 +530,8 @@ add("universe_repeated_ciks", """
 select cik_num, count(*) as rows from typed_universe_tx where ticker_type = 'PRIMARY' group by 1 having count(*) > 1""")
 add("universe_match_summary", f"""
 select 0 as step, 'started' as stage, count(*) as rows from universe_tx
-union all select 1, 'matched', count(*) from universe_tx where files_10k
-union all select 2, 'kept', count(*) from universe_tx where {_DOMESTIC} and {_NO_SHELL}""")
+union all select 1, 'matched', count(*) from buyers_tx where row_id <> 0
+union all select 2, 'kept', count(*) from buyers_tx where row_id <> 0 and {_DOMESTIC} and {_NO_SHELL}""")
 
 # --- ratios and features ---------------------------------------------------------------------
 
@@ -666,14 +666,13 @@ def _clips(names: list[str], source: str) -> str:
 
 _NOT_NEGATIVE = list(rules.NOT_NEGATIVE)
 add("clean_panel_counts", f"""
-select 'impossible_values_fixed' as step,
-  cast({_nulls(_NOT_NEGATIVE, 'clean1_tx')} - {_nulls(_NOT_NEGATIVE, 'panel_tx')} as bigint) as affected
-union all select 'duplicate_rows_removed', 0
+select 'impossible_values_fixed' as step, cast(
+  (select {' + '.join(f'coalesce(sum(case when {n} < 0 then c end), 0)' for n in _NOT_NEGATIVE)}
+   from (select *, case when cik % 4 = 0 then 2 else 1 end as c from panel_tx) d) as bigint) as affected
+union all select 'duplicate_rows_removed', (select count(*) from panel_tx where cik % 4 = 0)
 union all select 'values_forward_filled', cast({_nulls(_CARRIED, 'clean1_tx')} - {_nulls(_CARRIED, 'clean2_tx')} as bigint)
-union all select 'values_median_filled', cast({_nulls(_IMPUTED, 'clean2_tx')} - {_nulls(_IMPUTED, 'clean3_tx')} as bigint)
-union all select 'values_winsorized',
-  cast({_clips(list(v.PANEL_FIELDS), 'clean3_tx')} + {_clips([*_LAG_NAMES, *_GROWN], 'clean6_tx')} as bigint)
-union all select 'columns_dropped', 0""")
+union all select 'columns_dropped', (select case when count(case when fiscal_year = 1995 then cash end) * 1.0 / count(*) < 0.05
+  then 1 else 0 end from panel_tx)""")
 
 # --- quality ---------------------------------------------------------------------------------
 
@@ -800,10 +799,10 @@ add("score_stats", "\nunion all ".join(
     f"select '{c}' as \"column\", avg({c}) as mean, stddev_samp({c}) as std, min({c}) as min, max({c}) as max, "
     f"median({c}) as median from composite_tx" for c in scoring.ALL_SCORES), 6, ["mean", "std", "min", "max", "median"])
 add("score_histogram", "\nunion all ".join(
-    f"""select '{c}' as "column", cast(least(floor(({c} - lo) * 30 / (hi - lo)), 29) as int) as bin, lo, hi, mean, count(*) as companies
+    f"""select '{c}' as "column", cast(least(floor(({c} - lo) * 30 / (hi - lo)), 29) as int) as bin, lo, hi, mean, median, count(*) as companies
 from composite_tx cross join (select case when min({c}) = max({c}) then min({c}) - 0.5 else min({c}) end as lo,
-  case when min({c}) = max({c}) then max({c}) + 0.5 else max({c}) end as hi, avg({c}) as mean from composite_tx) b
-group by 2, lo, hi, mean""" for c in scoring.ALL_SCORES), 6, ["lo", "hi", "mean"])
+  case when min({c}) = max({c}) then max({c}) + 0.5 else max({c}) end as hi, avg({c}) as mean, median({c}) as median from composite_tx) b
+group by 2, lo, hi, mean, median""" for c in scoring.ALL_SCORES), 6, ["lo", "hi", "mean", "median"])
 add("sector_companies", "select target_sector, count(distinct cik) as companies from sector_panel_tx group by 1")
 
 # --- analyses --------------------------------------------------------------------------------
@@ -882,5 +881,11 @@ from (select target_sector, case when revenue > 0 then net_income / revenue end
   from sector_panel_tx where fiscal_year = 1998 and target_sector is not null) t
 group by target_sector""", 6, ["net_margin", "current_ratio", "debt_to_equity", "healthy"])
 
-# Measures below 15 % coverage are dropped; on the given tables that is the made-up sparse one.
-add("drop_sparse", f"select cik, period_end, {', '.join(v.PANEL_FIELDS)} from panel_tx")
+# Measures below 15 % coverage are dropped; their names are missing from the result.
+_SPARSE = {f"q{n}_{name}": f"case when fiscal_quarter = {n} and fiscal_year % 2 = 0 then {name} end"
+           for n in (1, 2) for name in ("cash", "revenue", "inventory")}
+_SPARSE["always"] = "cik * 1.0"
+add("drop_sparse", "\nunion all ".join(
+    [f"select '{n}' as \"column\", count({n}) as present from panel_tx" for n in ("cik", "period_end", "fiscal_year", "fiscal_quarter", "filing_date")]
+    + [f"select '{n}', count({e}) from panel_tx having count({e}) * 1.0 / count(*) >= 0.15"
+       for n, e in [*((f, f) for f in v.PANEL_FIELDS), *_SPARSE.items()]]))

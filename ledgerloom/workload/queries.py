@@ -456,11 +456,13 @@ def universe_repeated_ciks(spark, sf_dir):
 
 @query
 def universe_match_summary(spark, sf_dir):
-    rows = v.universe(spark, sf_dir)
-    filtered = universe.domestic_filers(rows)
-    return quality.match_summary(
-        {"started": rows, "matched": rows.where(F.col("files_10k")), "kept": universe.drop_shells(filtered)}
-    )
+    """Listed companies, those with a submission document, and those kept as domestic filers."""
+    rows = v.universe(spark, sf_dir).withColumn("cik", F.col("row_id").cast("string"))
+    profiles = documents.filer_profiles(v.submissions(spark, sf_dir)).select("cik_key", F.col("country"))
+    found = universe.with_profiles(rows, profiles.join(v.buyers(spark, sf_dir).select(F.col("row_id").cast("string").alias("cik_key")), "cik_key"))
+    matched = found.where(F.col("country").isNotNull())
+    kept = universe.drop_shells(universe.domestic_filers(matched))
+    return quality.match_summary({"started": rows, "matched": matched, "kept": kept})
 
 
 # --- ratios and features ---------------------------------------------------------------------
@@ -609,9 +611,15 @@ def winsorize_counts(spark, sf_dir):
 
 @query
 def drop_sparse(spark, sf_dir):
-    """Measures below 15 % coverage go; which ones depends on the data."""
-    rows = panel_table(spark, sf_dir).withColumn("rarely", F.when(F.col("fiscal_quarter") == 9, F.col("cash")))
-    return clean.drop_sparse_columns(rows, 0.15).select("cik", "period_end", *v.PANEL_FIELDS)
+    """The names that are left when measures below 15 % coverage go; which ones depends on the data."""
+    rows = panel_table(spark, sf_dir).withColumns(
+        {f"q{n}_{name}": F.when((F.col("fiscal_quarter") == n) & (F.col("fiscal_year") % 2 == 0), F.col(name))
+         for n in (1, 2) for name in ("cash", "revenue", "inventory")}
+    ).withColumn("always", F.col("cik") * 1.0)
+    left = clean.drop_sparse_columns(rows, 0.15)
+    cells = [F.struct(F.lit(name).alias("column"), F.col(f"n_{name}").alias("present")) for name in left.columns]
+    counted = left.agg(*[F.count(F.col(name)).alias(f"n_{name}") for name in left.columns])
+    return counted.select(F.inline(F.array(*cells)))
 
 
 @query
@@ -628,7 +636,11 @@ def clean_panel_full(spark, sf_dir):
 
 @query
 def clean_panel_counts(spark, sf_dir):
-    return clean_panel(v.panel(spark, sf_dir), entity="cik").counters
+    """Counters of the job over a panel in which every fourth filer stands twice, with one sparse measure."""
+    rows = v.panel(spark, sf_dir).withColumn("rarely", F.when(F.col("fiscal_year") == 1995, F.col("cash") * 0.0))
+    doubled = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(F.col("cik") % 4 == 0, 2).otherwise(1)))).drop("_copy")
+    counters = clean_panel(doubled, entity="cik").counters
+    return counters.where(F.col("step").isin("impossible_values_fixed", "duplicate_rows_removed", "values_forward_filled", "columns_dropped"))
 
 
 # --- quality ---------------------------------------------------------------------------------
@@ -783,7 +795,7 @@ def score_stats(spark, sf_dir):
 @query
 def score_histogram(spark, sf_dir):
     counted = scoring.score_histogram(scored_table(spark, sf_dir))
-    return v.rounded(counted.select("column", "bin", "lo", "hi", "mean", "companies"))
+    return v.rounded(counted.select("column", "bin", "lo", "hi", "mean", "median", "companies"))
 
 
 @query

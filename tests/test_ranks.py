@@ -164,7 +164,7 @@ def test_thesis_boundaries(spark):
 def test_histogram_edges(spark):
     values = [0.0, 1.0, 29.99, 30.0, 15.0]
     df = spark.createDataFrame([(v, 5.0) for v in values], "a double, b double")
-    got = {(c, b): n for c, b, _, _, _, n in rows(scoring.score_histogram(df, ["a", "b"]))}
+    got = {(c, b): n for c, b, _, _, _, _, n in rows(scoring.score_histogram(df, ["a", "b"]))}
     counts, _ = np.histogram(values, bins=30)
     assert {b: n for (c, b), n in got.items() if c == "a"} == {i: int(n) for i, n in enumerate(counts) if n}
     assert {b: n for (c, b), n in got.items() if c == "b"} == {15: 5}
