@@ -31,6 +31,13 @@ def marked_words(slots: list[np.ndarray], toxic: np.ndarray, least: int = 3, odd
     return (p >= least) & (share >= odds)
 
 
+def telling(slots: list[np.ndarray], toxic: np.ndarray, least: int, odds: float = 2.0) -> np.ndarray:
+    """Which slots occur in ``least`` texts and ``odds`` times more often in one class than in the other."""
+    p, q = (np.bincount(np.concatenate([s for s, y in zip(slots, toxic) if y == v]), minlength=SIZE) for v in (True, False))
+    share = (p + 0.5) / (toxic.sum() + 1) / ((q + 0.5) / ((~toxic).sum() + 1))
+    return (p + q >= least) & ((share >= odds) | (share <= 1 / odds))
+
+
 def grades(slots: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     """0 for clean texts, 1 to 3 for toxic ones by their marked occurrences."""
     marked = marked_words(slots, toxic)
@@ -73,7 +80,7 @@ def fit_ordinal(slots, values, grade, importance, levels: int, rounds: int = 300
             [by_cut[j:].sum() * gaps[j - 1] for j in k[1:]],
         ])
         one, two = 0.9 * one + 0.1 * gradient, 0.99 * two + 0.01 * gradient**2
-        rate = 0.3 * (1 - (step - 1) / rounds)
+        rate = 0.1 * (1 - (step - 1) / rounds)
         theta -= rate * (one / (1 - 0.9**step)) / (np.sqrt(two / (1 - 0.99**step)) + 1e-8)
     weight = np.zeros(SIZE)
     weight[used] = theta[: len(used)]
@@ -96,7 +103,7 @@ def train(slots: list[np.ndarray], counts: list[np.ndarray], toxic: np.ndarray,
         high = -10.0 if len(toxic) and toxic.all() else 10.0
         return np.zeros(SIZE), high + np.arange(levels)
     grade = grades(slots, counts, toxic)
-    support = np.bincount(np.concatenate(slots), minlength=SIZE) >= least
+    support = telling(slots, toxic, least)
     kept = [support[s] for s in slots]
     values = [np.log1p(c[k]) for c, k in zip(counts, kept)]
     importance = np.where(toxic, rates.get(1, 1.0), rates.get(0, 1.0))
