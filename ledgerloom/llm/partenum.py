@@ -28,9 +28,12 @@ from ledgerloom.llm.common import grouped, key_runs, parts, ship_code, written
 from ledgerloom.llm.components import components
 from ledgerloom.llm.textbytes import mix
 
+# Cells of the sketch of a set of up to 2048 elements; larger sets have one cell for 16 elements at most.
 SKETCH = 128
 # Sets of one signature compared with each other in one cell; larger groups become several cells.
 BLOCK = 2048
+# Pairs a task holds before it lets them go.
+FLUSH = 1_000_000
 
 SETS = "doc_id long, n_shingles long, node long, sketch binary"
 GROUPS = "gid long, size long, node long"
@@ -101,9 +104,20 @@ def node_of(elements: np.ndarray) -> int:
 
 
 def sketch_of(elements: np.ndarray) -> bytes:
-    """Elements counted in ``SKETCH`` cells; the summed differences of two sketches never exceed those of the sets."""
-    cells = mix(elements, 5) >> np.uint64(64 - SKETCH.bit_length() + 1)
-    return np.minimum(np.bincount(cells.astype(np.int64), minlength=SKETCH), 255).astype(np.uint8).tobytes()
+    """Elements counted in cells of the hash domain, more cells for larger sets.
+
+    The summed differences of two sketches never exceed those of the sets. Neighbouring cells of a longer sketch add
+    up to those of a shorter one.
+    """
+    cells = min(max(SKETCH, 1 << (max(len(elements) // 16, 1) - 1).bit_length()), 1 << 15)
+    place = mix(elements, 5) >> np.uint64(64 - cells.bit_length() + 1)
+    return np.minimum(np.bincount(place.astype(np.int64), minlength=cells), 255).astype(np.uint8).tobytes()
+
+
+def folded(sketches: list[bytes]) -> np.ndarray:
+    """Sketches as rows of one matrix, all as short as the shortest."""
+    width = min(map(len, sketches))
+    return np.stack([np.frombuffer(x, np.uint8).reshape(width, -1).sum(1, dtype=np.int32) for x in sketches])
 
 
 def _sets(k: int):
@@ -164,18 +178,24 @@ def _allowed(threshold: Fraction, connected: bool):
     """
     up, down = threshold.numerator, threshold.denominator
 
+    def emit(found: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.unique(np.concatenate(found), axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
     def run(batches):
+        # a pair shares many signatures: one row of it leaves a task, unless very many pairs wait
+        found: list[np.ndarray] = []
         for rows, cuts in key_runs(batches, ["gid", "low", "high"]):
             nodes, n = rows["node"].to_numpy(), rows["n_shingles"].to_numpy()
             side = rows["block"].to_numpy() == rows["low"].to_numpy()
             one = rows["low"].to_numpy() == rows["high"].to_numpy()
             label = rows["component"].to_numpy() if connected else None
-            flat = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint8).reshape(-1, SKETCH).astype(np.int16)
-            found: list[np.ndarray] = []
+            sketches = rows["sketch"].to_pylist()
             for i in range(len(cuts) - 1):
                 at = np.arange(cuts[i], cuts[i + 1])
                 if label is not None and (label[at] == label[at[0]]).all():
                     continue
+                flat = folded(sketches[cuts[i] : cuts[i + 1]])
                 left = at if one[at[0]] else at[side[at]]
                 right = at if one[at[0]] else at[~side[at]]
                 right = right[np.argsort(n[right], kind="stable")]
@@ -189,7 +209,7 @@ def _allowed(threshold: Fraction, connected: bool):
                         y = y[label[y] != label[x]]
                     if not len(y):
                         continue
-                    apart = np.abs(flat[y] - flat[x]).sum(1, dtype=np.int64)
+                    apart = np.abs(flat[y - cuts[i]] - flat[x - cuts[i]]).sum(1, dtype=np.int64)
                     # shared >= threshold * union, with shared = (n + m - apart) / 2 at best
                     total = n[y] + n[x]
                     y = y[down * (total - apart) >= up * (total + apart)]
@@ -197,9 +217,13 @@ def _allowed(threshold: Fraction, connected: bool):
                         y = y[np.argmin(nodes[y])][None]
                     if len(y):
                         found.append(np.stack([np.minimum(nodes[x], nodes[y]), np.maximum(nodes[x], nodes[y])], 1))
-            if found:
-                both = np.unique(np.concatenate(found), axis=0)
-                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+            if sum(map(len, found)) > FLUSH:
+                found = [np.unique(np.concatenate(found), axis=0)]
+                if len(found[0]) > FLUSH // 2:
+                    yield emit(found)
+                    found = []
+        if found:
+            yield emit(found)
 
     return run
 
