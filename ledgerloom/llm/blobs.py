@@ -20,7 +20,7 @@ BLOBS = "bucket int, nodes binary, at binary, sigs binary"
 class Writer:
     """Gathers (node, signatures) and gives batches of blobs once enough are held."""
 
-    def __init__(self, buckets: int, flush: int = 2_000_000):
+    def __init__(self, buckets: int, flush: int = 1_000_000):
         self.buckets, self.flush = buckets, flush
         self.nodes: list[int] = []
         self.keys: list[np.ndarray] = []

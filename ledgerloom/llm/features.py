@@ -25,7 +25,7 @@ def indicators(texts: pa.Array) -> Iterator[np.ndarray]:
     the n-grams of its blanks; an empty text has none.
     """
     seen = np.zeros(SIZE, bool)
-    for _, data, offsets in textbytes.slices(texts, 1_000_000):
+    for _, data, offsets in textbytes.slices(texts, 500_000):
         codes = data.astype(np.uint64)
         two = codes[:-1] << np.uint64(8) | codes[1:]
         three = two[:-1] << np.uint64(8) | codes[2:]
@@ -59,7 +59,7 @@ def word_counts(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
     Beginnings of 4 and 5 bytes let inflected and derived forms share what is learned.
     """
-    for _, data, offsets in textbytes.slices(texts, 1_000_000):
+    for _, data, offsets in textbytes.slices(texts, 500_000):
         plain = data.copy()
         upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
         plain[upper] += 32

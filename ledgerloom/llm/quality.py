@@ -55,7 +55,7 @@ def scaled(rows: list[np.ndarray], ratio: np.ndarray) -> list[np.ndarray]:
     out = []
     for r in rows:
         v = ratio[r]
-        out.append(v / max(np.sqrt((v * v).sum()), 1e-12))
+        out.append((v / max(np.sqrt((v * v).sum()), 1e-12)).astype(np.float32))
     return out
 
 

@@ -13,7 +13,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Text bytes handled at a time, so that temporary arrays stay small; one longer text is handled alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -36,7 +36,7 @@ def mix(x: np.ndarray, seed: int = 0) -> np.ndarray:
 def _base_powers(n: int) -> list[np.ndarray]:
     """Powers 0 to n of the base and of its inverse modulo 2^64."""
     if len(_powers[0]) <= n:
-        size = max(n + 1, 2 * len(_powers[0]))
+        size = n + n // 4 + 1
         for at, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
             steps = np.full(size, np.uint64(base))
             steps[0] = 1

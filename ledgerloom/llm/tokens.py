@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 # Words a worker remembers: a bound on memory; further words are encoded each time they come.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 250_000
 JOINED_WORDS = 400
 
 _encoders: dict[str, Encoder] = {}
