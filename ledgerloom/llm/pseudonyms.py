@@ -27,6 +27,30 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
 HEX = DIGITS + "abcdef"
 
+# The IBAN lengths of the registry.
+_IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for country in countries.split()
+}
+# Month names; a name of several lists belongs to the first.
+_MONTHS = [
+    x.split()
+    for x in (
+        "January February March April May June July August September October November December",
+        "Jan Feb Mar Apr May Jun Jul Aug Sep Oct Nov Dec",
+        "Januar Februar März April Mai Juni Juli August September Oktober November Dezember",
+        "janvier février mars avril mai juin juillet août septembre octobre novembre décembre",
+        "enero febrero marzo abril mayo junio julio agosto septiembre octubre noviembre diciembre",
+    )
+]
+_MONTH = "(?P<month>" + "|".join(sorted({x for names in _MONTHS for x in names}, key=lambda x: (-len(x), x))) + ")"
+
 _FIRST_DAY, _LAST_DAY = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
@@ -123,14 +147,30 @@ def card(match: re.Match, key: bytes, back: bool) -> str | None:
 
 
 def iban(match: re.Match, key: bytes, back: bool) -> str | None:
-    """Country, two check digits modulo 97 and the account, whose letters and digits keep their classes."""
-    plain = match[0].replace(" ", "")
-    if not 15 <= len(plain) <= 34 or _mod97(plain[4:] + plain[:4]) != 1:
+    """Country, two check digits modulo 97 and the account, whose letters and digits keep their classes.
+
+    The words that follow may look like more groups of it: it ends at its country's length, and without a known
+    length at the longest ending that is valid. Returns only what it replaces.
+    """
+    text = match[0]
+    cuts = [i for i in range(len(text), 0, -1) if i == len(text) or text[i] == " "]
+    plain = [text[:i].replace(" ", "") for i in cuts]
+    fits = [_IBAN_LENGTHS.get(text[:2], len(x)) == len(x) for x in plain]
+    at = next((i for i, x in enumerate(plain) if fits[i] and _valid_iban(x)), None)
+    if at is None:
         return None
-    account = _characters(plain[4:], b"iban" + plain[:2].encode(), key, back)
-    whole = plain[:2] + str(98 - _mod97(account + plain[:2] + "00")).zfill(2) + account
+    country, account = plain[at][:2], plain[at][4:]
+    while True:  # until no longer ending is valid, so that the way back ends at the same place
+        account = _characters(account, b"iban" + country.encode(), key, back)
+        whole = country + str(98 - _mod97(account + country + "00")).zfill(2) + account
+        if not any(fits[i] and _valid_iban(whole + plain[i][len(whole) :]) for i in range(at)):
+            break
     rest = iter(whole)
-    return "".join(c if c == " " else next(rest) for c in match[0])
+    return "".join(c if c == " " else next(rest) for c in text[: cuts[at]])
+
+
+def _valid_iban(plain: str) -> bool:
+    return 15 <= len(plain) <= 34 and _mod97(plain[4:] + plain[:4]) == 1
 
 
 def _mod97(text: str) -> int:
@@ -204,29 +244,61 @@ def _day(year: int, month: int, day: int) -> int | None:
     return value if _FIRST_DAY <= value <= _LAST_DAY else None
 
 
+def _written(day: date, parts: tuple[str, str]) -> bool:
+    """Whether day and month have as many digits as in the text; two digits each may be any."""
+    return "" not in (p[1:] for p in parts) or [len(str(int(p))) for p in parts] == [len(str(x)) for x in (day.day, day.month)]
+
+
+def _moved(value: int, parts: tuple[str, str], tweak: bytes, key: bytes, back: bool, valid: Callable[[date], bool] = lambda x: True) -> date:
+    """Another day that is written in the same form."""
+    fits = lambda x: _written(new := date.fromordinal(x + _FIRST_DAY), parts) and valid(new)
+    return date.fromordinal(walk(value - _FIRST_DAY, _LAST_DAY - _FIRST_DAY + 1, fits, key, tweak, back) + _FIRST_DAY)
+
+
 def iso_date(match: re.Match, key: bytes, back: bool) -> str | None:
     """Year, month, day of the calendar, 1900 to 2099."""
     value = _day(int(match["y"]), int(match["m"]), int(match["d"]))
     if value is None:
         return None
-    new = date.fromordinal(permute(value - _FIRST_DAY, _LAST_DAY - _FIRST_DAY + 1, key, b"date", back) + _FIRST_DAY)
-    return f"{new.year:04}{match['s']}{new.month:02}{match['s']}{new.day:02}"
+    new, s = _moved(value, (match["d"], match["m"]), b"date", key, back), match["s"]
+    return f"{new.year:04}{s}{str(new.month).zfill(len(match['m']))}{s}{str(new.day).zfill(len(match['d']))}"
 
 
 def day_first(match: re.Match, key: bytes, back: bool) -> str | None:
     """Day, month, year; where only month, day, year exists, in that order, and then the new date has a day past 12, too."""
-    first, second, year, s = int(match["a"]), int(match["b"]), int(match["y"]), match["s"]
-    span = _LAST_DAY - _FIRST_DAY + 1
-    value = _day(year, second, first)
+    a, b, year, s = match["a"], match["b"], int(match["y"]), match["s"]
+    value = _day(year, int(b), int(a))
     if value is not None:
-        new = date.fromordinal(permute(value - _FIRST_DAY, span, key, b"date", back) + _FIRST_DAY)
-        return f"{new.day:02}{s}{new.month:02}{s}{new.year:04}"
-    value = _day(year, first, second)
+        new = _moved(value, (a, b), b"date", key, back)
+        return f"{str(new.day).zfill(len(a))}{s}{str(new.month).zfill(len(b))}{s}{new.year:04}"
+    value = _day(year, int(a), int(b))
     if value is None:
         return None
-    late = lambda x: date.fromordinal(x + _FIRST_DAY).day > 12
-    new = date.fromordinal(walk(value - _FIRST_DAY, span, late, key, b"month first", back) + _FIRST_DAY)
-    return f"{new.month:02}{s}{new.day:02}{s}{new.year:04}"
+    new = _moved(value, (b, a), b"month first", key, back, lambda x: x.day > 12)
+    return f"{str(new.month).zfill(len(a))}{s}{str(new.day).zfill(len(b))}{s}{new.year:04}"
+
+
+def _suffix(day: int) -> str:
+    return "th" if 10 < day < 14 else {1: "st", 2: "nd", 3: "rd"}.get(day % 10, "th")
+
+
+def named_month(match: re.Match, key: bytes, back: bool) -> str | None:
+    """Day, month by name and year in either order; the new name is of the same list and form."""
+    name, d = match["month"], match["d"]
+    names = next(x for x in _MONTHS if name in x)
+    value = _day(int(match["y"]), names.index(name) + 1, int(d))
+    if value is None or match["suffix"] and match["suffix"] != _suffix(int(d)):
+        return None
+    same = lambda x: (x.day < 10) == (int(d) < 10) and next(y for y in _MONTHS if names[x.month - 1] in y) is names
+    new = _moved(value, ("00", "00"), b"named" + names[0].encode(), key, back, same)
+    parts = {"month": names[new.month - 1], "d": str(new.day).zfill(len(d)), "y": f"{new.year:04}"}
+    if match["suffix"]:
+        parts["suffix"] = _suffix(new.day)
+    out, at = [], match.start()
+    for part in sorted(parts, key=match.start):
+        out += [match.string[at : match.start(part)], parts[part]]
+        at = match.end(part)
+    return "".join([*out, match.string[at : match.end()]])
 
 
 def access_key(match: re.Match, key: bytes, back: bool) -> str | None:
@@ -251,8 +323,10 @@ FORMATS: list[tuple[str, str, Callable]] = [
     ("mail", r"(?<![\w.+-])(?P<local>[A-Za-z0-9](?:[A-Za-z0-9._%+-]*[A-Za-z0-9])?)@(?P<domain>[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,})", mail),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", iban),
     ("address", r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\.?\d)", address),
-    ("iso_date", r"(?<![\d-])(?P<y>\d{4})(?P<s>[-/])(?P<m>\d{2})(?P=s)(?P<d>\d{2})(?![\d-])", iso_date),
-    ("day_first", r"(?<![\d./-])(?P<a>\d{2})(?P<s>[./-])(?P<b>\d{2})(?P=s)(?P<y>\d{4})(?![\d-])", day_first),
+    ("iso_date", r"(?<![\d-])(?P<y>\d{4})(?P<s>[-/])(?P<m>\d{1,2})(?P=s)(?P<d>\d{1,2})(?![\d-])", iso_date),
+    ("day_first", r"(?<![\d./-])(?P<a>\d{1,2})(?P<s>[./-])(?P<b>\d{1,2})(?P=s)(?P<y>\d{4})(?![\d-])", day_first),
+    ("day_month", r"(?<![\d./-])(?P<d>\d{1,2})(?P<suffix>st|nd|rd|th)?\.? (?:of |de )?" + _MONTH + r"\.?,? (?:de )?(?P<y>\d{4})(?![\d-])", named_month),
+    ("month_day", r"\b" + _MONTH + r"\.? (?P<d>\d{1,2})(?P<suffix>st|nd|rd|th)?,? (?P<y>\d{4})(?![\d-])", named_month),
     ("social", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", social),
     ("card", r"(?<![\d-])(?:\d{13,19}|\d{4}(?P<g>[ -])\d{4}(?P=g)\d{4}(?P=g)\d{1,7}|\d{4}(?P<h>[ -])\d{6}(?P=h)\d{5})(?![\d-])", card),
     ("phone", r"(?:(?<![\w+])\+?1[ .-]?)?(?<![\d-])(?P<national>\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4}|(?<=1[ .-])\d{3} \d{3} \d{4})(?![\d-])", phone),
@@ -277,7 +351,19 @@ def _possible(text: str) -> list[int]:
 
 
 def _matches(text: str) -> list[tuple[int, int, int, re.Match]]:
-    return [(m.start(), rank, m.end(), m) for rank in _possible(text) for m in _COMPILED[rank][1].finditer(text)]
+    return [(m.start(), rank, m.end(), m) for rank in _possible(text) for m in _found(rank, text)]
+
+
+def _found(rank: int, text: str) -> Iterator[re.Match]:
+    """Matches of a format; an IBAN may begin within what looked like an earlier one."""
+    kind, pattern, _ = _COMPILED[rank]
+    if kind != "iban":
+        yield from pattern.finditer(text)
+        return
+    match = pattern.search(text)
+    while match:
+        yield match
+        match = pattern.search(text, match.start() + 1)
 
 
 def replace(text: str, key: bytes, back: bool = False) -> tuple[str, list[str]]:
@@ -291,7 +377,7 @@ def replace(text: str, key: bytes, back: bool = False) -> tuple[str, list[str]]:
         if new is not None:
             out += [text[at:start], new]
             kinds.append(kind)
-            at = end
+            at = start + len(new) if kind == "iban" else end
     return "".join([*out, text[at:]]), kinds
 
 

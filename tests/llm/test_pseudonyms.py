@@ -72,6 +72,41 @@ def test_pseudonyms_are_valid_themselves():
     assert len(cards) == 500
 
 
+IBANS = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "LT121000011101001000", "PL61109010140000071219812874", "GB82 WEST 1234 5698 7654 32"]
+
+
+@pytest.mark.parametrize("after", [" EUR", " BANK", " EUROS", " 2024", " TOTAL DUE NOW", " 212-555-0187"])
+@pytest.mark.parametrize("value", IBANS)
+def test_iban_before_capitals_and_numbers(value, after):
+    for before in ("pay ", "AB12 "):
+        text = before + value + after
+        new, kinds = ps.replace(text, KEY)
+        assert kinds == (["iban", "phone"] if "212" in after else ["iban"])
+        assert value not in new and "555-0187" not in new and shape(new) == shape(text)
+        assert ps.replace(new, KEY, back=True)[0] == text
+
+
+def test_iban_of_an_unknown_country_comes_back():
+    for i in range(300):
+        front = f"{i:016}"
+        value = f"ZZ{98 - ps._mod97(front + 'ZZ00'):02}{front}"
+        new, kinds = ps.replace(value + " EUR", KEY)
+        assert kinds == ["iban"] and ps.replace(new, KEY, back=True)[0] == value + " EUR"
+
+
+DATES = ["3/7/1985", "13/7/1985", "7/13/1985", "3.12.1985", "03/7/1985", "1985-7-3", "7 March 1985", "7th March 1985", "17 Mar 1985", "March 7, 1985",
+         "Mar. 7, 1985", "May 21st, 1985", "7. März 1985", "7. April 1985", "07 juin 1985", "7 de marzo de 1985"]
+
+
+@pytest.mark.parametrize("value", DATES)
+def test_short_and_named_dates(value):
+    for around in ("{}", "born {}, in", "({})", "born {}."):
+        text = around.replace("{}", value)
+        new, kinds = ps.replace(text, KEY)
+        assert len(kinds) == 1 and value not in new and ps.replace(new, KEY, back=True)[0] == text
+    assert ps.replace(value.replace("7", "32").replace("21", "32").replace("3.12", "32.12"), KEY)[1] == []
+
+
 def test_awkward_rows(spark):
     value = "4111111111111111"
     rows = [(1, f"pay {value} now"), (2, f"{value}"), (2, f"{value}"), (3, None), (4, ""), (None, f"id {value}"), (5, "clean text 3."), (6, "w " * 50_000 + value)]
