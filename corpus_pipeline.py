@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm.common import table, written
 from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.packing import pack
-from ledgerloom.llm.partenum import jaccard_join
+from ledgerloom.llm.partenum import one_of_each_component, text_digest
 from ledgerloom.llm.pseudonyms import pseudonymised
 from ledgerloom.llm.quality import with_quality
 
@@ -31,12 +31,12 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 0.8 or more, keep the one with the smallest id.
 
-    Of several rows with that id one stays; rows without an id stay.
+    Of several rows with that id and text one stays; other texts of the id are judged by themselves. Rows without an
+    id stay.
     """
-    rows = jaccard_join(docs, k=5, percent=80)[0]
-    kept = rows.filter("component_id = doc_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    once = docs.join(kept, docs["doc_id"] == kept["kept_id"], "left_semi").dropDuplicates(["doc_id"])
-    return once.union(docs.filter("doc_id is null"))
+    kept = one_of_each_component(docs, k=5, percent=80).toDF("kept_id", "kept_digest")
+    same = (F.col("doc_id") == F.col("kept_id")) & (text_digest() == F.col("kept_digest"))
+    return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).union(docs.filter("doc_id is null"))
 
 
 def without_private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,7 +35,7 @@ BLOCK = 2048
 # Pairs a task holds before it lets them go.
 FLUSH = 1_000_000
 
-SETS = "doc_id long, n_shingles long, node long, sketch binary"
+SETS = "doc_id long, digest long, n_shingles long, node long, sketch binary"
 GROUPS = "gid long, size long, node long"
 PAIRS = "a long, b long"
 
@@ -129,8 +129,8 @@ def _sets(k: int):
                 nodes.append(node_of(elements))
                 sketches.append(sketch_of(elements) if len(elements) else b"")
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())],
-                names=["doc_id", "n_shingles", "node", "sketch"],
+                [batch.column("doc_id"), batch.column("digest"), pa.array(n, pa.int64()), pa.array(nodes, pa.int64()), pa.array(sketches, pa.binary())],
+                names=["doc_id", "digest", "n_shingles", "node", "sketch"],
             )
 
     return run
@@ -249,8 +249,10 @@ def _reach(threshold: Fraction):
 def _whole(k: int):
     def run(batches):
         for batch in batches:
-            sets = [x.tobytes() for x in text_sets(batch.column("text"), k)]
-            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "elements"])
+            # ids may repeat with other texts: only the row whose set it is counts
+            sets = [x.tobytes() if node_of(x) == node else None for x, node in zip(text_sets(batch.column("text"), k), batch.column("node").to_pylist())]
+            rows = pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], names=["node", "elements"])
+            yield rows.filter(rows.column("elements").is_valid())
 
     return run
 
@@ -258,11 +260,10 @@ def _whole(k: int):
 def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, threshold: Fraction) -> DataFrame:
     """The ``pairs`` that reach the threshold, by exact counts; sets come from whole texts once more."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    wanted = written(nodes.join(ends, "node").select("node", F.col("rep").alias("doc_id"), "n_shingles"))
+    wanted = written(nodes.join(ends, "node").select("node", F.col("rep").alias("doc_id")))
     texts = docs.join(wanted, "doc_id").select("node", "text")
     sets = texts.mapInArrow(_whole(k), "node long, elements binary")
-    # ids may repeat with other texts: only the row whose set it is counts
-    sets = written(sets.filter(F.length("elements") > 0).dropDuplicates(["node", "elements"]))
+    sets = written(sets.dropDuplicates(["node"]))
     left = sets.select(F.col("node").alias("a"), F.col("elements").alias("left"))
     right = sets.select(F.col("node").alias("b"), F.col("elements").alias("right"))
     return written(pairs.join(left, "a").join(right, "b").mapInArrow(_reach(threshold), PAIRS).distinct())
@@ -277,11 +278,37 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFr
     component. NULL or empty texts have no shingles and link with nothing: their component is their own id.
     Repeated rows each get a row. NULL ids stay NULL and never name a component.
     """
+    rows, nodes, links = _joined(docs, k, Fraction(percent, 100))
+    left = nodes.select(F.col("node").alias("a"), F.col("rep").alias("left"))
+    right = nodes.select(F.col("node").alias("b"), F.col("rep").alias("right"))
+    ids = links.join(left, "a").join(right, "b").select(F.col("left").alias("a"), F.col("right").alias("b"))
+    return rows.select("doc_id", "n_shingles", "component_id"), ids
+
+
+def one_of_each_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
+    """The (doc_id, digest) of one row of each component that ``jaccard_join`` finds; digest is ``text_digest()``.
+
+    Of a component the row with the smallest id stays. An id may stand on different texts: each is judged by itself, and
+    of a component's different texts with the smallest id the one with the smallest set name and digest stays.
+    Texts without shingles all stay, once an id. Rows without an id are not listed.
+    """
+    rows = _joined(docs, k, Fraction(percent, 100))[0].filter("doc_id is not null")
+    linked = rows.filter("n_shingles > 0").groupBy("component").agg(F.min(F.struct("doc_id", "node", "digest")).alias("kept"))
+    plain = rows.filter("n_shingles = 0").select("doc_id", "digest")
+    return linked.select("kept.doc_id", "kept.digest").union(plain).distinct()
+
+
+def text_digest() -> F.Column:
+    """Tells the texts of one id apart."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def _joined(docs: DataFrame, k: int, threshold: Fraction) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows with the digest, set name (node) and component of their text; the classes (nodes); connecting links of nodes."""
     spark = docs.sparkSession
     ship_code(spark)
-    threshold = Fraction(percent, 100)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = written(docs.mapInArrow(_sets(k), SETS))
+    sets = written(docs.withColumn("digest", text_digest()).mapInArrow(_sets(k), SETS))
     full = sets.filter("n_shingles > 0")
     nodes = written(full.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles")))
     sketches = full.select("node", "doc_id", "sketch").join(nodes, "node").filter("doc_id = rep").dropDuplicates(["node"])
@@ -309,10 +336,7 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFr
         labels = components(links)
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    classes = named.join(lowest, "component").select("node", "component_id")
-    plain = sets.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
-    rows = full.join(classes, "node", "left").select("doc_id", "n_shingles", "component_id").union(plain)
-    left = nodes.select(F.col("node").alias("a"), F.col("rep").alias("left"))
-    right = nodes.select(F.col("node").alias("b"), F.col("rep").alias("right"))
-    ids = links.join(left, "a").join(right, "b").select(F.col("left").alias("a"), F.col("right").alias("b"))
-    return rows, ids
+    classes = named.join(lowest, "component").select("node", "component", "component_id")
+    names = ["doc_id", "digest", "n_shingles", "node", "component", "component_id"]
+    plain = sets.filter("n_shingles = 0").withColumn("component", F.lit(None).cast("long")).withColumn("component_id", F.col("doc_id"))
+    return full.join(classes, "node", "left").select(names).union(plain.select(names)), nodes, links

@@ -4,9 +4,11 @@ import random
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_rows import documents, sentence
 
+import corpus_pipeline
 from ledgerloom.llm import partenum
 
 
@@ -94,3 +96,28 @@ def test_awkward_rows(spark):
             (3, 29_997, 3), (4, 29_998, 3), (None, 0, None), (10, 1, 10), (11, 1, 11), (12, 1, 12)]
     assert got == sorted(want, key=str)
     assert partenum.jaccard_join(documents(spark, rows).limit(0))[0].count() == 0
+
+
+def test_a_link_counts_only_the_text_it_names(spark):
+    rng = random.Random(5)
+    near, far, other = (sentence(rng, 60, 10**6) for _ in range(3))
+    docs = documents(spark, [(7, " ".join(near)), (7, " ".join(far)), (9, " ".join([*near, "end"]))]).select("doc_id", "text")
+    name = {t: partenum.node_of(next(partenum.text_sets(pa.array([" ".join(t)]), 5))) for t in (tuple(near), tuple(far), (*near, "end"))}
+    nodes = spark.createDataFrame([(name[tuple(near)], 7, 56), (name[tuple(far)], 7, 56), (name[*near, "end"], 9, 57)], "node long, rep long, n_shingles long")
+    pairs = spark.createDataFrame([(name[tuple(far)], name[*near, "end"]), (name[tuple(near)], name[*near, "end"])], partenum.PAIRS)
+    found = partenum._links(docs, nodes, pairs, 5, Fraction(80, 100)).collect()
+    assert [tuple(r) for r in found] == [(name[tuple(near)], name[*near, "end"])]
+
+
+def test_one_text_of_each_component_stays_whatever_its_id(spark):
+    rng = random.Random(6)
+    clean, base, alone = (" ".join(sentence(rng, 60, 10**6)) for _ in range(3))
+    rows = [(7, clean), (7, base + " end"), (3, base), (3, base), (5, alone), (5, clean + " end"), (8, ""), (8, None), (8, "one"), (None, base), (9, alone.upper())]
+    docs = documents(spark, rows)
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(5, clean + " end"), (3, base), (5, alone), (8, ""), (8, None), (8, "one"), (None, base)]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted(want, key=str)
+    rows = [(7, clean), (7, base + " end"), (3, base)]  # the clean text of 7 is no copy of anything
+    got = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), "")
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(3, base), (7, clean)]
