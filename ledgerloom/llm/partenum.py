@@ -9,7 +9,9 @@ signature; a set has those of its own size band and of the next, so it meets par
 Steps: sets, sizes and sketches of all texts; signatures, gathered by their leading bits; groups of different sets
 that share a signature; within a group, pairs whose sketches allow the similarity; exact counts on the whole sets;
 components. Equal sets count once from the start. Each set of a group first takes one allowed partner, which
-connects copies without listing their pairs; then all allowed pairs that are not connected yet are counted.
+connects copies without listing their pairs; then all allowed pairs that are not connected yet are counted. These
+links connect every component. Whoever asks for all links, or for their number, has the sets of each component
+compared with each other: every pair of a component meets in exactly one cell.
 """
 
 from __future__ import annotations
@@ -32,12 +34,15 @@ from ledgerloom.llm.textbytes import mix
 SKETCH = 128
 # Sets of one signature compared with each other in one cell; larger groups become several cells.
 BLOCK = 2048
+# Shingles of the sets on one side of a cell of a component, on average.
+ELEMENTS = 2_000_000
 # Pairs a task holds before it lets them go.
 FLUSH = 1_000_000
 
 SETS = "doc_id long, digest long, n_shingles long, node long, sketch binary"
 GROUPS = "gid long, size long, node long"
 PAIRS = "a long, b long"
+COUNTS = "node long, links long"
 
 
 def size_bands(threshold: Fraction, most: int = 1 << 40) -> np.ndarray:
@@ -257,6 +262,82 @@ def _whole(k: int):
     return run
 
 
+def _alike(threshold: Fraction, pairs: bool):
+    """Of the cells of components, the similar pairs (a, b), or how many rows each node is linked with there."""
+    up, down = threshold.numerator, threshold.denominator
+
+    def cell(nodes, weights, sets, left, right, one):
+        n = np.array([len(x) for x in sets])
+        right = right[np.argsort(n[right], kind="stable")]
+        different, ids = np.unique(np.concatenate([sets[i] for i in right]), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(n[right])])
+        marked = np.zeros(len(different) + 1, np.int32)
+        counts = np.zeros(len(nodes), np.int64)
+        found = []
+        for x in left:
+            # sizes of possible partners: threshold * n <= m <= n / threshold
+            lo = np.searchsorted(n[right], -(-up * n[x] // down))
+            hi = np.searchsorted(n[right], down * n[x] // up, "right")
+            if lo == hi:
+                continue
+            at = np.searchsorted(different, sets[x])
+            known = at[different[np.minimum(at, len(different) - 1)] == sets[x]]
+            marked[known] = 1
+            shared = np.add.reduceat(marked[ids[starts[lo] : starts[hi]]], starts[lo:hi] - starts[lo], dtype=np.int64)
+            marked[known] = 0
+            y = right[lo:hi][down * shared >= up * (n[x] + n[right[lo:hi]] - shared)]
+            y = y[nodes[y] > nodes[x]] if one else y
+            if len(y):
+                counts[x] += weights[y].sum()
+                counts[y] += weights[x]
+                if pairs:
+                    found.append(np.stack([np.minimum(nodes[x], nodes[y]), np.maximum(nodes[x], nodes[y])]))
+                    if sum(f.shape[1] for f in found) > FLUSH:
+                        yield np.concatenate(found, axis=1)
+                        found = []
+        if not pairs:
+            yield np.stack([nodes[counts > 0], counts[counts > 0]])
+        elif found:
+            yield np.concatenate(found, axis=1)
+
+    def run(batches):
+        names = [f.split()[0] for f in (PAIRS if pairs else COUNTS).split(", ")]
+        for rows, cuts in key_runs(batches, ["component", "low", "high"]):
+            block, low, high = (rows[c].to_numpy() for c in ("block", "low", "high"))
+            for i in range(len(cuts) - 1):
+                part = rows.slice(cuts[i], cuts[i + 1] - cuts[i])
+                side, one = block[cuts[i] : cuts[i + 1]] == low[cuts[i]], low[cuts[i]] == high[cuts[i]]
+                sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in part["elements"]]
+                left, right = np.flatnonzero(side), np.flatnonzero(side if one else ~side)
+                if len(left) and len(right):
+                    for out in cell(part["node"].to_numpy(), part["weight"].to_numpy(), sets, left, right, one):
+                        yield pa.RecordBatch.from_arrays([pa.array(x) for x in out], names=names)
+
+    return run
+
+
+def _component_cells(docs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
+    """The whole sets of each component with several classes, dealt to cells of bounded size."""
+    own = rows.filter("doc_id is not null and n_shingles > 0")
+    classes = own.groupBy("node").agg(
+        F.min(F.struct("doc_id", "digest")).alias("rep"), F.max("n_shingles").alias("n"), F.max("component").alias("component"), F.count(F.lit(1)).alias("weight"),
+    )
+    sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("elements")).filter("classes > 1")
+    blocks = F.ceil(F.greatest(F.col("classes") / BLOCK, F.col("elements") / ELEMENTS)).cast("int")
+    wanted = classes.join(sizes.select("component", blocks.alias("blocks")), "component")
+    reps = wanted.select("node", F.col("rep.doc_id").alias("doc_id"), F.col("rep.digest").alias("digest"))
+    texts = docs.withColumn("digest", text_digest()).join(reps, ["doc_id", "digest"]).select("node", "text")
+    sets = texts.mapInArrow(_whole(k), "node long, elements binary").dropDuplicates(["node"])
+    cells = (
+        sets.join(wanted.select("node", "component", "blocks", "weight"), "node")
+        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+    )
+    return grouped(cells.select("component", "low", "high", "block", "node", "weight", "elements"), ["component", "low", "high"])
+
+
 def _links(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, k: int, threshold: Fraction) -> DataFrame:
     """The ``pairs`` that reach the threshold, by exact counts; sets come from whole texts once more."""
     ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
@@ -274,15 +355,40 @@ def jaccard_join(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFr
 
     Returns (rows, links). rows: one for each row of ``docs`` (doc_id, text; other columns are ignored) with
     doc_id, n_shingles and component_id, the smallest doc_id reachable by links. links: pairs (a, b) of doc_ids,
-    each the smallest of its class of equal sets, that were counted and found similar; they connect every
-    component. NULL or empty texts have no shingles and link with nothing: their component is their own id.
+    each the smallest of its class of equal sets, for all classes of similar sets; they are found when they are
+    read. NULL or empty texts have no shingles and link with nothing: their component is their own id.
     Repeated rows each get a row. NULL ids stay NULL and never name a component.
     """
-    rows, nodes, links = _joined(docs, k, Fraction(percent, 100))
+    threshold = Fraction(percent, 100)
+    rows, nodes, _ = _joined(docs, k, threshold)
+    return rows.select("doc_id", "n_shingles", "component_id"), _all_links(docs, rows, nodes, k, threshold)
+
+
+def jaccard_links(docs: DataFrame, k: int = 5, percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``jaccard_join`` with n_links, and its links.
+
+    n_links: the other rows with an id whose text is similar, equal ones included; NULL for rows without an id.
+    """
+    threshold = Fraction(percent, 100)
+    rows, nodes, _ = _joined(docs, k, threshold)
+    cells = _component_cells(_plain(docs), rows, k)
+    near = cells.mapInArrow(_alike(threshold, False), COUNTS).groupBy("node").agg(F.sum("links").alias("links"))
+    equal = rows.filter("doc_id is not null and n_shingles > 0").groupBy("node").agg((F.count(F.lit(1)) - 1).alias("equal"))
+    counts = equal.join(near, "node", "left").select("node", (F.col("equal") + F.coalesce("links", F.lit(0))).alias("n"))
+    counted = rows.join(counts.withColumnRenamed("node", "of"), (F.col("node") == F.col("of")) & (F.col("n_shingles") > 0), "left")
+    n_links = F.when(F.col("doc_id").isNotNull(), F.coalesce("n", F.lit(0))).alias("n_links")
+    return counted.select("doc_id", "n_shingles", "component_id", n_links), _all_links(docs, rows, nodes, k, threshold)
+
+
+def _all_links(docs: DataFrame, rows: DataFrame, nodes: DataFrame, k: int, threshold: Fraction) -> DataFrame:
+    links = _component_cells(_plain(docs), rows, k).mapInArrow(_alike(threshold, True), PAIRS)
     left = nodes.select(F.col("node").alias("a"), F.col("rep").alias("left"))
     right = nodes.select(F.col("node").alias("b"), F.col("rep").alias("right"))
-    ids = links.join(left, "a").join(right, "b").select(F.col("left").alias("a"), F.col("right").alias("b"))
-    return rows.select("doc_id", "n_shingles", "component_id"), ids
+    return links.join(left, "a").join(right, "b").select(F.col("left").alias("a"), F.col("right").alias("b"))
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
 def one_of_each_component(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
@@ -307,7 +413,7 @@ def _joined(docs: DataFrame, k: int, threshold: Fraction) -> tuple[DataFrame, Da
     """Rows with the digest, set name (node) and component of their text; the classes (nodes); connecting links of nodes."""
     spark = docs.sparkSession
     ship_code(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = _plain(docs)
     sets = written(docs.withColumn("digest", text_digest()).mapInArrow(_sets(k), SETS))
     full = sets.filter("n_shingles > 0")
     nodes = written(full.filter("doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.max("n_shingles").alias("n_shingles")))

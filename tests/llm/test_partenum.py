@@ -121,3 +121,23 @@ def test_one_text_of_each_component_stays_whatever_its_id(spark):
     rows = [(7, clean), (7, base + " end"), (3, base)]  # the clean text of 7 is no copy of anything
     got = corpus_pipeline.one_of_each_group(spark, documents(spark, rows), "")
     assert sorted((r.doc_id, r.text) for r in got.collect()) == [(3, base), (7, clean)]
+
+
+@pytest.mark.parametrize("block", [2048, 8])
+def test_all_links_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(partenum, "BLOCK", block)
+    rows = corpus(random.Random(9))
+    rows += [(1000, rows[3][1].upper()), (1001, rows[3][1]), rows[5], (1002, ""), (1003, None), (None, rows[3][1]), (1004, "one  two")]
+    sets = [frozenset(partenum.text_sets(pa.array([t or ""]), 5).__next__().tolist()) for _, t in rows]
+    alike = lambda x, y: bool(x) and bool(y) and 100 * len(x & y) >= 80 * len(x | y)
+    own = [i for i, r in enumerate(rows) if r[0] is not None]
+    rep = {}
+    for i in own:
+        rep[sets[i]] = min(rep.get(sets[i], rows[i][0]), rows[i][0])
+    classes = [x for x in rep if x]
+    want = sorted(sorted((rep[x], rep[y])) for i, x in enumerate(classes) for y in classes[:i] if alike(x, y))
+    links = partenum.jaccard_join(documents(spark, rows), 5, 80)[1]
+    assert sorted(sorted(r) for r in links.collect()) == want
+    counted, links = partenum.jaccard_links(documents(spark, rows), 5, 80)
+    n = [(rows[i][0], sum(alike(sets[i], sets[j]) for j in own if j != i) if i in own else None) for i in range(len(rows))]
+    assert sorted(((r.doc_id, r.n_links) for r in counted.collect()), key=str) == sorted(n, key=str)
