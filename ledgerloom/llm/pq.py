@@ -7,6 +7,9 @@ probes each list whose boundary with its own list is near enough: a neighbour in
 between both centroids. In a list, distances to the codes are summed from tables; the code error bounds how far
 the true distance can lie, so no candidate within r is lost there. Candidates are ranked by their exact cosine.
 
+A neighbour's distance to the plane and its partner's sum up to r at most, so one of both probes the other's list. Each
+entry holds the lists it probes: a link that only one side finds counts for both ends.
+
 Equal vectors are one entry with a weight. Lists are cut into cells of bounded size on both sides. A cell returns
 weights and a spanning forest of its links, never the pairs of a group.
 """
@@ -28,12 +31,11 @@ SUBSPACES = 8
 CODES = 256
 ENTRIES = 2048
 QUERIES = 16_384
-# Share of r a neighbour may lie towards another list's boundary. A random neighbour lies 1 / sqrt(64) of r that way;
-# 1.0 would be proof against neighbours chosen to lie exactly there.
+# Share of r that a probe reaches across a boundary; from 0.5 on one of two neighbours always finds the other.
 MARGIN = 0.6
 
 VECTORS = "vec_id long, dim int, v binary"
-INDEXED = "list int, salt int, role int, node long, weight long, code binary, error double, v binary"
+INDEXED = "list int, salt int, role int, node long, weight long, code binary, error double, v binary, home int, probes binary"
 FOUND = "node long, links long, label long"
 
 
@@ -73,11 +75,10 @@ def _unit(flat: list[bytes], dim: int, width: int) -> np.ndarray:
 def _flatten(batches):
     for batch in batches:
         rows, vectors = usable(batch.column("embedding"), zero=False)
-        ids = batch.column("vec_id").take(pa.array(rows))
-        scaled = [v / np.abs(v).max() for v in vectors]  # the square of a component must stay finite
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array([len(v) for v in vectors], pa.int32()), pa.array([v.tobytes() for v in scaled], pa.binary())], names=["vec_id", "dim", "v"]
-        )
+        dims, flat = [None] * batch.num_rows, [None] * batch.num_rows
+        for i, v in zip(rows.tolist(), vectors):
+            dims[i], flat[i] = len(v), (v / np.abs(v).max()).tobytes()  # the square of a component must stay finite
+        yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(dims, pa.int32()), pa.array(flat, pa.binary())], names=["vec_id", "dim", "v"])
 
 
 def _fit(dim: int, width: int):
@@ -111,6 +112,7 @@ def _index(model, dim: int, width: int, reach: float):
             n = batch.num_rows
             probe = apart - apart[np.arange(n), home][:, None] <= 2 * MARGIN * reach * gaps[home] + 1e-9
             who, where = np.nonzero(probe)
+            probes = pa.array([x.tobytes() for x in np.packbits(probe, axis=1)], pa.binary())
             code = pa.array([x.tobytes() for x in codes.astype(np.uint8)], pa.binary())
             columns = [
                 pa.array(np.concatenate([home, where]).astype(np.int32)),
@@ -120,9 +122,11 @@ def _index(model, dim: int, width: int, reach: float):
                 pa.concat_arrays([code, pa.array([b""] * len(who), pa.binary())]),
                 pa.array(np.concatenate([error, np.zeros(len(who))])),
                 pa.concat_arrays([raw, raw.take(pa.array(who))]),
+                pa.array(np.concatenate([home, home[who]]).astype(np.int32)),
+                pa.concat_arrays([probes, pa.array([b""] * len(who), pa.binary())]),
             ]
             for i in range(0, n + len(who), 8192):
-                yield pa.RecordBatch.from_arrays([c.slice(i, 8192) for c in columns], names=["list", "role", "node", "weight", "code", "error", "v"])
+                yield pa.RecordBatch.from_arrays([c.slice(i, 8192) for c in columns], names=["list", "role", "node", "weight", "code", "error", "v", "home", "probes"])
 
     return run
 
@@ -168,7 +172,8 @@ def _cells(model, dim: int, width: int, cosine: float, reach: float):
                     own = pa.concat_tables(kept)
                     codes = np.frombuffer(b"".join(own["code"].to_pylist()), np.uint8).reshape(own.num_rows, -1)
                     entry = (own["node"].to_numpy(), own["weight"].to_numpy(), codes, own["error"].to_numpy(),
-                             _unit(own["v"].to_pylist(), dim, width))
+                             _unit(own["v"].to_pylist(), dim, width),
+                             np.unpackbits(np.frombuffer(b"".join(own["probes"].to_pylist()), np.uint8).reshape(own.num_rows, -1), axis=1))
                 for i in range(0, part.num_rows, 512):
                     yield from _meet(part.slice(i, 512), entry, coarse[key >> 40], books, dim, width, cosine, reach)
 
@@ -176,7 +181,8 @@ def _cells(model, dim: int, width: int, cosine: float, reach: float):
 
 
 def _meet(asked, entry, centre, books, dim, width, cosine, reach):
-    nodes, weights, codes, error, exact = entry
+    nodes, weights, codes, error, exact, probes = entry
+    home, own_weights = asked["home"].to_numpy(), asked["weight"].to_numpy()
     names, unit = asked["node"].to_numpy(), _unit(asked["v"].to_pylist(), dim, width)
     rest = unit - centre
     total = np.zeros((len(names), len(nodes)), np.float32)
@@ -195,8 +201,12 @@ def _meet(asked, entry, centre, books, dim, width, cosine, reach):
         links = np.bincount(rows, weights[cols], len(names)).astype(np.int64)
         hit = np.flatnonzero(links)
         member, label = _forest(names, nodes, rows, cols)
-        columns = [np.concatenate([names[hit], member]), np.concatenate([links[hit], np.zeros(len(member), np.int64)]),
-                   np.concatenate([names[hit], label])]
+        # an entry that does not probe the asking vector's list does not find it there
+        missed = probes[cols, home[rows]] == 0
+        back = np.bincount(cols[missed], own_weights[rows[missed]], len(nodes)).astype(np.int64)
+        far = np.flatnonzero(back)
+        columns = [np.concatenate([names[hit], nodes[far], member]), np.concatenate([links[hit], back[far], np.zeros(len(member), np.int64)]),
+                   np.concatenate([names[hit], nodes[far], label])]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["node", "links", "label"])
 
 
@@ -212,7 +222,8 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     spark = vectors.sparkSession
     ship_code(spark)
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
-    flat = written(rows.mapInArrow(_flatten, VECTORS))
+    every = written(rows.mapInArrow(_flatten, VECTORS))
+    flat = every.filter("dim is not null")
     classes = written(
         flat.groupBy("dim", "v").agg(F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("weight"))
         .withColumn("node", F.xxhash64("dim", "v"))
@@ -230,7 +241,7 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
         "dim", "v", (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"), "component_id"
     )
     linked = flat.join(known, ["dim", "v"]).select("vec_id", "links", "component_id")
-    alone = rows.select("vec_id").join(flat.select(F.col("vec_id").alias("id")), F.col("vec_id").eqNullSafe(F.col("id")), "left_anti")
+    alone = every.filter("dim is null")
     alone = alone.select("vec_id", F.lit(0).cast("long").alias("links"), F.col("vec_id").alias("component_id"))
     return linked.union(alone).select("vec_id", F.col("links").alias("n_links"), "component_id", (F.col("vec_id") == F.col("component_id")).alias("kept"))
 
@@ -246,7 +257,7 @@ def _found(classes: DataFrame, dim: int, cosine: float) -> DataFrame:
         "coarse": np.frombuffer(fitted["coarse"], np.float64).reshape(-1, width),
         "books": np.frombuffer(fitted["books"], np.float64).reshape(SUBSPACES, CODES, -1),
     })
-    raw = "list int, role int, node long, weight long, code binary, error double, v binary"
+    raw = "list int, role int, node long, weight long, code binary, error double, v binary, home int, probes binary"
     indexed = written(classes.select("node", "weight", "v").mapInArrow(_index(model, dim, width, reach), raw))
     # one row a list: how many cells it is cut into on either side
     sizes = indexed.groupBy("list").agg(

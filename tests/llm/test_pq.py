@@ -1,6 +1,9 @@
 """Product quantisation against brute force on planted near copies."""
 
+from types import SimpleNamespace
+
 import numpy as np
+import pyarrow as pa
 
 from ledgerloom.llm import pq
 
@@ -61,3 +64,26 @@ def test_awkward_vectors(spark):
     ], key=str)
     assert got == want
     assert pq.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_links_across_a_boundary_count_for_both_ends():
+    x = np.array([[np.cos(a), np.sin(a)] for a in np.linspace(0.0, 1.4, 30)])
+    coarse = np.zeros((2, 8))  # all differences lie along the line between both centroids
+    coarse[:, :2] = [[np.cos(0.35), np.sin(0.35)], [np.cos(1.05), np.sin(1.05)]]
+    model = SimpleNamespace(value={"coarse": coarse, "books": np.zeros((8, 4, 1))})
+    reach = float(np.sqrt(2 - 2 * 0.95))
+    vectors = pa.RecordBatch.from_pydict({"node": list(range(30)), "weight": [1 + i % 3 for i in range(30)], "v": [v.tobytes() for v in x]})
+    rows = pa.Table.from_batches(pq._index(model, 2, 8, reach)([vectors]))
+    rows = rows.append_column("salt", pa.array([0] * rows.num_rows)).sort_by([("list", "ascending"), ("role", "ascending")]).combine_chunks()
+    links = np.zeros(30, np.int64)
+    for batch in pq._cells(model, 2, 8, 0.95, reach)(rows.to_batches()):
+        np.add.at(links, batch["node"].to_numpy(), batch["links"].to_numpy())
+    near = x @ x.T >= 0.95
+    np.fill_diagonal(near, False)
+    assert links.tolist() == (near @ (1 + np.arange(30) % 3)).tolist()
+
+
+def test_every_row_has_a_result(spark):
+    rows = [(1, [1.0, 0.0]), (1, None), (None, [0.0, 1.0]), (None, []), (None, [0.0, 0.0]), (2, None)]
+    got = pq.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    assert sorted(((r.vec_id, r.n_links) for r in got), key=str) == sorted([(1, 0), (1, 0), (None, 0), (None, 0), (None, 0), (2, 0)], key=str)
