@@ -47,3 +47,26 @@ n as (select a, count(*) as n from edges group by a)
 select t.vec_id, coalesce(n.n, 0) as n_links, comp.c as component_id, t.vec_id = comp.c as kept
 from embeddings t join comp on comp.node = t.vec_id left join n on n.a = t.vec_id
 """
+
+SQL["op12_inverted_index"] = r"""
+with low as (
+  select doc_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from documents),
+docs as (select row_number() over () as r, doc_id, coalesce(w, []) as w from low),
+own as (
+  select item_id, list_filter(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') as w from benchmark),
+windows as (
+  select distinct item_id, p from (select item_id,
+    unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: w[i:i+9])) as p from own where len(w) > 0)),
+sizes as (select distinct len(p) as n from windows),
+places as (
+  select r, n, unnest(range(1, len(w) - n + 2)) as i, w from docs, sizes where len(w) >= n),
+spans as (select r, i, n, w[i:i+n-1] as p from places),
+hits as (select s.r, s.i, s.n, x.item_id from spans s join windows x on s.p = x.p),
+covered as (select r, count(distinct i + k) as n_hit from (select r, i, unnest(range(0, n)) as k from hits) group by r),
+items as (select r, list_sort(list_distinct(list(item_id::varchar))) as ids from hits where item_id is not null group by r)
+select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(c.n_hit, 0) as n_hit, cast(coalesce(len(t.ids), 0) as bigint) as n_items,
+  sha256(coalesce(array_to_string(t.ids, ','), '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
+from docs d left join covered c on c.r = d.r left join items t on t.r = d.r
+"""

@@ -10,6 +10,7 @@ from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.partenum import jaccard_join
 from ledgerloom.llm.passages import repeated_passages
+from ledgerloom.llm.phrases import contaminated
 from ledgerloom.llm.pq import near_duplicates
 from ledgerloom.llm.pseudonyms import pseudonymised
 from ledgerloom.llm.quality import quality_scores
@@ -74,6 +75,13 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), k=4, percent=85)[0]
 
 
+def op12_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words inside ten-word windows of benchmark items, and the items found."""
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
+    digest = F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest, (F.col("n_hit") > 0).alias("contaminated"))
+
+
 REGISTRY = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_branch_and_bound": op2_branch_and_bound,
@@ -85,4 +93,5 @@ REGISTRY = {
     "op8_feistel_pii": op8_feistel_pii,
     "op9_vector_packing": op9_vector_packing,
     "op10_jaccard_join": op10_jaccard_join,
+    "op12_inverted_index": op12_inverted_index,
 }
