@@ -70,3 +70,17 @@ select d.doc_id, cast(len(d.w) as bigint) as n_words, coalesce(c.n_hit, 0) as n_
   sha256(coalesce(array_to_string(t.ids, ','), '')) as items_sha256, coalesce(c.n_hit, 0) > 0 as contaminated
 from docs d left join covered c on c.r = d.r left join items t on t.r = d.r
 """
+
+SQL["op11_threshold_negatives"] = """
+with v as (select row_number() over () as r, vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+  list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+  where vec_id is not null and label is not null and len(embedding) > 0
+  and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.r as ar, a.vec_id as anchor_id, b.r as br, b.vec_id, a.label = b.label as same,
+  cast(list_inner_product(a.e, b.e) as bigint) as score from v a join v b on a.r <> b.r where a.vec_id % 100 = 0),
+p as (select *, row_number() over (partition by ar order by score desc, vec_id, br) as slot from s where same),
+n as (select p.ar, p.slot, p.anchor_id, p.vec_id as positive_id, p.score as positive_score, s.vec_id as negative_id, s.score as negative_score,
+  cast(row_number() over (partition by p.ar, p.slot order by s.score desc, s.vec_id, s.br) as integer) as rank
+  from p join s on p.ar = s.ar and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score where p.slot <= 5)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10
+"""

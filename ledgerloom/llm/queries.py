@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import table
 from ledgerloom.llm.mixing import mixed
+from ledgerloom.llm.negatives import hard_negatives
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.partenum import jaccard_join
 from ledgerloom.llm.passages import repeated_passages
-from ledgerloom.llm.phrases import contaminated
+from ledgerloom.llm.phrases import contaminated, lowered
 from ledgerloom.llm.pq import near_duplicates
 from ledgerloom.llm.pseudonyms import pseudonymised
 from ledgerloom.llm.quality import quality_scores
+from ledgerloom.llm.spelling import spelling_variants
 from ledgerloom.llm.topk import top_k
 from ledgerloom.llm.toxicity import toxicity_grades
 from ledgerloom.llm.wavelet import read_documents, write_shards
@@ -75,6 +77,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents"), k=4, percent=85)[0]
 
 
+def op11_threshold_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten hard negatives for each of the five positives of every 100th vector; each seventh label is off by one."""
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = vectors.select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0, positives=5, negatives=10, low=30, high=90, scale=256.0)
+
+
 def op12_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's words inside ten-word windows of benchmark items, and the items found."""
     found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), length=10)
@@ -82,6 +92,22 @@ def op12_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", "n_items", digest, (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op13_variable_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every frequent word with its near words and the form it is a variant of.
+
+    One of 199 runs, by the checksum of document and run, loses a letter first.
+    """
+    docs = table(spark, sf_dir, "documents")
+    pieces = F.split(lowered(F.col("text")), "[^a-z\u00C0-\u00FF]+")
+    runs = docs.select(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), F.explode(pieces).alias("run"))
+    runs = runs.filter(F.length("run") >= 6)
+    checksum = F.crc32(F.concat("id", F.lit(":"), "run").cast("binary"))
+    at = F.pmod(checksum, F.length("run")).cast("int")
+    shorter = F.concat(F.substring("run", F.lit(1), at), F.substring("run", at + 2, F.length("run")))
+    kept = runs.select(F.when(checksum % 199 == 0, shorter).otherwise(F.col("run")).alias("word")).filter(F.length("word") >= 6)
+    return spelling_variants(kept.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter("n >= 5"), ratio=5)
+
+
 REGISTRY = {
     "op1_wavelet_tokens": op1_wavelet_tokens,
     "op2_branch_and_bound": op2_branch_and_bound,
@@ -93,5 +119,7 @@ REGISTRY = {
     "op8_feistel_pii": op8_feistel_pii,
     "op9_vector_packing": op9_vector_packing,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_threshold_negatives": op11_threshold_negatives,
     "op12_inverted_index": op12_inverted_index,
+    "op13_variable_grams": op13_variable_grams,
 }

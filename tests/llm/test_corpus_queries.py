@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 def test_all_are_registered():
     assert {*REGISTRY, "pipeline"} <= set(contract.queries())
     assert set(SQL) <= set(contract.oracle_sql())
-    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in REGISTRY) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
