@@ -91,6 +91,11 @@ def ticker_quality(raw: Column) -> Column:
     )
 
 
+def nested_text(path: str, default: str = "") -> Column:
+    """A field of a document, or the default where it or anything above it is missing."""
+    return F.coalesce(F.col(path), F.lit(default))
+
+
 def first_or_blank(items: Column) -> Column:
     return F.coalesce(F.get(items, F.lit(0)), F.lit(""))
 

@@ -11,6 +11,7 @@ from ledgerloom.functions.numbers import exact_mean, indicator, round_half_even,
 from ledgerloom.operators.clean import series_window
 from ledgerloom.operators.dedupe import keep_first
 from ledgerloom.operators.joins import attach_groups
+from ledgerloom.operators.nearest import nearest_in_groups
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranks import ntile_by_sort
 from ledgerloom.session import cut_lineage
@@ -187,11 +188,8 @@ def closest_peers(
 ) -> DataFrame:
     """Nearest companies in the group of each picked one, by distance of standardised columns.
 
-    ``picked`` holds the entity and group keys of the companies asked about, any number of them.
-    Companies lie in grid cells; a picked one looks into its own and the neighbouring cells, which
-    hold everything within one cell width. Whoever has ``limit`` peers within that width is done,
-    the others look again in cells twice as wide. Of companies at exactly one place only
-    ``limit`` + 1 can be among the nearest, so no more of them are met.
+    ``picked`` holds the entity and group keys of the companies asked about, any number of them. Rows: the group keys,
+    picked, peer, distance and place, ``limit`` of them where the group is large enough.
     """
     joined = with_group_moments(df, columns, keys)
     scaled = cut_lineage(
@@ -202,54 +200,10 @@ def closest_peers(
                 safe_divide(F.col(name) - F.col(f"{name}__mean"), F.col(f"{name}__std")).alias(name)
                 for name in columns
             ],
-        ).dropna(subset=list(columns))
+        ).dropna(subset=[*keys, *columns])
     )
-    alike = Window.partitionBy(*keys, *columns).orderBy(entity)
-    points = scaled.withColumn("_same", F.row_number().over(alike)).where(F.col("_same") <= limit + 1).drop("_same")
-    points = points.withColumnsRenamed({entity: "peer"})
     asked = scaled.join(picked.select(*keys, entity), [*keys, entity], "left_semi")
-    waiting = cut_lineage(
-        asked.select(*keys, F.col(entity).alias("picked"), *[F.col(name).alias(f"_{name}") for name in columns])
-    )
-    spans = [F.max(name) - F.min(name) for name in columns]
-    groups = scaled.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.greatest(F.lit(0.0), *spans).alias("span"))
-    largest = groups.agg(F.max("n").alias("n"), F.max("span").alias("span")).first()
-    span = largest["span"] or 0.0
-    width = span * min(1.0, (limit / (largest["n"] or 1)) ** (1 / len(columns))) or 1.0
-    found = None
-    while True:
-        near = _nearest_in_cells(waiting, points, columns, keys, width, limit)
-        every = width >= span
-        ready = near.where((F.col("place") == limit) & (F.col("distance") <= width * (1 - 1e-9))).select(*keys, "picked")
-        done = near if every else near.join(ready, [*keys, "picked"], "left_semi")
-        found = done if found is None else found.unionByName(done)
-        if every:
-            return found
-        waiting = cut_lineage(waiting.join(ready, [*keys, "picked"], "left_anti"))
-        if waiting.isEmpty():
-            return found
-        width *= 2
-
-
-def _nearest_in_cells(
-    waiting: DataFrame, points: DataFrame, columns: Sequence[str], keys: Sequence[str], width: float, limit: int
-) -> DataFrame:
-    """The ``limit`` nearest points in the cell of each waiting row and the cells around it."""
-    cells = [f"_cell_{name}" for name in columns]
-    placed = points.withColumns({cell: F.floor(F.col(name) / width) for cell, name in zip(cells, columns)})
-    looking = waiting
-    for cell, name in zip(cells, columns):
-        steps = F.array(F.lit(-1), F.lit(0), F.lit(1))
-        looking = looking.withColumn("_step", F.explode(steps))
-        looking = looking.withColumn(cell, F.floor(F.col(f"_{name}") / width) + F.col("_step")).drop("_step")
-    pairs = looking.join(placed, [*keys, *cells]).where(F.col("peer") != F.col("picked"))
-    square = F.lit(0.0)
-    for name in columns:
-        gap = F.col(name) - F.col(f"_{name}")
-        square = square + gap * gap
-    measured = pairs.select(*keys, "picked", "peer", F.sqrt(square).alias("distance"))
-    order = Window.partitionBy(*keys, "picked").orderBy("distance", "peer")
-    return cut_lineage(measured.withColumn("place", F.row_number().over(order)).where(F.col("place") <= limit))
+    return nearest_in_groups(scaled, asked, columns, keys, entity, limit)
 
 
 def with_health_flag(

@@ -77,8 +77,8 @@ def latest_filing(
     return picked.withColumn("_record", record).select(*keys, "_record.*")
 
 
-def _by_packed_order(facts, keys, payload, filed, position, lead, matches) -> DataFrame:
-    """First and newest record by one number each, which keeps the aggregation in hash tables.
+def packed_order(filed: str, position: str, lead: str | None = None) -> tuple[Column, Column]:
+    """One number each by which the first record is the least and the newest the greatest.
 
     Digits from the top: 10 for the lead (reversed), 8 for the filing day, 19 for the position
     (reversed). Positions are unique within a key, so all columns come from the same record.
@@ -91,8 +91,12 @@ def _by_packed_order(facts, keys, payload, filed, position, lead, matches) -> Da
     day = F.unix_date(filed).cast("long") + (1 << 23)
     newest = digits(F.lit(10**10 - 1) - rank.cast("long"), 27) + digits(day, 19) + (F.lit(Decimal(10) ** 19 - 1) - place)
     first = digits(rank, 19) + place
-    by_newest = F.when(matches, newest.cast("decimal(38,0)"))
-    by_first = F.when(matches, first.cast("decimal(38,0)"))
+    return first.cast("decimal(38,0)"), newest.cast("decimal(38,0)")
+
+
+def _by_packed_order(facts, keys, payload, filed, position, lead, matches) -> DataFrame:
+    """First and newest record by one number each, which keeps the aggregation in hash tables."""
+    by_first, by_newest = [F.when(matches, rank) for rank in packed_order(filed, position, lead)]
     grouped = facts.groupBy(*keys).agg(
         *[F.min_by(name, by_first).alias(f"_first_{name}") for name in payload],
         *[F.max_by(name, by_newest).alias(f"_newest_{name}") for name in payload],

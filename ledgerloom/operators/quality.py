@@ -162,12 +162,11 @@ def describe_texts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def match_summary(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """Rows per named stage of a universe build."""
-    counted = None
-    for order, (name, df) in enumerate(stages.items()):
-        row = df.agg(F.count(F.lit(1)).alias("rows")).select(
-            F.lit(order).alias("step"), F.lit(name).alias("stage"), "rows"
-        )
-        counted = row if counted is None else counted.unionByName(row)
-    return counted
+def match_summary(df: DataFrame, stages: Mapping[str, Column]) -> DataFrame:
+    """Rows that pass each named stage of a universe build and all stages before it, counted in one pass."""
+    passed, counts = F.lit(True), {}
+    for name, condition in stages.items():
+        passed = passed & F.coalesce(condition, F.lit(False))
+        counts[name] = F.count_if(passed)
+    cells = [F.struct(F.lit(i).alias("step"), F.lit(name).alias("stage"), F.col(name).alias("rows")) for i, name in enumerate(counts)]
+    return df.agg(*[value.alias(name) for name, value in counts.items()]).select(F.inline(F.array(*cells)))

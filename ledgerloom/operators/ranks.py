@@ -40,7 +40,7 @@ def percent_ranks(
     )
 
 
-def _placed_by_sort(df: DataFrame, order: Sequence[Column | str], by: Sequence[str]) -> DataFrame:
+def numbered_groups(df: DataFrame, order: Sequence[Column | str], by: Sequence[str]) -> DataFrame:
     """Add ``_number`` (1..n in the order, per group) and ``_size`` (rows of the group).
 
     Spark's range-partitioned sort does the work: the sorted rows are written once, and a row's
@@ -74,7 +74,7 @@ def numbered_by_sort(
     df: DataFrame, order: Sequence[Column | str], by: Sequence[str] = (), name: str = "rank"
 ) -> DataFrame:
     """Row numbers 1..n in a total order, over everything or within groups of any size."""
-    placed = _placed_by_sort(df, order, by)
+    placed = numbered_groups(df, order, by)
     return placed.select(*df.columns, F.col("_number").alias(name))
 
 
@@ -88,7 +88,7 @@ def ntile_by_sort(
     in_head = F.floor(place / (small + 1)) + 1
     in_tail = larger + F.floor((place - head) / F.greatest(small, F.lit(1))) + 1
     tile = F.when(place < head, in_head).otherwise(in_tail).cast("int")
-    return _placed_by_sort(df, order, by).select(*df.columns, tile.alias(name))
+    return numbered_groups(df, order, by).select(*df.columns, tile.alias(name))
 
 
 def top_rows(df: DataFrame, limit: int, order: Sequence[Column | str]) -> DataFrame:

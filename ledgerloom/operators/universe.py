@@ -11,6 +11,7 @@ from ledgerloom import rules
 from ledgerloom.functions.text import bare_cik, normal_cik, ticker_class, ticker_quality, tidy_ticker, zero_fill
 from ledgerloom.operators.dedupe import keep_first
 from ledgerloom.operators.quality import require_columns
+from ledgerloom.operators.ranks import numbered_by_sort
 
 REQUIRED = ("ticker", "cik", "company")
 OPTIONAL = ("sic_code", "sic_description", "target_sector")
@@ -73,10 +74,10 @@ def with_profiles(universe: DataFrame, profiles: DataFrame) -> DataFrame:
     return keyed.join(profiles, "cik_key", "left").drop("cik_key")
 
 
-def domestic_filers(df: DataFrame) -> DataFrame:
-    """Operating companies that file annual reports as domestic issuers and have an industry."""
+def is_domestic_filer() -> Column:
+    """An operating company that files annual reports as a domestic issuer and has an industry."""
     sic = F.col("sic_code").cast("string")
-    return df.where(
+    return (
         F.col("files_10k")
         & ~F.col("files_20f_or_40f")
         & (F.lower("entity_type") == "operating")
@@ -85,20 +86,31 @@ def domestic_filers(df: DataFrame) -> DataFrame:
     )
 
 
+def domestic_filers(df: DataFrame) -> DataFrame:
+    return df.where(is_domestic_filer())
+
+
 def pick_sector(df: DataFrame, sector: str | None = None, max_rows: int | None = None) -> DataFrame:
     """Optional restriction to one sector, and to the first rows by company name."""
     kept = df if sector is None else df.where(F.col("target_sector") == sector)
     return kept if max_rows is None else kept.orderBy("company", "cik").limit(max_rows)
 
 
+def in_listing_order(df: DataFrame, order: Sequence[Column | str] = ("company", "cik")) -> DataFrame:
+    """All rows with their ``position`` in a list sorted by name (or ticker), sorted in ranges without a limit."""
+    return numbered_by_sort(df, order, name="position")
+
+
 def drop_shells(
     df: DataFrame, shell_codes: Sequence[int] = rules.SHELL_SIC, keep_shells: bool = False
 ) -> DataFrame:
     """Leave out blank-check and pooled vehicles; a missing industry code stays."""
-    if keep_shells:
-        return df
+    return df if keep_shells else df.where(is_no_shell(shell_codes))
+
+
+def is_no_shell(shell_codes: Sequence[int] = rules.SHELL_SIC) -> Column:
     code = F.col("sic_code").cast("string").try_cast("double")
-    return df.where(code.isNull() | ~code.isin(*[float(c) for c in shell_codes]))
+    return code.isNull() | ~code.isin(*[float(c) for c in shell_codes])
 
 
 def one_ticker_per_cik(df: DataFrame, cik: str = "cik") -> DataFrame:
@@ -134,17 +146,21 @@ def primary_listing(df: DataFrame) -> DataFrame:
     return chosen.select("ticker", normal_cik(F.col("cik")).alias("cik"), "company", *optional)
 
 
-def research_universe(
-    df: DataFrame, shell_codes: Sequence[int] = rules.SHELL_SIC, keep_shells: bool = False
-) -> DataFrame:
-    """Tidy, drop exact copies, one ticker per company, no shells, tagged with the annual form."""
-    tidy = df.withColumns(
+def distinct_listings(df: DataFrame) -> DataFrame:
+    """Ids, tickers and codes in one spelling, then every different row once."""
+    return df.withColumns(
         {
             "cik": zero_fill(F.trim(F.col("cik").cast("string")), 10),
             "ticker": tidy_ticker(F.col("ticker")),
             "sic_code": F.col("sic_code").cast("string").try_cast("double"),
         }
     ).dropDuplicates()
-    kept = drop_shells(one_ticker_per_cik(tidy), shell_codes, keep_shells)
+
+
+def research_universe(
+    df: DataFrame, shell_codes: Sequence[int] = rules.SHELL_SIC, keep_shells: bool = False
+) -> DataFrame:
+    """Tidy, drop exact copies, one ticker per company, no shells, tagged with the annual form."""
+    kept = drop_shells(one_ticker_per_cik(distinct_listings(df)), shell_codes, keep_shells)
     rest = [name for name in kept.columns if name not in ("cik", "ticker")]
     return kept.select("cik", F.lit("10-K").alias("filing_tag"), "ticker", *rest)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.operators import annual, facts, features, statements
+from ledgerloom.session import intermediates
 from ledgerloom.sources import documents as docs
 from ledgerloom.sources.tables import write_panel
 
@@ -76,10 +77,10 @@ def quarterly_dataset(long_facts: DataFrame, universe: DataFrame, join_on: str =
     return features.with_ratios(quarterly_panel(long_facts, universe, join_on))
 
 
-def annual_panel(long_facts: DataFrame, universe: DataFrame) -> DataFrame:
+def annual_panel(long_facts: DataFrame, universe: DataFrame, first_year: int = rules.FIRST_ANNUAL_YEAR) -> DataFrame:
     """One row per filer and fiscal year with at least three fields."""
     chosen = in_one_unit(long_facts, rules.ANNUAL_FORMS, rules.ANNUAL_UNITS, any_unit=True)
-    kept = facts.with_calendar(chosen).where(F.col("fiscal_year") >= rules.FIRST_ANNUAL_YEAR)
+    kept = facts.with_calendar(chosen).where(F.col("fiscal_year") >= first_year)
     tagged = facts.with_fields(kept, rules.annual_rules(long_facts.sparkSession))
     resolved = facts.resolve_by_entity(tagged, ENTITY)
     collapsed = annual.collapse_year(resolved, ENTITY)
@@ -89,11 +90,18 @@ def annual_panel(long_facts: DataFrame, universe: DataFrame) -> DataFrame:
     )
 
 
-def build_quarterly(spark: SparkSession, documents_path: str, universe: DataFrame, target: str) -> None:
-    documents = docs.read_fact_documents(spark, documents_path)
-    write_panel(quarterly_dataset(quarterly_facts(documents), universe), target)
+def build_quarterly(
+    spark: SparkSession, documents_path: str, universe: DataFrame, target: str, only_listed: bool = False
+) -> None:
+    """The quarterly panel of all documents; ``only_listed`` leaves those of companies outside the universe unread."""
+    documents = docs.read_fact_documents(spark, documents_path, universe if only_listed else None)
+    with intermediates(spark):
+        write_panel(quarterly_dataset(quarterly_facts(documents), universe), target)
 
 
-def build_annual(spark: SparkSession, documents_path: str, universe: DataFrame, target: str) -> None:
-    documents = docs.read_fact_documents(spark, documents_path)
-    write_panel(annual_panel(annual_facts(documents), universe), target)
+def build_annual(
+    spark: SparkSession, documents_path: str, universe: DataFrame, target: str, only_listed: bool = False
+) -> None:
+    documents = docs.read_fact_documents(spark, documents_path, universe if only_listed else None)
+    with intermediates(spark):
+        write_panel(annual_panel(annual_facts(documents), universe), target)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -43,14 +45,42 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that all executors share."""
+    ensure_checkpoint_dir(spark)
+    return spark.sparkContext.getCheckpointDir()
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``cut_lineage`` wrote inside, once the block's own results are written.
+
+    Frames made inside must not be read after it. Blocks may be nested; each deletes its own tables.
+    """
+    written: list[str] = []
+    _scopes.append(written)
+    try:
+        yield
+    finally:
+        _scopes.remove(written)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for name in written:
+            folder = path(name)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and go on from the written table.
 
     Parquet rather than ``checkpoint()``: later passes read only the columns they need.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/tables/{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/tables/{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,17 +14,41 @@ from ledgerloom.functions.text import (
     first_or_blank,
     join_present,
     lists_item,
+    nested_text,
     zero_fill,
 )
 from ledgerloom.rules import sector_of_sic
+from ledgerloom.sources.stored import replace_folder
+
 
+def read_texts(spark: SparkSession, path: str, glob: str = "*.json", names: Sequence[str] | None = None) -> DataFrame:
+    """One row per file: ``file_name`` and the whole ``text``.
 
-def read_texts(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
-    """One row per file: ``file_name`` and the whole ``text``."""
+    With ``names`` only these files are read: a filter on the file's name is settled on the list of files, before
+    any file is opened.
+    """
     files = spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
+    if names is not None:
+        files = files.where(F.col("_metadata.file_name").isin(*names) if names else F.lit(False))
     return files.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
 
 
+def listed_files(spark: SparkSession, path: str, glob: str = "*.json") -> DataFrame:
+    """``file_name`` and ``length`` of every file; no file is opened, because the content is not asked for."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    return files.select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"), "length")
+
+
+def wanted_files(files: DataFrame, key: Column, wanted: DataFrame, on: Column) -> list[str]:
+    """Names of the files whose ``key`` is among the wanted rows' ``on``.
+
+    The names come to the driver, which already holds every one of them in its list of the folder.
+    """
+    keyed = files.select("file_name", key.alias("_key")).where(F.col("_key") != "")
+    found = keyed.join(wanted.select(on.alias("_key")).distinct(), "_key", "left_semi")
+    return sorted(row["file_name"] for row in found.select("file_name").collect())
+
+
 def parse_texts(texts: DataFrame, schema: T.DataType) -> DataFrame:
     """Add ``doc``; text that is not valid JSON gives a document of NULLs.
 
@@ -33,10 +59,15 @@ def parse_texts(texts: DataFrame, schema: T.DataType) -> DataFrame:
     return texts.select("*", F.explode_outer(F.array(parsed)).alias("doc"))
 
 
-def read_fact_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Ticker (the file stem) and parsed document, readable or not."""
-    parsed = parse_texts(read_texts(spark, path), schemas.FACTS_DOCUMENT)
-    return parsed.select(F.regexp_replace("file_name", r"\.json$", "").alias("ticker"), "doc")
+def read_fact_documents(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
+    """Ticker (the file stem) and parsed document, readable or not.
+
+    ``wanted`` (a frame with ``ticker``) leaves the files of other companies unread.
+    """
+    stem = F.regexp_replace("file_name", r"\.json$", "")
+    names = None if wanted is None else wanted_files(listed_files(spark, path), stem, wanted, F.col("ticker"))
+    parsed = parse_texts(read_texts(spark, path, names=names), schemas.FACTS_DOCUMENT)
+    return parsed.select(stem.alias("ticker"), "doc")
 
 
 def rejected_documents(documents: DataFrame) -> DataFrame:
@@ -103,12 +134,8 @@ def flatten_facts(
 
 def write_long_facts(facts: DataFrame, path: str) -> None:
     """Land the long facts as Parquet, one folder per taxonomy, sorted by company inside files."""
-    (
-        facts.sortWithinPartitions("taxonomy", "ticker", "tag")
-        .write.mode("overwrite")
-        .partitionBy("taxonomy")
-        .parquet(path)
-    )
+    rows = facts.sortWithinPartitions("taxonomy", "ticker", "tag")
+    replace_folder(facts.sparkSession, path, lambda staged: rows.write.partitionBy("taxonomy").parquet(staged))
 
 
 def ticker_index(texts: DataFrame) -> DataFrame:
@@ -129,16 +156,15 @@ def read_ticker_index(spark: SparkSession, path: str) -> DataFrame:
 def read_submissions(spark: SparkSession, path: str, wanted: DataFrame | None = None) -> DataFrame:
     """Submission documents by ``cik_key`` (id without leading zeros).
 
-    Only files named exactly CIK<digits>.json count. ``wanted`` (a frame with ``cik``) drops
-    other filers by file name before any JSON is parsed.
+    Only files named exactly CIK<digits>.json count. With ``wanted`` (a frame with ``cik``) the names are
+    compared first, and the files of other filers are never opened.
     """
-    texts = read_texts(spark, path, "CIK*.json")
-    keyed = texts.withColumn("cik_key", F.regexp_extract("file_name", r"^CIK0*(\d+)\.json$", 1))
-    keyed = keyed.where(F.col("cik_key") != "")
+    key = F.regexp_extract("file_name", r"^CIK0*(\d+)\.json$", 1)
+    names = None
     if wanted is not None:
-        keys = wanted.select(bare_cik(F.col("cik")).alias("cik_key")).distinct()
-        keyed = keyed.join(keys, "cik_key", "left_semi")
-    parsed = parse_texts(keyed, schemas.SUBMISSION_DOCUMENT)
+        names = wanted_files(listed_files(spark, path, "CIK*.json"), key, wanted, bare_cik(F.col("cik")))
+    keyed = read_texts(spark, path, "CIK*.json", names).withColumn("cik_key", key)
+    parsed = parse_texts(keyed.where(F.col("cik_key") != ""), schemas.SUBMISSION_DOCUMENT)
     # A corrupt file parses to nothing but NULLs and is skipped.
     names = [field.name for field in schemas.SUBMISSION_DOCUMENT]
     readable = F.exists(F.array(*[F.col(f"doc.{name}").isNotNull() for name in names]), lambda there: there)
@@ -150,9 +176,9 @@ def filer_categories(submissions: DataFrame) -> DataFrame:
     return submissions.select(
         first_or_blank(F.col("doc.tickers")).alias("ticker"),
         zero_fill(F.col("cik_key"), 10).alias("cik"),
-        F.coalesce(F.col("doc.name"), F.lit("")).alias("company"),
-        F.coalesce(F.col("doc.sic"), F.lit("")).alias("sic_code"),
-        F.coalesce(F.col("doc.sicDescription"), F.lit("Unknown")).alias("sic_description"),
+        nested_text("doc.name").alias("company"),
+        nested_text("doc.sic").alias("sic_code"),
+        nested_text("doc.sicDescription", "Unknown").alias("sic_description"),
         sector_of_sic(F.col("doc.sic")).alias("target_sector"),
     )
 
@@ -160,17 +186,13 @@ def filer_categories(submissions: DataFrame) -> DataFrame:
 def filer_profiles(submissions: DataFrame) -> DataFrame:
     """What a filer is and which forms it files."""
     forms = F.col("doc.filings.recent.form")
-
-    def text(path: str) -> Column:
-        return F.coalesce(F.col(f"doc.{path}"), F.lit(""))
-
     return submissions.select(
         "cik_key",
-        text("entityType").alias("entity_type"),
-        text("stateOfIncorporation").alias("state_of_incorporation"),
-        text("addresses.business.stateOrCountryDescription").alias("country"),
+        nested_text("doc.entityType").alias("entity_type"),
+        nested_text("doc.stateOfIncorporation").alias("state_of_incorporation"),
+        nested_text("doc.addresses.business.stateOrCountryDescription").alias("country"),
         join_present(F.col("doc.exchanges")).alias("exchanges"),
         lists_item(forms, "10-K").alias("files_10k"),
         (lists_item(forms, "20-F") | lists_item(forms, "40-F")).alias("files_20f_or_40f"),
-        text("fiscalYearEnd").alias("fiscal_year_end"),
+        nested_text("doc.fiscalYearEnd").alias("fiscal_year_end"),
     )

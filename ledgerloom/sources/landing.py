@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerloom.sources.documents import listed_files
+
 
 def fetch_worklist(universe: DataFrame, landed: DataFrame, key: str = "ticker") -> DataFrame:
     """Companies without a landed document."""
@@ -19,5 +21,4 @@ def orphans(landed: DataFrame, universe: DataFrame, key: str = "ticker") -> Data
 
 def landed_tickers(spark: SparkSession, path: str) -> DataFrame:
     """Tickers of the documents in a folder, from file names alone; no file is opened."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("ticker"))
+    return listed_files(spark, path).select(F.regexp_replace("file_name", r"\.json$", "").alias("ticker"))

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ledgerloom import schemas
 from ledgerloom.functions.text import normal_cik
+from ledgerloom.sources.stored import replace_folder
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -36,9 +37,9 @@ def read_panel(spark: SparkSession, path: str, schema: T.StructType = schemas.QU
 
 
 def write_csv(df: DataFrame, path: str, order: tuple[str, ...] = ()) -> None:
-    """Header CSV; with ``order`` the files, one after the other, hold the rows sorted."""
+    """Header CSV; with ``order`` the files, one after the other, hold the rows sorted. Replaces a folder as a whole."""
     rows = df.orderBy(*order) if order else df
-    rows.write.mode("overwrite").option("header", True).csv(path)
+    replace_folder(df.sparkSession, path, lambda staged: rows.write.option("header", True).csv(staged))
 
 
 def write_panel(
@@ -46,7 +47,9 @@ def write_panel(
 ) -> None:
     """Parquet, one folder per fiscal year, whose files follow each other in ``order``.
 
-    Range partitions by year and order give few files a folder and split a year that holds many rows.
+    Range partitions by year and order give few files a folder and split a year that holds many rows. A panel that
+    is there already is replaced as a whole once the new one is complete.
     """
     keys = [*by, *[name for name in order if name in df.columns]]
-    df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(*by).parquet(path)
+    rows = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    replace_folder(df.sparkSession, path, lambda staged: rows.write.partitionBy(*by).parquet(staged))

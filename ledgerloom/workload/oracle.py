@@ -64,6 +64,7 @@ _EQUITY = "(total_assets - total_liabilities)"
 VIEWS = {
     "facts_tx": _facts(10),
     "small_tx": _facts(1),
+    "orders_tx": _facts(1).replace("cast(floor(o_custkey / 1) as bigint) as cik", "l_orderkey as cik"),
     "latest_tx": f"""
 select cik, tag, period_end, filed, val from (
   select *, row_number() over (partition by cik, tag, period_end order by filed desc, {POSITION}) as rn
@@ -160,7 +161,7 @@ select c_custkey as row_id, cast(floor(c_custkey / 2) as bigint) as cik_num,
   case when c_custkey % 5 = 0 then 'other' else 'Operating' end as entity_type,
   c_custkey % 7 <> 0 as files_10k, c_custkey % 11 = 0 as files_20f_or_40f
 from customer"""
-VIEWS["buyers_tx"] = "select * from universe_tx where row_id in (select o_custkey from orders where year(o_orderdate) >= 2001)"
+VIEWS["listed_tx"] = "select * from universe_tx where row_id in (select s_suppkey from supplier)"
 VIEWS["raw_universe_tx"] = """
 select *, case when row_id % 23 = 0 then 'n/a' when row_id % 3 = 0 then concat(cast(cik_num as varchar), '.0')
   else cast(cik_num as varchar) end as cik from universe_tx"""
@@ -219,7 +220,7 @@ from {source} where statement = '{name}' group by cik, period_end"""
 
 
 VIEWS["resolved_tx"] = _resolved("facts_tx", "form <> '5-LOW'")
-VIEWS["small_resolved_tx"] = _resolved("small_tx", "form = '1-URGENT'")
+VIEWS["small_resolved_tx"] = _resolved("orders_tx", "form <> '5-LOW'")
 for _name in v.STATEMENT_TAGS:
     VIEWS[f"{_name}_tx"] = _statement(_name)
     VIEWS[f"small_{_name}_tx"] = _statement(_name, "small_resolved_tx")
@@ -253,6 +254,8 @@ def add(name: str, sql: str, digits: int | None = None, doubles: list[str] | Non
 
 add("latest_filing", "select cik, tag, period_end, filed, val from latest_tx")
 
+add("latest_filing_in_batches", "select cik, tag, period_end, filed, val from latest_tx")
+
 
 def _preferred(rank: str) -> str:
     return f"""
@@ -278,9 +281,9 @@ select cik, statement, field, field_order, priority, fiscal_year, filed, val, pe
   select *, min(priority) over (partition by cik, field) as best from (
     select *, cast(year(period_end) as int) as fiscal_year,
       row_number() over (partition by cik, field, priority, year(period_end) order by filed desc, {POSITION}) as rn
-    from small_tx f join year_rules_tx r on f.tag = r.tag where form = '1-URGENT') a
+    from small_tx f join year_rules_tx r on f.tag = r.tag where form <> '5-LOW') a
   where rn = 1) b where priority = best"""
-VIEWS["year_resolved2_tx"] = VIEWS["year_resolved_tx"].replace("form = '1-URGENT'", "form in ('1-URGENT', '2-HIGH')")
+VIEWS["year_resolved2_tx"] = VIEWS["year_resolved_tx"].replace("form <> '5-LOW'", "form in ('1-URGENT', '2-HIGH')")
 add("fallback_entity", "select * from year_resolved_tx")
 
 _CALENDAR = "cast(year(period_end) as int) as fiscal_year, cast(quarter(period_end) as int) as fiscal_quarter"
@@ -343,12 +346,12 @@ from universe_tx u left join (
   select * from (select cik_num, coalesce(cast(sic_code as varchar), '') as sic_code,
       'listed' as sic_description, {sector_case('sic_code')} as target_sector,
       row_number() over (partition by cik_num order by coalesce(cast(sic_code as varchar), ''), {sector_case('sic_code')}) as rn
-    from buyers_tx where cik_num <> 0) a where rn = 1) k
+    from listed_tx where cik_num <> 0) a where rn = 1) k
 on k.cik_num = u.cik_num""")
 add("profile_join", """
 select u.row_id, lpad(cast(u.cik_num as varchar), 10, '0') as cik, u.ticker, p.entity_type, p.files_10k
 from universe_tx u left join (select * from (select *, row_number() over (partition by cik_num order by row_id) as rn
-  from buyers_tx where cik_num <> 0) a where rn = 1) p on p.cik_num = u.cik_num""")
+  from listed_tx where cik_num <> 0) a where rn = 1) p on p.cik_num = u.cik_num""")
 add("external_join", """
 select p.cik, p.period_end, p.fiscal_year, p.revenue, m.mean_order
 from panel_tx p left join (
@@ -365,10 +368,10 @@ select row_id, lpad(cast(cik_num as varchar), 10, '0') as cik from universe_tx
 where cik_num <> 0 and cik_num in (select cik_num from universe_tx where files_10k)""")
 add("fetch_worklist", """
 select ticker, row_id from universe_tx
-where ticker not in (select ticker from buyers_tx)""")
+where ticker not in (select ticker from listed_tx)""")
 add("orphans", """
 select row_id, lower(ticker) as ticker from universe_tx
-where upper(ticker) not in (select upper(ticker) from buyers_tx)""")
+where upper(ticker) not in (select upper(ticker) from listed_tx)""")
 add("concat_frames", f"""
 select cik, period_end, arg_min(filed, field_order) as filing_date,
   max(case when field = 'assets' then val end) as assets, {_CALENDAR}, cast(null as double) as sales
@@ -395,6 +398,20 @@ select * from (select *, min(case unit when 'USD' then 0 when 'USD/shares' then
   from document_facts_tx) d where best = case unit when 'USD' then 0 when 'USD/shares' then 1 end"""
 _LONG = "ticker, cik, company, taxonomy, tag, unit, pos, period_end, val, form, fp, filed"
 add("flatten_facts", f"select {_LONG} from document_facts_tx")
+add("flatten_variants", f"select {_LONG} from document_facts_tx")
+VIEWS["odd_tx"] = """
+select concat('T', cast(cik as varchar)) as ticker, lpad(cast(cik as varchar), 10, '0') as cik, fp as taxonomy, tag, unit,
+  dense_rank() over (partition by cik, fp, tag order by unit) as place, cast(row_number() over (partition by cik, fp, tag, unit order by pos) - 1 as int) as pos,
+  period_end, cast(round(val * 100) as bigint) as cents, form from facts_tx"""
+# the list of the unit "none" is none, and comes after the others in the order of names
+add("odd_documents", """
+select ticker, cik, taxonomy, tag, unit, cast(place - 1 + case when unit > 'none' then 1 else 0 end as int) as unit_pos, pos, period_end,
+  case when unit <> 'USD/shares' then cast(cents as double) end as val, form,
+  case when unit = 'USD/shares' then concat('{"cents":', cast(cents as varchar), '}') end as raw_val from odd_tx""")
+add("odd_document_units", """
+select ticker, taxonomy, tag, unit, pos, period_end, cast(cents as double) as val
+from (select *, min(case unit when 'shares' then 1 when 'USD' then 2 end) over (partition by ticker, taxonomy, tag) as best from odd_tx) t
+where best = case unit when 'shares' then 1 when 'USD' then 2 end""")
 add("document_units", f"select {_LONG} from unit_facts_tx")
 add("rejected_documents", f"""
 select distinct concat('T', cast(cik as varchar)) as ticker from facts_tx
@@ -440,6 +457,42 @@ from (select ticker, cik, company, period_end, filing_date from document_balance
 left join document_balance_tx bs on bs.ticker = b.ticker and bs.period_end = b.period_end and bs.filing_date = b.filing_date
 left join document_income_tx i on i.ticker = b.ticker and i.period_end = b.period_end and i.filing_date = b.filing_date
 left join sector_tx s on lpad(cast(s.cik as varchar), 10, '0') = b.cik"""
+# field, its place among all fields of the annual panel, and its tags with their priorities
+_ANNUAL_DOCUMENT_FIELDS = [
+    ("cost_of_goods_sold", 1, {"CostOfGoodsSold": 1, "CostOfRevenue": 2}),
+    ("inventory", 3, {"InventoryNet": 0, "InventoryGross": 3}),
+    ("net_income", 4, {"NetIncomeLoss": 0}),
+    ("net_sales", 6, {"SalesRevenueNet": 0}),
+    ("total_assets", 7, {"Assets": 0}),
+    ("long_term_debt", 8, {"LongTermDebtNoncurrent": 0, "LongTermDebt": 1}),
+    ("gross_profit", 9, {"GrossProfit": 0}),
+    ("total_revenue", 12, {"SalesRevenueNet": 1, "Revenues": 2}),
+    ("total_liabilities", 13, {"Liabilities": 0}),
+]
+VIEWS["annual_document_rules_tx"] = _values(
+    [(tag, name, place, rank) for name, place, tags in _ANNUAL_DOCUMENT_FIELDS for tag, rank in tags.items()],
+    "tag, field, field_order, priority", "r",
+)
+_ANNUAL_UNIT = "case unit when 'USD' then 0 when 'USD/shares' then 1 else 2 end"
+VIEWS["annual_unit_facts_tx"] = f"""
+select * from (select *, min({_ANNUAL_UNIT}) over (partition by cik, tag) as best from document_facts_tx) d where best = {_ANNUAL_UNIT}"""
+VIEWS["annual_document_tx"] = """
+select * from (select *, min(priority) over (partition by ticker, field) as first_tag from (
+    select f.*, year(period_end) as fiscal_year, field, field_order, priority,
+      row_number() over (partition by ticker, field, priority, year(period_end) order by filed desc, pos) as rn
+    from annual_unit_facts_tx f join annual_document_rules_tx r on f.tag = r.tag where form = '10-K' and val is not null) a
+  where rn = 1) b where priority = first_tag"""
+_ANNUAL_NAMES = [name for name, _, _ in _ANNUAL_DOCUMENT_FIELDS]
+_ANNUAL_VALUES = ", ".join(f"max(case when field = '{name}' then val end) as {name}" for name in _ANNUAL_NAMES)
+add("annual_from_documents", f"""
+select y.* replace (coalesce(net_sales, total_revenue) as net_sales, coalesce(total_revenue, net_sales) as total_revenue), s.target_sector
+from (select ticker, cik, company, cast(fiscal_year as int) as fiscal_year, 4 as fiscal_quarter,
+    coalesce(max(case when field = 'total_assets' then period_end end), max(case when field = 'total_revenue' then period_end end),
+      max(case when field = 'net_income' then period_end end), arg_min(period_end, field_order)) as period_end,
+    max(filed) as filing_date, {_ANNUAL_VALUES}
+  from annual_document_tx group by ticker, cik, company, fiscal_year) y
+left join sector_tx s on lpad(cast(s.cik as varchar), 10, '0') = y.cik
+where {' + '.join(f'(case when {n} is not null then 1 else 0 end)' for n in _ANNUAL_NAMES)} >= 3""")
 add("quarterly_from_documents", _DOCUMENT_PANEL)
 add("quarterly_from_stored_facts", _DOCUMENT_PANEL)
 _SUBMITTED = """
@@ -525,13 +578,19 @@ select ticker, lpad(cast(cik_num as varchar), 10, '0') as cik, company, cast(sic
   select *, row_number() over (partition by ticker order by length(ticker), lpad(cast(cik_num as varchar), 10, '0'), company) as r2 from (
     select *, row_number() over (partition by cik_num order by length(ticker), ticker, company) as r1
     from typed_universe_tx where ticker_type = 'PRIMARY') a where r1 = 1) b where r2 = 1""")
+add("universe_by_company", """
+select row_id, cik_num, ticker, trim(company) as company, row_number() over (order by trim(company), cik_num, row_id) as position
+from universe_tx""")
+add("universe_by_ticker", "select row_id, ticker, row_number() over (order by ticker, row_id) as position from universe_tx")
+add("universe_distinct", """
+select distinct lpad(cast(cik_num as varchar), 10, '0') as cik, ticker, cast(sic_code as double) as sic_code from universe_tx""")
 add("universe_dropped_tickers", "select row_id, ticker, ticker_type from typed_universe_tx where ticker_type <> 'PRIMARY'")
 add("universe_repeated_ciks", """
 select cik_num, count(*) as rows from typed_universe_tx where ticker_type = 'PRIMARY' group by 1 having count(*) > 1""")
 add("universe_match_summary", f"""
 select 0 as step, 'started' as stage, count(*) as rows from universe_tx
-union all select 1, 'matched', count(*) from buyers_tx where row_id <> 0
-union all select 2, 'kept', count(*) from buyers_tx where row_id <> 0 and {_DOMESTIC} and {_NO_SHELL}""")
+union all select 1, 'matched', count(*) from listed_tx where row_id <> 0
+union all select 2, 'kept', count(*) from listed_tx where row_id <> 0 and {_DOMESTIC} and {_NO_SHELL}""")
 
 # --- ratios and features ---------------------------------------------------------------------
 
@@ -606,6 +665,14 @@ select {', '.join(_ALL_PANEL)} from (select *, row_number() over (partition by c
 add("distinct_rows", "select distinct cik, tag, unit, form from facts_tx")
 _CARRIED = [n for n in rules.CARRY_FORWARD if n in v.PANEL_FIELDS]
 add("ffill", f"select cik, period_end, {', '.join(_known(n, 0) + ' as ' + n for n in _CARRIED)} from panel_tx")
+add("ffill_from_buckets", f"select cik, period_end, {', '.join(_known(n, 0) + ' as ' + n for n in _CARRIED)} from panel_tx")
+_BY_SECTOR = "partition by target_sector order by period_end, cik"
+add("ffill_long", f"""
+select target_sector, cik, period_end, {', '.join(f'last_value({n} ignore nulls) over ({_BY_SECTOR}) as {n}' for n in v.PANEL_FIELDS)}
+from sector_panel_tx""")
+add("lag_long", f"""
+select target_sector, cik, period_end, revenue, cash, lag(revenue) over ({_BY_SECTOR}) as revenue_1,
+  lag(revenue, 3) over ({_BY_SECTOR}) as revenue_3, lag(cash, 2) over ({_BY_SECTOR}) as cash_2 from sector_panel_tx""")
 _IMPUTED = [n for n in rules.MEDIAN_FILLED if n in v.PANEL_FIELDS]
 
 
@@ -671,6 +738,9 @@ select 'impossible_values_fixed' as step, cast(
    from (select *, case when cik % 4 = 0 then 2 else 1 end as c from panel_tx) d) as bigint) as affected
 union all select 'duplicate_rows_removed', (select count(*) from panel_tx where cik % 4 = 0)
 union all select 'values_forward_filled', cast({_nulls(_CARRIED, 'clean1_tx')} - {_nulls(_CARRIED, 'clean2_tx')} as bigint)
+union all select 'values_median_filled', cast({_nulls(_IMPUTED, 'clean2_tx')} - {_nulls(_IMPUTED, 'clean3_tx')} as bigint)
+union all select 'values_winsorized',
+  cast({_clips(list(v.PANEL_FIELDS), 'clean3_tx')} + {_clips([*_LAG_NAMES, *_GROWN], 'clean6_tx')} as bigint)
 union all select 'columns_dropped', (select case when count(case when fiscal_year = 1995 then cash end) * 1.0 / count(*) < 0.05
   then 1 else 0 end from panel_tx)""")
 
@@ -717,18 +787,15 @@ add("describe_texts", "\nunion all ".join(
     f"select '{n}' as \"column\", cast(sum(c) as bigint) as count, count(*) as \"unique\", "
     f"arg_min(x, (-c, x)) as top, max(c) as freq from (select {n} as x, count(*) as c from facts_tx where {n} is not null group by 1) t_{n}"
     for n in ("tag", "unit", "form", "fp")))
-VIEWS["reported_tx"] = """
-select * exclude (rn) from (select *, row_number() over (partition by cik, fiscal_year order by period_end) as rn
-  from clean1_tx) t where rn = 1"""
-_ALL_COUNT = len(_ALL_PANEL)
-_REPORT_MISSING = ["company", "ticker"]
+_ENGINEERED = ["balance_sheet_difference", *_LAG_NAMES, *_GROWN]
+_REPORTED = len(_ALL_PANEL) + len(_ENGINEERED) + 1
 add("cleaning_report", f"""
-select 'before' as section, 'rows' as metric, '' as "column", cast(count(*) as double) as value from panel_tx
-union all select 'before', 'columns', '', {_ALL_COUNT}.0::double
-union all select 'after', 'rows', '', cast(count(*) as double) from reported_tx
-union all select 'after', 'columns', '', {_ALL_COUNT}.0::double
-union all select 'removed', 'rows', '', cast((select count(*) from panel_tx) - (select count(*) from reported_tx) as double)
-union all select 'schema', metric, "column", value from ({_schema('reported_tx', _REPORT_MISSING, _NUMBERS)}) s""",
+select 'before' as section, 'rows' as metric, '' as "column", cast(sum(case when cik % 4 = 0 then 2 else 1 end) as double) as value from panel_tx
+union all select 'before', 'columns', '', {len(_ALL_PANEL)}.0::double
+union all select 'after', 'rows', '', cast(count(*) as double) from clean7_tx
+union all select 'after', 'columns', '', {_REPORTED}.0::double
+union all select 'removed', 'rows', '', cast((select count(*) from panel_tx where cik % 4 = 0) as double)
+union all select 'schema', metric, "column", value from ({_schema('clean7_tx', ['company', 'ticker'], [*_NUMBERS, *_ENGINEERED])}) s""",
     1, ["value"])
 
 # --- snapshot, ranks and scores ---------------------------------------------------------------

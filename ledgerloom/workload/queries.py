@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,10 @@ from ledgerloom.operators import (
     clean,
     dedupe,
     features,
+    fold,
     quality,
     scoring,
+    segments,
     statements,
     universe,
 )
@@ -27,7 +30,7 @@ from ledgerloom.operators.ranks import percent_ranks
 from ledgerloom.plans import panels
 from ledgerloom.plans.cleaning import clean_panel
 from ledgerloom.session import cut_lineage
-from ledgerloom.sources import documents, landing
+from ledgerloom.sources import documents, landing, stored, variants
 from ledgerloom.workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +64,30 @@ def latest_filing(spark, sf_dir):
     return v.latest(spark, sf_dir)
 
 
+@query
+def latest_filing_in_batches(spark, sf_dir):
+    """The latest filings as a stored state that took in one year of filings after the other, newest first."""
+    facts = cut_lineage(v.accepted_facts(spark, sf_dir).select("cik", "tag", "period_end", "filed", "val", "pos"))
+    table = fold.FoldTable(spark, f"latest_{uuid.uuid4().hex}", ["cik", "tag", "period_end"], ["val"], buckets=8)
+    for row in facts.select(F.year("filed").alias("year")).distinct().orderBy(F.desc("year")).collect():
+        table.merge(facts.where(F.year("filed").eqNullSafe(F.lit(row["year"]))))
+    latest = cut_lineage(table.latest())
+    table.drop()
+    return latest
+
+
+@query
+def ffill_from_buckets(spark, sf_dir):
+    """Forward fill of a panel stored in buckets by filer: its window reads them without a shuffle."""
+    name = f"panel_{uuid.uuid4().hex}"
+    stored.store_bucketed(v.panel(spark, sf_dir), name, ["cik"], buckets=8, sort=["period_end"])
+    filled = clean.forward_fill(spark.table(name), entity="cik")
+    names = [column for column in rules.CARRY_FORWARD if column in filled.columns]
+    kept = cut_lineage(filled.select("cik", "period_end", *names))
+    stored.drop_stored(spark, name)
+    return kept
+
+
 @query
 def preferred_unit(spark, sf_dir):
     """Quarterly units only; the unit of a tag is chosen over all forms."""
@@ -100,15 +127,12 @@ def fallback_period(spark, sf_dir):
 
 @query
 def fallback_entity(spark, sf_dir):
-    kept = fx.with_calendar(v.facts(spark, sf_dir, 1).where(F.col("form") == "1-URGENT"))
-    tagged = fx.with_fields(kept, v.year_rules(spark), ["tag"])
+    tagged = fx.with_fields(fx.with_calendar(v.accepted_facts(spark, sf_dir, 1)), v.year_rules(spark), ["tag"])
     return fx.resolve_by_entity(tagged, ["cik"], position=v.POSITION)
 
 
-def _resolved(spark, sf_dir, customers_per_filer=10, forms=None):
-    kept = v.facts(spark, sf_dir, customers_per_filer)
-    kept = kept.where(F.col("form").isin(*forms)) if forms else kept.where(F.col("form") != v.REJECTED_FORM)
-    tagged = fx.with_fields(kept, v.statement_rules(spark), ["tag"])
+def _resolved(spark, sf_dir, facts=v.accepted_facts):
+    tagged = fx.with_fields(facts(spark, sf_dir), v.statement_rules(spark), ["tag"])
     return fx.resolve_by_period(tagged, ["cik"], position=v.POSITION)
 
 
@@ -131,10 +155,8 @@ def statement_join_by_period(spark, sf_dir):
 
 @query
 def statement_base_fallback(spark, sf_dir):
-    """Small filers with few forms: many lack a balance sheet, some lack an income statement too."""
-    return statements.merge_statements(
-        _resolved(spark, sf_dir, 1, ["1-URGENT"]), ["cik"], v.STATEMENT_FIELDS
-    )
+    """Orders as filers: many lack a balance sheet, some lack an income statement too."""
+    return statements.merge_statements(_resolved(spark, sf_dir, v.order_facts), ["cik"], v.STATEMENT_FIELDS)
 
 
 @query
@@ -161,8 +183,8 @@ def metadata_join(spark, sf_dir):
 
 @query
 def lookup_default(spark, sf_dir):
-    """Industries are known of the customers that ordered, of some under two rows."""
-    known = v.buyers(spark, sf_dir).select(
+    """Industries are known of the customers whose number is a supplier's too, of some under two rows."""
+    known = v.listed(spark, sf_dir).select(
         F.col("cik_num").cast("string").alias("cik"),
         F.coalesce(F.col("sic_code").cast("string"), F.lit("")).alias("sic_code"),
         F.lit("listed").alias("sic_description"),
@@ -176,7 +198,7 @@ def lookup_default(spark, sf_dir):
 
 @query
 def profile_join(spark, sf_dir):
-    first = dedupe.keep_first(v.buyers(spark, sf_dir), ["cik_num"], ["row_id"])
+    first = dedupe.keep_first(v.listed(spark, sf_dir), ["cik_num"], ["row_id"])
     profiles = first.select(F.col("cik_num").cast("string").alias("cik_key"), "entity_type", "files_10k")
     base = v.universe(spark, sf_dir).select(
         "row_id", tx.zero_fill(F.col("cik_num").cast("string"), 10).alias("cik"), "ticker"
@@ -228,13 +250,13 @@ def membership_semi(spark, sf_dir):
 @query
 def fetch_worklist(spark, sf_dir):
     listed = v.universe(spark, sf_dir).select("row_id", "ticker")
-    landed = v.buyers(spark, sf_dir).select("ticker")
+    landed = v.listed(spark, sf_dir).select("ticker")
     return landing.fetch_worklist(listed, landed)
 
 
 @query
 def orphans(spark, sf_dir):
-    listed = v.buyers(spark, sf_dir).select("ticker")
+    listed = v.listed(spark, sf_dir).select("ticker")
     landed = v.universe(spark, sf_dir).select("row_id", F.lower("ticker").alias("ticker"))
     return landing.orphans(landed, listed)
 
@@ -259,6 +281,26 @@ def flatten_facts(spark, sf_dir):
     return documents.flatten_facts(v.fact_documents(spark, sf_dir)).select(*LONG)
 
 
+@query
+def flatten_variants(spark, sf_dir):
+    """The same values from documents read as variants."""
+    return variants.flatten_variants(variants.parse_variants(v.fact_texts(spark, sf_dir))).select(*LONG)
+
+
+@query
+def odd_documents(spark, sf_dir):
+    """Values of documents of unknown shape: order states as taxonomies, values as numbers, texts and objects."""
+    long = variants.flatten_variants(variants.parse_variants(v.odd_fact_texts(spark, sf_dir)))
+    return long.select("ticker", "cik", "taxonomy", "tag", "unit", "unit_pos", "pos", "period_end", "val", "form", "raw_val")
+
+
+@query
+def odd_document_units(spark, sf_dir):
+    """Each tag in the first unit that holds a list."""
+    long = variants.flatten_variants(variants.parse_variants(v.odd_fact_texts(spark, sf_dir)), unit_preference=("none", "shares", "USD"))
+    return long.select("ticker", "taxonomy", "tag", "unit", "pos", "period_end", "val")
+
+
 @query
 def document_units(spark, sf_dir):
     """Each tag in the first of the quarterly units it has."""
@@ -291,6 +333,20 @@ def quarterly_from_stored_facts(spark, sf_dir):
     return panels.quarterly_panel(long, v.filers(spark, sf_dir)).select(*DOCUMENT_PANEL)
 
 
+ANNUAL_DOCUMENT_PANEL = [
+    "ticker", "cik", "company", "target_sector", "fiscal_year", "fiscal_quarter", "period_end", "filing_date",
+    "cost_of_goods_sold", "inventory", "net_income", "net_sales", "total_assets", "long_term_debt", "gross_profit",
+    "total_revenue", "total_liabilities",
+]
+
+
+@query
+def annual_from_documents(spark, sf_dir):
+    """The annual panel from documents; the given orders are older than the usual first year."""
+    long = panels.annual_facts(v.fact_documents(spark, sf_dir))
+    return panels.annual_panel(long, v.filers(spark, sf_dir), first_year=1990).select(*ANNUAL_DOCUMENT_PANEL)
+
+
 @query
 def filer_profiles(spark, sf_dir):
     return documents.filer_profiles(v.submissions(spark, sf_dir))
@@ -320,7 +376,7 @@ def ticker_index(spark, sf_dir):
 @query
 def props_json(spark, sf_dir):
     parsed = v.table(spark, sf_dir, "events").withColumn("doc", F.from_json("props", "k int, note struct<text: string>"))
-    return parsed.groupBy(F.col("doc.k").alias("k"), F.coalesce("doc.note.text", F.lit("")).alias("note")).agg(
+    return parsed.groupBy(F.col("doc.k").alias("k"), tx.nested_text("doc.note.text").alias("note")).agg(
         F.count(F.lit(1)).alias("events")
     )
 
@@ -425,6 +481,29 @@ def universe_sector_pick(spark, sf_dir):
     return universe.pick_sector(rows.select("row_id", "cik", "company", "target_sector"), "Retail", 25)
 
 
+@query
+def universe_by_company(spark, sf_dir):
+    """The whole list in the order of its names."""
+    rows = v.universe(spark, sf_dir).select("row_id", "cik_num", "ticker", F.trim("company").alias("company"))
+    return universe.in_listing_order(rows, ["company", "cik_num", "row_id"])
+
+
+@query
+def universe_by_ticker(spark, sf_dir):
+    """The list sorted by ticker; many companies share one."""
+    return universe.in_listing_order(v.universe(spark, sf_dir).select("row_id", "ticker"), ["ticker", "row_id"])
+
+
+@query
+def universe_distinct(spark, sf_dir):
+    """Copies of the list with differently written ids and tickers: every company is left once."""
+    rows = v.universe(spark, sf_dir).select("cik_num", "ticker", "sic_code")
+    plain = rows.select(F.col("cik_num").cast("string").alias("cik"), "ticker", F.col("sic_code").cast("string").alias("sic_code"))
+    spaced = plain.select(F.concat(F.lit(" 0"), "cik", F.lit(" ")).alias("cik"), F.lower("ticker").alias("ticker"), "sic_code")
+    coded = plain.select("cik", F.concat("ticker", F.lit(" ")).alias("ticker"), F.concat("sic_code", F.lit(".0")).alias("sic_code"))
+    return universe.distinct_listings(plain.unionByName(spaced).unionByName(coded))
+
+
 @query
 def universe_no_shells(spark, sf_dir):
     return universe.drop_shells(v.universe(spark, sf_dir).select("row_id", "sic_code"))
@@ -459,10 +538,9 @@ def universe_match_summary(spark, sf_dir):
     """Listed companies, those with a submission document, and those kept as domestic filers."""
     rows = v.universe(spark, sf_dir).withColumn("cik", F.col("row_id").cast("string"))
     profiles = documents.filer_profiles(v.submissions(spark, sf_dir)).select("cik_key", F.col("country"))
-    found = universe.with_profiles(rows, profiles.join(v.buyers(spark, sf_dir).select(F.col("row_id").cast("string").alias("cik_key")), "cik_key"))
-    matched = found.where(F.col("country").isNotNull())
-    kept = universe.drop_shells(universe.domestic_filers(matched))
-    return quality.match_summary({"started": rows, "matched": matched, "kept": kept})
+    found = universe.with_profiles(rows, profiles.join(v.listed(spark, sf_dir).select(F.col("row_id").cast("string").alias("cik_key")), "cik_key"))
+    kept = universe.is_domestic_filer() & universe.is_no_shell()
+    return quality.match_summary(found, {"started": F.lit(True), "matched": F.col("country").isNotNull(), "kept": kept})
 
 
 # --- ratios and features ---------------------------------------------------------------------
@@ -590,6 +668,21 @@ def ffill(spark, sf_dir):
     return filled.select("cik", "period_end", *names)
 
 
+@query
+def ffill_long(spark, sf_dir):
+    """Forward fill along whole sectors, of any length; rows without a sector are a series, too."""
+    rows = v.sector_panel(spark, sf_dir).select("target_sector", "cik", "period_end", *v.PANEL_FIELDS)
+    return segments.forward_fill_long(rows, v.PANEL_FIELDS, ["target_sector"], ["period_end", "cik"])
+
+
+@query
+def lag_long(spark, sf_dir):
+    """Earlier rows of the whole sector."""
+    rows = v.sector_panel(spark, sf_dir).select("target_sector", "cik", "period_end", "revenue", "cash")
+    lags = {"revenue_1": ("revenue", 1), "revenue_3": ("revenue", 3), "cash_2": ("cash", 2)}
+    return segments.lag_long(rows, lags, ["target_sector"], ["period_end", "cik"])
+
+
 @query
 def median_impute(spark, sf_dir):
     filled = clean.fill_group_median(panel_table(spark, sf_dir))
@@ -639,8 +732,7 @@ def clean_panel_counts(spark, sf_dir):
     """Counters of the job over a panel in which every fourth filer stands twice, with one sparse measure."""
     rows = v.panel(spark, sf_dir).withColumn("rarely", F.when(F.col("fiscal_year") == 1995, F.col("cash") * 0.0))
     doubled = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.when(F.col("cik") % 4 == 0, 2).otherwise(1)))).drop("_copy")
-    counters = clean_panel(doubled, entity="cik").counters
-    return counters.where(F.col("step").isin("impossible_values_fixed", "duplicate_rows_removed", "values_forward_filled", "columns_dropped"))
+    return clean_panel(doubled, entity="cik").counters
 
 
 # --- quality ---------------------------------------------------------------------------------
@@ -689,9 +781,10 @@ def describe_texts(spark, sf_dir):
 
 @query
 def cleaning_report(spark, sf_dir):
-    raw = panel_table(spark, sf_dir)
-    cleaned = dedupe.keep_first(clean.drop_impossible(raw), ["cik", "fiscal_year"], ["period_end"])
-    return v.rounded(quality.cleaning_report(raw, cut_lineage(cleaned), "cik"), 1)
+    """Report on the whole cleaning job, over a panel in which every fourth filer stands twice."""
+    copies = F.sequence(F.lit(1), F.when(F.col("cik") % 4 == 0, 2).otherwise(1))
+    raw = cut_lineage(v.panel(spark, sf_dir).withColumn("_copy", F.explode(copies)).drop("_copy"))
+    return v.rounded(quality.cleaning_report(raw, cut_lineage(clean_panel(raw, entity="cik").panel), "cik"), 1)
 
 
 # --- snapshot, ranks and scores ---------------------------------------------------------------

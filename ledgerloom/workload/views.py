@@ -74,8 +74,13 @@ def facts(spark: SparkSession, sf_dir: str, customers_per_filer: int = 10) -> Da
     )
 
 
-def accepted_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return facts(spark, sf_dir).where(F.col("form") != REJECTED_FORM)
+def accepted_facts(spark: SparkSession, sf_dir: str, customers_per_filer: int = 10) -> DataFrame:
+    return facts(spark, sf_dir, customers_per_filer).where(F.col("form") != REJECTED_FORM)
+
+
+def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted facts with every order as a filer of its own: few lines each, so that statements are missing."""
+    return accepted_facts(spark, sf_dir).withColumn("cik", F.expr(f"pos div {1 << 27}"))
 
 
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -118,11 +123,10 @@ def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def buyers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Universe rows of the customers that ordered from 2001 on; others stay without a match."""
-    late = table(spark, sf_dir, "orders").where(F.year("o_orderdate") >= 2001)
-    orders = late.select(F.col("o_custkey").alias("row_id")).distinct()
-    return universe(spark, sf_dir).join(orders, "row_id", "left_semi")
+def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Universe rows whose number is also a supplier's; the others stay without a match."""
+    numbers = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("row_id"))
+    return universe(spark, sf_dir).join(numbers, "row_id", "left_semi")
 
 
 def sector_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -247,6 +251,34 @@ def fact_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return by_filer.select(F.concat(F.lit("T"), F.col("cik").cast("string")).alias("ticker"), text.alias("text"))
 
 
+def odd_fact_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that no fixed schema fits: values as numbers, texts and objects, in cents, and parts of the wrong kind."""
+    cents = F.round(F.col("val") * 100).cast("long").cast("string")
+    value = F.when(F.col("unit") == "USD", cents).when(
+        F.col("unit") == "shares", F.concat(F.lit('"'), cents, F.lit('"'))
+    ).otherwise(F.concat(F.lit('{"cents":'), cents, F.lit("}")))
+    day = F.date_format("period_end", "yyyy-MM-dd")
+    record = F.concat(F.lit('{"end":"'), day, F.lit('","val":'), value, F.lit(',"form":"'), F.col("form"), F.lit('"}'))
+    lines = facts(spark, sf_dir).select("cik", "tag", "unit", "fp", F.struct("pos", record.alias("json")).alias("line"))
+
+    def joined(*entries: Column) -> Column:
+        return F.concat(F.lit("{"), F.array_join(F.array_sort(F.flatten(F.array(*entries))), ","), F.lit("}"))
+
+    def named(key: str, value: str) -> Column:
+        return F.collect_list(F.concat(F.lit('"'), F.col(key), F.lit('":'), F.col(value)))
+
+    lists = lines.groupBy("cik", "fp", "tag", "unit").agg(F.array_sort(F.collect_list("line")).alias("lines"))
+    lists = lists.withColumn("list", F.concat(F.lit("["), F.array_join(F.transform("lines", lambda x: x["json"]), ","), F.lit("]")))
+    odd_unit = F.array(F.lit('"none":"not a list"'))
+    tags = lists.groupBy("cik", "fp", "tag").agg(F.concat(F.lit('{"units":'), joined(named("unit", "list"), odd_unit), F.lit("}")).alias("body"))
+    odd_tag = F.array(F.lit('"Wrong":7'), F.lit('"Empty":{}'))
+    parts = tags.groupBy("cik", "fp").agg(joined(named("tag", "body"), odd_tag).alias("concepts"))
+    odd_part = F.array(F.lit('"note":"no object"'))
+    filers = parts.groupBy("cik").agg(joined(named("fp", "concepts"), odd_part).alias("taxonomies"))
+    text = F.concat(F.lit('{"cik":'), F.col("cik").cast("string"), F.lit(',"facts":'), F.col("taxonomies"), F.lit("}"))
+    return filers.select(F.concat(F.lit("T"), F.col("cik").cast("string")).alias("ticker"), text.alias("text"))
+
+
 def fact_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_texts(fact_texts(spark, sf_dir), schemas.FACTS_DOCUMENT).select("ticker", "doc")
 

@@ -1,6 +1,7 @@
 import json
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -19,6 +20,7 @@ def spark():
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="ledgerloom-warehouse-"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")

@@ -9,10 +9,11 @@ from compare import connect, difference
 import __spark_entry__ as contract
 from ledgerloom.operators.dedupe import keep_most_complete
 from ledgerloom.workload import views
+from ledgerloom.workload.oracle import SQL
 from ledgerloom.workload.queries import REGISTRY
 
 SF_DIR = os.environ.get("LEDGERLOOM_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = REGISTRY, contract.oracle_sql()
+QUERIES, ORACLES = REGISTRY, SQL
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 
@@ -24,6 +25,7 @@ def con():
 
 def test_every_query_has_a_twin():
     assert set(QUERIES) == set(ORACLES)
+    assert QUERIES.keys() <= contract.queries().keys() and ORACLES.keys() <= contract.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -8,7 +8,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from ledgerloom.operators import analyses, features, ranks, scoring
+from ledgerloom.operators import analyses, features, nearest, ranks, scoring
 from test_clean import assert_same, to_spark
 
 
@@ -238,3 +238,51 @@ def test_closest_peers_of_every_company(spark):
         assert i not in place and len(set(place)) == 3
         assert np.allclose([d for _, d in mine], np.sort(np.delete(distance, i))[:3])
         assert np.allclose([d for _, d in mine], distance[place])
+
+
+def brute_peers(frame, limit):
+    """(picked, place) -> distance, and all distances, of every row within its group."""
+    out = {}
+    for _, group in frame.groupby("target_sector"):
+        z = ((group[["m", "d"]] - group[["m", "d"]].mean()) / group[["m", "d"]].std()).to_numpy()
+        names = group["ticker"].to_numpy()
+        for i, name in enumerate(names):
+            distance = np.sqrt(((z - z[i]) ** 2).sum(1))
+            for place, j in enumerate([j for j in np.lexsort((names, distance)) if j != i][:limit], 1):
+                out[name, place] = (names[j], distance[j])
+    return out
+
+
+@pytest.mark.parametrize("broadcast", [1_000, 0])
+def test_peers_of_heavy_tails(spark, monkeypatch, broadcast):
+    """Log-normal columns, which a uniform grid would put into one cell, and a group smaller than the limit."""
+    monkeypatch.setattr(nearest, "BROADCAST_ARRAYS", broadcast)
+    rng = np.random.default_rng(11)
+    size = 900
+    frame = pd.DataFrame({
+        "ticker": [f"T{i:03}" for i in range(size)], "target_sector": np.where(np.arange(size) < 700, "hot", rng.choice(["a", "b"], size)),
+        "fiscal_year": 2020, "m": rng.lognormal(0, 3, size), "d": rng.lognormal(0, 2, size),
+    })
+    frame.loc[size - 3:, "target_sector"] = "tiny"
+    df = to_spark(spark, frame)
+    got = {(r.picked, r.place): (r.peer, r.distance) for r in analyses.closest_peers(df, df, ["m", "d"], limit=5).collect()}
+    want = brute_peers(frame, 5)
+    assert got.keys() == want.keys()
+    assert np.allclose([got[k][1] for k in want], [want[k][1] for k in want])
+    assert sum(got[k][0] != want[k][0] for k in want) == 0
+
+
+def test_cells_are_bounded(spark):
+    """No cell over its size and none much smaller, however the values are spread."""
+    rng = np.random.default_rng(2)
+    frame = pd.DataFrame({"g": rng.choice(["x", "y", "z"], 3000, p=[0.9, 0.09, 0.01]), "a": rng.lognormal(0, 4, 3000), "b": 1.0, "c": rng.normal(0, 1, 3000).round(0), "peer": range(3000)})
+    placed = nearest.kd_cells(spark.createDataFrame(frame), ["a", "b", "c"], ["g"], "peer", 20)
+    sizes = placed.groupBy("g", "_c0", "_c1", "_c2").count().toPandas()
+    assert sizes["count"].max() <= 20 and sizes["count"].sum() == 3000 and sizes["count"].min() >= 5
+
+
+def test_peers_meet_in_no_cross_join(spark):
+    rows_ = spark.createDataFrame([(f"T{i}", "s", float(i % 7), float(i)) for i in range(40)], "ticker string, target_sector string, m double, d double")
+    found = nearest.nearest_in_groups(rows_, rows_, ["m", "d"], ["target_sector"], "ticker", 3, cell=8)
+    text = found._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in text and "NestedLoop" not in text and found.count() == 120

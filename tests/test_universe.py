@@ -2,6 +2,7 @@
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from ledgerloom.operators import dedupe, quality
 from ledgerloom.operators import universe as un
@@ -97,6 +98,7 @@ def test_sector_pick_and_summary(spark):
     )
     assert rows(un.pick_sector(df, "R", 1).select("company")) == [("a",)]
     assert un.pick_sector(df).count() == 3
-    assert rows(quality.match_summary({"all": df, "retail": un.pick_sector(df, "R")}), "step") == [
-        (0, "all", 3), (1, "retail", 2),
-    ]
+    stages = {"all": F.lit(True), "retail": F.col("target_sector") == "R", "third": F.col("cik") == "3", "late": F.col("company") > "b"}
+    assert rows(quality.match_summary(df, stages), "step") == [(0, "all", 3), (1, "retail", 2), (2, "third", 1), (3, "late", 1)]
+    assert rows(un.in_listing_order(df).select("position", "company")) == [(1, "a"), (2, "b"), (3, "c")]
+    assert un.distinct_listings(spark.createDataFrame([("1", "ab ", "7"), ("01", "AB", "7.0")], "cik string, ticker string, sic_code string")).count() == 1
