@@ -53,7 +53,7 @@ def corpus(rng, n, vocabulary=12):
     return [(i, " ".join(f"W{rng.randrange(vocabulary)}" for _ in range(rng.randrange(60)))) for i in range(n)]
 
 
-@pytest.mark.parametrize("length, lists", [(4, 1), (4, 2), (4, 4), (2, 3), (10, 2)])
+@pytest.mark.parametrize("length, lists", [(4, 2), (2, 3), (10, 1)])
 def test_hits_equal_brute_force(spark, length, lists):
     rng = random.Random(length * lists)
     docs = corpus(rng, 60, 5 if length < 10 else 2)
@@ -85,7 +85,7 @@ def test_phrase_rows(spark):
     assert got == [(1, 1, 0, 2), (1, 1, 3, 2), (1, 2, 1, 2), (1, 3, 0, 2), (1, 3, 3, 2), (2, 2, 0, 2)]
 
 
-@pytest.mark.parametrize("span", [3, 5, 9])
+@pytest.mark.parametrize("span", [5])
 def test_proximity_equals_brute_force(spark, span):
     rng = random.Random(span)
     docs, items = corpus(rng, 30, 9), [(1, "w1 w2 w3"), (2, "w4 w1"), (3, "w5 w5 w6"), (4, "w7"), (5, "w1 never"), (None, "w2 w8")]
