@@ -26,11 +26,11 @@ from sets t left join classes k on t.s = k.s left join comp m on k.rep = m.node
 """
 
 SQL["op2_branch_and_bound"] = """
-with v as (select vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
+with v as (select row_number() over () as r, vec_id, list_transform(embedding, lambda x: floor(256 * x::double)) as e from embeddings
   where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
-  from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
-r as (select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank, vec_id, score from s)
+s as (select q.r as own, q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.e, c.e) as bigint) as score
+  from v q join v c on q.r <> c.r where q.vec_id % 50 = 0),
+r as (select query_id, cast(row_number() over (partition by own order by score desc, vec_id) as integer) as rank, vec_id, score from s)
 select query_id, rank, vec_id, score from r where rank <= 5
 """
 

@@ -31,8 +31,7 @@ def op1_wavelet_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five largest integer inner products of every 50th vector against all others."""
-    vectors = table(spark, sf_dir, "embeddings")
-    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256.0)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
 def op3_ordinal_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

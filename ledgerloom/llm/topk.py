@@ -5,62 +5,65 @@ A block of queries accumulates inner products a few dimensions at a time, heavie
 dimensions can still add is at most the product of the remaining lengths of both vectors (Cauchy-Schwarz), so a
 candidate whose upper bound is below the k-th best lower bound leaves, and the survivors are compacted.
 
-Every block of queries meets every block of candidates in a cell; k rows a query leave a cell, and a limited
-ranking merges them. Blocks have fixed sizes, so no task grows with the table.
+Candidate blocks are dealt once into parts of a fixed number of blocks; the query blocks go to every part and meet its
+blocks one after the other, so the k-th scores of one block prune the next. k rows a query leave a part, and a
+limited ranking merges them. No task grows with the table.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import grouped, ship_code, written
+from ledgerloom.llm.common import parts, ship_code, written
 from ledgerloom.llm.vectors import usable
 
 QUERY_BLOCK = 512
 CANDIDATE_BLOCK = 4096
 DIMENSIONS = 16
 
-BLOCKS = "bucket int, dim int, ids binary, grid binary"
-FOUND = "query_id long, vec_id long, score long"
+# Candidate blocks that a part holds in memory.
+HELD = 8
+
+BLOCKS = "dim int, first long, ids binary, rows binary, grid binary"
+FOUND = "query_row long, query_id long, vec_id long, row long, score long"
 
 
 def _blocks(scale: float, size: int):
-    """Blocks of up to ``size`` vectors of one bucket and dimension, as a vertical grid of integers held in doubles."""
+    """Blocks of up to ``size`` vectors of one dimension, as a vertical grid of integers held in doubles."""
 
     def run(batches):
-        held: dict[tuple[int, int], tuple[list, list]] = {}
+        held: dict[int, tuple[list, list, list]] = {}
 
-        def emit(key: tuple[int, int]) -> pa.RecordBatch:
-            ids, vectors = held.pop(key)
+        def emit(dim: int) -> pa.RecordBatch:
+            ids, rows, vectors = held.pop(dim)
             grid = np.ascontiguousarray(np.floor(scale * np.stack(vectors)).T)
-            row = [[key[0]], [key[1]], [np.array(ids, np.int64).tobytes()], [grid.tobytes()]]
-            kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], names=["bucket", "dim", "ids", "grid"])
+            row = [[dim], [rows[0]], [np.array(ids, np.int64).tobytes()], [np.array(rows, np.int64).tobytes()], [grid.tobytes()]]
+            kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+            return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, kinds)], names=[x.split()[0] for x in BLOCKS.split(", ")])
 
         for batch in batches:
-            names, buckets = batch.column("vec_id").to_pylist(), batch.column("bucket").to_pylist()
-            rows, vectors = usable(batch.column("embedding"))
-            for i, vector in zip(rows, vectors):
-                key = (buckets[i], len(vector))
-                ids, own = held.setdefault(key, ([], []))
+            names, places = batch.column("vec_id").to_pylist(), batch.column("row").to_pylist()
+            at, vectors = usable(batch.column("embedding"))
+            for i, vector in zip(at, vectors):
+                ids, rows, own = held.setdefault(len(vector), ([], [], []))
                 ids.append(names[i])
+                rows.append(places[i])
                 own.append(vector)
                 if len(ids) == size:
-                    yield emit(key)
-            for key in [x for x in held if x[0] != buckets[-1]]:  # buckets come in order
-                yield emit(key)
-        for key in sorted(held):
-            yield emit(key)
+                    yield emit(len(vector))
+        for dim in sorted(held):
+            yield emit(dim)
 
     return run
 
 
-def best(queries: np.ndarray, query_ids: np.ndarray, grid: np.ndarray, ids: np.ndarray, k: int, floor: np.ndarray):
+def best(queries: np.ndarray, query_rows: np.ndarray, grid: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, floor: np.ndarray):
     """(query place, candidate place, score) of each query's k best in a vertical ``grid``, ties to smaller ids.
 
+    A query does not meet its own row; ``rows`` and ``query_rows`` tell rows apart, whatever their ids.
     ``floor``: scores already known to be reached by k other candidates; lower ones need not be returned.
     """
     order = np.argsort(-np.abs(queries).sum(0) * np.abs(grid).sum(1), kind="stable")
@@ -71,7 +74,7 @@ def best(queries: np.ndarray, query_ids: np.ndarray, grid: np.ndarray, ids: np.n
     partial = queries[:, : cuts[1]] @ grid[: cuts[1]]
     out_q, out_c, out_s = [], [], []
     for q in range(len(queries)):
-        alive = np.flatnonzero(ids != query_ids[q])
+        alive = np.flatnonzero(rows != query_rows[q])
         score = partial[q, alive]
         for b in range(1, len(cuts)):
             if b > 1:
@@ -94,57 +97,72 @@ def best(queries: np.ndarray, query_ids: np.ndarray, grid: np.ndarray, ids: np.n
     return np.concatenate(out_q), np.concatenate(out_c), np.concatenate(out_s)
 
 
-def _cells(k: int):
-    """Meet blocks. The k-th best scores of the query blocks met last are known and carry over."""
+def _parts(k: int):
+    """Candidate blocks of a part come first and are held; query blocks pass by and take their k best along."""
 
     def run(batches):
-        known: dict[bytes, np.ndarray] = {}
+        key, blocks = None, []
         for batch in batches:
             for row in batch.to_pylist():
-                query_ids = np.frombuffer(row["query_ids"], np.int64)
-                queries = np.frombuffer(row["queries"], np.float64).reshape(row["dim"], -1).T
-                ids = np.frombuffer(row["ids"], np.int64)
+                if key != (row["part"], row["dim"]):
+                    key, blocks = (row["part"], row["dim"]), []
+                ids, rows = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["rows"], np.int64)
                 grid = np.frombuffer(row["grid"], np.float64).reshape(row["dim"], -1)
-                if len(known) >= 32 and row["query_ids"] not in known:
-                    known.clear()
-                tops = known.setdefault(row["query_ids"], np.full((len(query_ids), k), -np.inf))
-                q, c, s = best(queries, query_ids, grid, ids, k, tops[:, k - 1])
-                for i in range(len(query_ids)):
-                    tops[i] = -np.sort(-np.concatenate([tops[i], s[q == i]]))[:k]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(query_ids[q]), pa.array(ids[c]), pa.array(s.astype(np.int64))], names=["query_id", "vec_id", "score"]
-                )
+                if row["side"] == 0:
+                    blocks.append((grid, ids, rows))
+                elif blocks:
+                    yield _met(grid.T, ids, rows, blocks, k)
 
     return run
 
 
-def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: float = 256.0) -> DataFrame:
-    """Each query's ``k`` largest integer inner products: query_id, rank (from 1), vec_id, score.
-
-    Both tables have vec_id and embedding; other columns are ignored. Components become floor(scale * x). Vectors
-    that are NULL, empty or hold NULL or non-finite components take no part, and neither do NULL ids. Candidates
-    are all rows whose id is not the query's; ties go to the smaller id, repeated rows count one by one, and a
-    repeated query id is asked once. Vectors of another dimension do not meet. A query without candidates has no rows.
+def _met(queries: np.ndarray, query_ids: np.ndarray, query_rows: np.ndarray, blocks: list[tuple], k: int) -> pa.RecordBatch:
+    top = np.full((len(query_ids), k), -np.inf)  # each query's best scores so far
+    found = []
+    for grid, ids, rows in blocks:
+        q, c, s = best(queries, query_rows, grid, ids, rows, k, top[:, k - 1])
+        found.append((q, ids[c], rows[c], s))
+        for i in range(len(query_ids)):
+            top[i] = -np.sort(-np.concatenate([top[i], s[q == i]]))[:k]
+    q, ids, rows, s = (np.concatenate(x) for x in zip(*found))
+    keep = s >= top[q, k - 1]
+    order = np.lexsort((rows, ids, -s, q))
+    order = order[keep[order]]
+    q, ids, rows, s = q[order], ids[order], rows[order], s[order]
+    # of ties for the last place, the first k rows of each query
+    place = np.arange(len(q)) - np.searchsorted(q, q, "left")
+    q, ids, rows, s = (x[place < k] for x in (q, ids, rows, s))
+    columns = (query_rows[q], query_ids[q], ids, rows, s.astype(np.int64))
+    return pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=[x.split()[0] for x in FOUND.split(", ")])
+
+
+def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0) -> DataFrame:
+    """Each query row's ``k`` largest integer inner products: query_id, rank (from 1), vec_id, score.
+
+    ``vectors`` has vec_id and embedding; other columns serve ``is_query`` only, which says of each row whether it is
+    asked. Components become floor(scale * x). Vectors that are NULL, empty or hold NULL or non-finite components take
+    no part, and neither do NULL ids. Candidates are all rows but the query's own, so a row that repeats its id
+    or its vector is met like any other, and is asked by itself. Ties go to the smaller id. Vectors of another
+    dimension do not meet. A query without candidates has no rows.
     """
     spark = vectors.sparkSession
     ship_code(spark)
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", is_query.alias("asked"))
+    rows = written(rows.filter("vec_id is not null and embedding is not null").withColumn("row", F.monotonically_increasing_id()))
+    many, asked = rows.count(), rows.filter("asked").select("vec_id", "row", "embedding")
+    if asked.isEmpty():
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
     def blocks(df: DataFrame, size: int) -> DataFrame:
-        return df.select("vec_id", "bucket", "embedding").mapInArrow(_blocks(scale, size), BLOCKS)
-
-    def own(df: DataFrame) -> DataFrame:
-        return df.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").filter("vec_id is not null and embedding is not null")
-
-    asked = written(own(queries).dropDuplicates(["vec_id"]))
-    buckets = -(-asked.count() // QUERY_BLOCK)
-    if not buckets:
-        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    dealt = asked.withColumn("bucket", F.pmod(F.xxhash64("vec_id"), F.lit(buckets)).cast("int"))
-    asked = written(blocks(grouped(dealt, ["bucket"]), QUERY_BLOCK)).withColumnsRenamed({"ids": "query_ids", "grid": "queries"})
-    candidates = blocks(own(vectors).withColumn("bucket", F.lit(0)), CANDIDATE_BLOCK).drop("bucket")
-    met = candidates.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    cells = met.join(asked, ["bucket", "dim"]).select("dim", "query_ids", "queries", "ids", "grid")
-    found = cells.mapInArrow(_cells(k), FOUND)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        return written(df.repartition(max(1, min(parts(spark), -(-many // size)))).mapInArrow(_blocks(scale, size), BLOCKS))
+
+    n_parts = max(-(-many // (CANDIDATE_BLOCK * HELD)), min(parts(spark), -(-many // CANDIDATE_BLOCK)), 1)
+    candidates = blocks(rows.select("vec_id", "row", "embedding"), CANDIDATE_BLOCK)
+    candidates = candidates.withColumn("part", F.pmod(F.xxhash64("first"), F.lit(n_parts)).cast("int")).withColumn("side", F.lit(0))
+    queries = blocks(asked, QUERY_BLOCK).withColumn("side", F.lit(1))
+    queries = queries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(n_parts - 1))))
+    met = candidates.unionByName(queries).repartition(parts(spark), "part").sortWithinPartitions("part", "dim", "side")
+    found = met.mapInArrow(_parts(k), FOUND)
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id", "row")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
