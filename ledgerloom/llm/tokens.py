@@ -2,12 +2,14 @@
 
 The vocabulary's splitting pattern never lets a token cross from a visible character to a following blank, so a
 text may be cut there and its ids are those of the pieces. Cuts are made only before a space or line feed and
-after a character that no definition counts as white space (visible ASCII, U+00C0 to U+07FF).
+after a character that no definition counts as white space (visible ASCII, U+00C0 to U+07FF). A text that holds the string of
+an added token is left to the library as a whole, which takes such strings as those tokens.
 """
 
 from __future__ import annotations
 
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -39,7 +41,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        added = [x.content.encode() for x in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
         vocab = self.tokenizer.get_vocab(with_added_tokens=False)
         self.widths = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, number in vocab.items():
@@ -53,6 +56,28 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and the id offsets of each text; arguments as of ``textbytes.slices``."""
+        if not len(data):
+            return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
+        hits = [m.start() for m in self.added.finditer(data)] if self.added else []
+        if not hits:
+            return self._encode(data, offsets)
+        odd = np.unique(np.searchsorted(offsets, hits, "right") - 1)
+        out, cuts, at = [], [np.zeros(1, np.int64)], 0
+        for i in [*odd.tolist(), len(offsets) - 1]:
+            own = offsets[at : i + 1]
+            parts = [self._encode(data[own[0] : own[-1]], own - own[0])] if i > at else []
+            if i < len(offsets) - 1:
+                text = data[offsets[i] : offsets[i + 1]].tobytes().decode()
+                ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                parts.append((ids, np.array([0, len(ids)])))
+            for ids, ends in parts:
+                out.append(ids)
+                cuts.append(ends[1:] + cuts[-1][-1])
+            at = i + 1
+        return np.concatenate(out), np.concatenate(cuts)
+
+    def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         cut = np.zeros(len(data) + 1, bool)

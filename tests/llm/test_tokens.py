@@ -19,7 +19,6 @@ def test_ids_equal_the_library(monkeypatch, kept):
     rng = random.Random(5)
     texts = ["".join(rng.choice(PIECES) for _ in range(rng.randrange(40))) for _ in range(1500)] + [None, "", " ", "\n"]
     plain = Tokenizer.from_file(tokens.vocabulary())
-    plain.encode_special_tokens = True
     own = tokens.Encoder(tokens.vocabulary())
     for _ in range(2):
         for first, data, offsets in textbytes.slices(pa.array(texts), 5000):
@@ -28,6 +27,7 @@ def test_ids_equal_the_library(monkeypatch, kept):
                 want = plain.encode(texts[first + i] or "", add_special_tokens=False).ids
                 assert ids[cuts[i] : cuts[i + 1]].tolist() == want
     assert len(own.slots) <= kept
+    assert plain.encode("x <|endoftext|> y", add_special_tokens=False).ids == own.encode(*next(textbytes.slices(pa.array(["x <|endoftext|> y"])))[1:])[0].tolist()
 
 
 def test_words_and_shingles_of_slices_equal_plain_python():
