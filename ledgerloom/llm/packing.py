@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from ledgerloom.llm import textbytes
 from ledgerloom.llm.common import ship_code, written
 from ledgerloom.llm.tokens import encoder
+from ledgerloom.session import BROADCAST_ROWS
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part int, rank long"
 PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
@@ -158,10 +159,11 @@ def pack(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id: int = 2,
     pieces = written(texts.mapInArrow(_pieces(tokenizer, end_id, tokens), PIECES))
     each = pieces.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n"))
     each = written(each)
+    small = each.count() <= BROADCAST_ROWS
     # one row for each length, at most ``tokens`` of them
     counts = {r["length"]: r["n"] for r in each.groupBy("length").agg(F.sum("n").alias("n")).collect()}
     runs = plan(counts, tokens, documents or tokens, attention or tokens * tokens, rule)
     before = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = each.select("length", "part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    numbered = pieces.join(offsets, ["length", "part"]).withColumn("number", F.col("before") + F.col("rank"))
+    numbered = pieces.join(F.broadcast(offsets) if small else offsets.hint("merge"), ["length", "part"]).withColumn("number", F.col("before") + F.col("rank"))
     return numbered.mapInArrow(_placed(spark.sparkContext.broadcast(runs)), PLACED)
