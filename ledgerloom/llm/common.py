@@ -39,6 +39,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def parts(spark: SparkSession) -> int:
     """The session's number of shuffle partitions; it is what a user raises with the input."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))

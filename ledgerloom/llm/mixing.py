@@ -84,27 +84,28 @@ def exponent(shares: DataFrame, total: float, least: float, most: float, sources
 
 
 def mixed(docs: DataFrame, *, entropy: float | None = None, repeats: float | None = 4.0, budget: float | None = 1.0,
-          tokenizer: str = "byte_bpe_50k.json", seed: int = 17) -> DataFrame:
+          tokenizer: str = "byte_bpe_50k.json", seed: int = 17, block: str = "mix_block", position: str = "mix_position") -> DataFrame:
     """The rows of ``docs`` (doc_id, text, source, any others) as often as the mix takes them.
 
     ``entropy``: the weights' entropy, as a part of that of equal weights, is at most this. ``repeats``: no source is read
     more often, unless the corpus as it is already does. ``budget``: tokens of the result as a multiple of the
-    corpus's tokens; None takes just enough to read every source once or more, so no document is lost. Added columns: mix_block
-    (0 for a document's first use) and mix_position (0 to 1; ascending order interleaves the sources by their
-    weights). Columns of those names are replaced. Tokens are a text's ids plus one for its end.
+    corpus's tokens; None takes just enough to read every source once or more, so no document is lost. Added columns, under
+    the names given by ``block`` and ``position``: 0 for a document's first use, and 0 to 1, whose ascending order
+    interleaves the sources by their weights. Columns of those names are replaced, all others may have any name.
+    Tokens are a text's ids plus one for its end.
 
     NULL text counts as empty, a NULL source is a source, and rows with NULL or repeated ids count one by one. Equal rows
     share their keys, so the cut takes all of them or none. An empty table gives an empty one.
     """
     ship_code(docs.sparkSession)
-    plain = docs.drop("mix_block", "mix_position")
+    plain = docs.drop(block, position)
     row = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"), F.col("text").cast("string"))
     slim = plain.select(source_key().alias("mix_source"), row.alias("mix_row"), F.col("text").cast("string").alias("text"))
     counted = written(slim.mapInArrow(_counts(tokenizer), "mix_source string, mix_row long, n_tokens long"))
     totals = written(counted.groupBy("mix_source").agg(F.sum("n_tokens").alias("n")))
     whole = totals.agg(F.sum("n").alias("n"), F.min("n").alias("least"), F.max("n").alias("most"), F.count(F.lit(1)).alias("k")).first()
     if not whole["k"]:
-        return plain.withColumns({"mix_block": F.lit(0), "mix_position": F.lit(0.0)})
+        return plain.withColumns({block: F.lit(0), position: F.lit(0.0)})
     total = float(whole["n"])
     shares = written(totals.withColumn("p", F.col("n") / total))
     t, tokens = exponent(shares, total, whole["least"] / total, whole["most"] / total, whole["k"], entropy=entropy, repeats=repeats, budget=budget)
@@ -114,8 +115,8 @@ def mixed(docs: DataFrame, *, entropy: float | None = None, repeats: float | Non
     blocks = F.floor(spent / F.col("n") + 1e-9)
     parts = written(shares.select("mix_source", "n", spent.alias("spent"), blocks.alias("blocks"), F.greatest(spent - blocks * F.col("n"), F.lit(0.0)).alias("rest")))
 
-    def key(block) -> F.Column:
-        return F.xxhash64("mix_row", block)
+    def key(number) -> F.Column:
+        return F.xxhash64("mix_row", number)
 
     last = counted.join(parts, "mix_source").withColumn("key", key(F.col("blocks")))
     last = last.select("mix_source", "key", "n_tokens", "rest", F.shiftright("key", 52).alias("range"))
@@ -130,10 +131,10 @@ def mixed(docs: DataFrame, *, entropy: float | None = None, repeats: float | Non
     edge = edge.withColumn("upto", F.col("before") + F.sum("n_tokens").over(inner)).filter("upto > rest")
     cuts = edge.groupBy("mix_source").agg(F.min("key").alias("cut"))
     plan = written(parts.join(cuts, "mix_source", "left"))
-    named = plain.withColumns({"mix_source": source_key(), "mix_row": row}).join(plan, "mix_source", "inner")
+    named = plain.select(F.struct("*").alias("mix_doc"), source_key().alias("mix_source"), row.alias("mix_row")).join(plan, "mix_source", "inner")
     partial = (F.col("rest") > 0) & (F.col("cut").isNull() | (key(F.col("blocks")) < F.col("cut")))
     uses = (F.col("blocks") + partial.cast("int")).cast("int")
     used = named.withColumn("mix_block", F.explode(F.when(uses > 0, F.sequence(F.lit(0), uses - 1))))
     order = key(F.col("mix_block").cast("long")) / F.lit(2.0**64) + 0.5
     at = (F.col("mix_block") + order) * F.col("n") / F.col("spent")
-    return used.withColumn("mix_position", F.least(at, F.lit(1.0))).select(*plain.columns, "mix_block", "mix_position")
+    return used.select("mix_doc.*", F.col("mix_block").alias(block), F.least(at, F.lit(1.0)).alias(position))

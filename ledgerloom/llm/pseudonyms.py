@@ -381,7 +381,7 @@ def replace(text: str, key: bytes, back: bool = False) -> tuple[str, list[str]]:
     return "".join([*out, text[at:]]), kinds
 
 
-def _run(key: bytes):
+def _run(key: bytes, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, found = [], []
@@ -392,18 +392,18 @@ def _run(key: bytes):
                 found.append(kinds)
             at = batch.schema.get_field_index("text")
             columns = [pa.array(texts, pa.string()) if i == at else batch.column(i) for i in range(batch.num_columns)]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, "private_kinds"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(found, pa.list_(pa.string()))], names=[*batch.schema.names, name])
 
     return run
 
 
-def pseudonymised(docs: DataFrame, key: bytes = b"replace this key") -> DataFrame:
-    """``docs`` with private values in ``text`` replaced, and ``private_kinds``, the kinds of them in order.
+def pseudonymised(docs: DataFrame, key: bytes = b"replace this key", kinds: str = "private_kinds") -> DataFrame:
+    """``docs`` with private values in ``text`` replaced, and the column ``kinds``, the kinds of them in order.
 
-    All other columns and rows stay as they are; a column named private_kinds is replaced. NULL text stays NULL with
+    All other columns and rows stay as they are; a column named like ``kinds`` is replaced. NULL text stays NULL with
     no kinds, and a text without private values stays the same. Values that fail validation are not touched.
     """
     ship_code(docs.sparkSession)
-    plain = docs.drop("private_kinds").withColumn("text", F.col("text").cast("string"))
+    plain = docs.drop(kinds).withColumn("text", F.col("text").cast("string"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
-    return plain.mapInArrow(_run(key), f"{fields}, private_kinds array<string>")
+    return plain.mapInArrow(_run(key, kinds), f"{fields}, `{kinds}` array<string>")

@@ -80,3 +80,13 @@ def test_no_limit_accepts_equal_weights(spark):
     assert t == 0.0 and tokens == 100.0
     t, _ = mixing.exponent(frame, 100.0, 0.1, 0.9, 2, entropy=0.0, repeats=None, budget=1.0)
     assert t == pytest.approx(1.0)
+
+
+def test_documents_may_have_columns_of_any_name(spark):
+    """Every name the mix uses inside, and NULL in all of them, comes out unchanged."""
+    names = ["n", "rest", "blocks", "cut", "spent", "p", "key", "range", "n_tokens", "mix_source", "mix_row", "mix_doc", "before", "upto"]
+    rows = [(i, f"text {i} of some words", f"s{i % 3}", *[None if i % 2 else f"{name}{i}" for name in names]) for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} string" for n in names))
+    got = mixing.mixed(df, repeats=1.5, budget=None, block="first", position="second")
+    assert got.columns == [*df.columns, "first", "second"]
+    assert {tuple(r) for r in got.drop("first", "second").collect()} == set(rows)
