@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import table, written
+from ledgerloom.llm.common import free_name, table, written
 from ledgerloom.llm.mixing import mixed
 from ledgerloom.llm.packing import pack
 from ledgerloom.llm.partenum import one_of_each_component, text_digest
@@ -24,8 +24,9 @@ KEY = b"key of the pipeline"
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts; its labels come from the table ``labels``."""
-    scored = with_quality(docs, table(spark, sf_dir, "labels"), column="quality_score_of_text")
-    return scored.filter("quality_score_of_text >= 0.3").select(*docs.columns)
+    score = free_name(docs, "quality_score_of_text")
+    scored = with_quality(docs, table(spark, sf_dir, "labels"), column=score)
+    return scored.filter(F.col(score) >= 0.3).select(*docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,19 +35,21 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Of several rows with that id and text one stays; other texts of the id are judged by themselves. Rows without an
     id stay.
     """
-    kept = one_of_each_component(docs, k=5, percent=80).toDF("kept_id", "kept_digest")
-    same = (F.col("doc_id") == F.col("kept_id")) & (text_digest() == F.col("kept_digest"))
+    names = free_name(docs, "kept_id"), free_name(docs, "kept_digest")
+    kept = one_of_each_component(docs, k=5, percent=80).toDF(*names)
+    same = (F.col("doc_id") == F.col(names[0])) & (text_digest() == F.col(names[1]))
     return docs.join(kept, same, "left_semi").dropDuplicates(["doc_id", "text"]).union(docs.filter("doc_id is null"))
 
 
 def without_private_values(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Private numbers, dates, addresses and keys replaced by pseudonyms of their format."""
-    return pseudonymised(docs, KEY).select(*docs.columns)
+    return pseudonymised(docs, KEY, kinds=free_name(docs, "private_kinds")).select(*docs.columns)
 
 
 def temperature_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Small sources repeated up to 1.5 times; the budget covers every source, so no document is lost."""
-    return mixed(docs, repeats=1.5, budget=None).select(*docs.columns)
+    names = {"block": free_name(docs, "mix_block"), "position": free_name(docs, "mix_position")}
+    return mixed(docs, repeats=1.5, budget=None, **names).select(*docs.columns)
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
