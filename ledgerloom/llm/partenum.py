@@ -9,8 +9,10 @@ signature; a set has those of its own size band and of the next, so it meets par
 Steps: sets, sizes and sketches of all texts; signatures, gathered by their leading bits; groups of different sets
 that share a signature; within a group, pairs whose sketches allow the similarity; exact counts on the whole sets;
 components. Equal sets count once from the start. Each set of a group first takes one allowed partner, which
-connects copies without listing their pairs; then all allowed pairs that are not connected yet are counted. These
-links connect every component. Whoever asks for all links, or for their number, has the sets of each component
+connects copies without listing their pairs. Sets of different components that are still allowed to be similar are
+not listed as pairs either: a cell names each such set once, with the smallest component it is tied to there, and
+what is tied together is a family. The sets of a family meet in cells of bounded size, where all pairs of different
+components are counted exactly and only links that join two components leave. These links connect every component. Whoever asks for all links, or for their number, has the sets of each component
 compared with each other: every pair of a component meets in exactly one cell.
 """
 
@@ -42,6 +44,7 @@ FLUSH = 1_000_000
 SETS = "doc_id long, digest long, n_shingles long, node long, sketch binary"
 GROUPS = "gid long, size long, node long"
 PAIRS = "a long, b long"
+TIED = "node long, component long, anchor long"
 COUNTS = "node long, links long"
 
 
@@ -175,60 +178,106 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays(arrays, names=["gid", "size", "node"])
 
 
-def _allowed(threshold: Fraction, connected: bool):
-    """Pairs of a cell whose sizes and sketches allow the similarity.
-
-    Without components each node takes its first allowed partner; with them, all allowed pairs of nodes in
-    different components follow.
-    """
+def _partners(threshold: Fraction):
+    """For cells of groups: (places, x, allowed partners of x) by sizes and sketches; in a cell of one block each pair comes once."""
     up, down = threshold.numerator, threshold.denominator
 
-    def emit(found: list[np.ndarray]) -> pa.RecordBatch:
-        both = np.unique(np.concatenate(found), axis=0)
-        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+    def cells(rows: pa.Table, cuts: np.ndarray) -> Iterator[tuple[np.ndarray, Iterator[tuple[int, np.ndarray]]]]:
+        nodes, n = rows["node"].to_numpy(), rows["n_shingles"].to_numpy()
+        side = rows["block"].to_numpy() == rows["low"].to_numpy()
+        one = rows["low"].to_numpy() == rows["high"].to_numpy()
+
+        def pairs(at: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+            flat = folded(rows["sketch"].slice(at[0], len(at)).to_pylist())
+            left = at if one[at[0]] else at[side[at]]
+            right = at if one[at[0]] else at[~side[at]]
+            right = right[np.argsort(n[right], kind="stable")]
+            for x in left:
+                # sizes of possible partners: threshold * n <= m <= n / threshold
+                lo = np.searchsorted(n[right], -(-up * n[x] // down))
+                hi = np.searchsorted(n[right], down * n[x] // up, "right")
+                y = right[lo:hi]
+                y = y[nodes[y] > nodes[x]] if one[x] else y
+                if len(y):
+                    apart = np.abs(flat[y - at[0]] - flat[x - at[0]]).sum(1, dtype=np.int64)
+                    # shared >= threshold * union, with shared = (n + m - apart) / 2 at best
+                    total = n[y] + n[x]
+                    yield int(x), y[down * (total - apart) >= up * (total + apart)]
+
+        for i in range(len(cuts) - 1):
+            at = np.arange(cuts[i], cuts[i + 1])
+            yield at, pairs(at)
+
+    return cells
+
+
+class _Different:
+    """Rows of a task, each given once as long as they fit."""
+
+    def __init__(self, names: str):
+        self.names = [x.split()[0] for x in names.split(", ")]
+        self.held: list[np.ndarray] = []
+
+    def add(self, rows: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(rows)
+        if sum(map(len, self.held)) > FLUSH:
+            self.held = [np.unique(np.concatenate(self.held), axis=0)]
+            if len(self.held[0]) > FLUSH // 2:
+                yield from self.close()
+
+    def close(self) -> Iterator[pa.RecordBatch]:
+        if self.held:
+            rows, self.held = np.unique(np.concatenate(self.held), axis=0), []
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in rows.T], names=self.names)
+
+
+def _first_partners(threshold: Fraction):
+    """Of each cell, one allowed pair a node: the one with the smallest partner."""
+    partners = _partners(threshold)
 
     def run(batches):
-        # a pair shares many signatures: one row of it leaves a task, unless very many pairs wait
-        found: list[np.ndarray] = []
+        out = _Different(PAIRS)
         for rows, cuts in key_runs(batches, ["gid", "low", "high"]):
-            nodes, n = rows["node"].to_numpy(), rows["n_shingles"].to_numpy()
-            side = rows["block"].to_numpy() == rows["low"].to_numpy()
-            one = rows["low"].to_numpy() == rows["high"].to_numpy()
-            label = rows["component"].to_numpy() if connected else None
-            sketches = rows["sketch"].to_pylist()
-            for i in range(len(cuts) - 1):
-                at = np.arange(cuts[i], cuts[i + 1])
-                if label is not None and (label[at] == label[at[0]]).all():
+            nodes = rows["node"].to_numpy()
+            for _, pairs in partners(rows, cuts):
+                found = [(nodes[x], nodes[y].min()) for x, y in pairs if len(y)]
+                if found:
+                    yield from out.add(np.sort(np.array(found, np.int64), axis=1))
+        yield from out.close()
+
+    return run
+
+
+def _join(root: np.ndarray, x: int, others: np.ndarray) -> None:
+    """Give the sets with the roots ``others`` and that of ``x`` one root, the smallest."""
+    both = np.append(others, root[x])
+    root[np.isin(root, both)] = both.min()
+
+
+def _tied(threshold: Fraction):
+    """Of each cell, the nodes with an allowed partner in another component, each with the smallest component tied to it there."""
+    partners = _partners(threshold)
+
+    def run(batches):
+        out = _Different(TIED)
+        for rows, cuts in key_runs(batches, ["gid", "low", "high"]):
+            nodes, component = rows["node"].to_numpy(), rows["component"].to_numpy()
+            for at, pairs in partners(rows, cuts):
+                different, place = np.unique(component[at], return_inverse=True)
+                if len(different) == 1:
                     continue
-                flat = folded(sketches[cuts[i] : cuts[i + 1]])
-                left = at if one[at[0]] else at[side[at]]
-                right = at if one[at[0]] else at[~side[at]]
-                right = right[np.argsort(n[right], kind="stable")]
-                for x in left:
-                    # sizes of possible partners: threshold * n <= m <= n / threshold
-                    lo = np.searchsorted(n[right], -(-up * n[x] // down))
-                    hi = np.searchsorted(n[right], down * n[x] // up, "right")
-                    y = right[lo:hi]
-                    y = y[nodes[y] > nodes[x]] if one[x] else y
-                    if label is not None:
-                        y = y[label[y] != label[x]]
-                    if not len(y):
-                        continue
-                    apart = np.abs(flat[y - cuts[i]] - flat[x - cuts[i]]).sum(1, dtype=np.int64)
-                    # shared >= threshold * union, with shared = (n + m - apart) / 2 at best
-                    total = n[y] + n[x]
-                    y = y[down * (total - apart) >= up * (total + apart)]
-                    if len(y) and label is None:
-                        y = y[np.argmin(nodes[y])][None]
+                root, active = np.arange(len(different)), np.zeros(len(at), bool)
+                for x, y in pairs:
+                    x, y = x - at[0], y - at[0]
+                    y = y[place[y] != place[x]]
                     if len(y):
-                        found.append(np.stack([np.minimum(nodes[x], nodes[y]), np.maximum(nodes[x], nodes[y])], 1))
-            if sum(map(len, found)) > FLUSH:
-                found = [np.unique(np.concatenate(found), axis=0)]
-                if len(found[0]) > FLUSH // 2:
-                    yield emit(found)
-                    found = []
-        if found:
-            yield emit(found)
+                        active[x] = active[y] = True
+                        others = np.unique(root[place[y]])
+                        if len(others) > 1 or others[0] != root[place[x]]:
+                            _join(root, place[x], others)
+                if active.any():
+                    yield from out.add(np.stack([nodes[at][active], component[at][active], different[root[place[active]]]], 1))
+        yield from out.close()
 
     return run
 
@@ -316,25 +365,97 @@ def _alike(threshold: Fraction, pairs: bool):
     return run
 
 
+def _links_of_family(threshold: Fraction):
+    """Of the cells of families, similar pairs (a, b) that join two components there: fewer than components."""
+    up, down = threshold.numerator, threshold.denominator
+
+    def cell(nodes, component, sets, left, right, one):
+        n = np.array([len(x) for x in sets])
+        right = right[np.argsort(n[right], kind="stable")]
+        different, ids = np.unique(np.concatenate([sets[i] for i in right]), return_inverse=True)
+        starts = np.concatenate([[0], np.cumsum(n[right])])
+        marked = np.zeros(len(different) + 1, np.int32)
+        names, place = np.unique(component, return_inverse=True)
+        root = np.arange(len(names))
+        for x in left:
+            # sizes of possible partners: threshold * n <= m <= n / threshold
+            lo = np.searchsorted(n[right], -(-up * n[x] // down))
+            hi = np.searchsorted(n[right], down * n[x] // up, "right")
+            own = right[lo:hi]
+            if not len(own) or (root[place[own]] == root[place[x]]).all():
+                continue
+            at = np.searchsorted(different, sets[x])
+            known = at[different[np.minimum(at, len(different) - 1)] == sets[x]]
+            marked[known] = 1
+            shared = np.add.reduceat(marked[ids[starts[lo] : starts[hi]]], starts[lo:hi] - starts[lo], dtype=np.int64)
+            marked[known] = 0
+            y = own[down * shared >= up * (n[x] + n[own] - shared)]
+            y = y[root[place[y]] != root[place[x]]]
+            if len(y):
+                others, first = np.unique(root[place[y]], return_index=True)
+                yield from ((nodes[x], nodes[z]) for z in y[first])
+                _join(root, place[x], others)
+
+    def run(batches):
+        for rows, cuts in key_runs(batches, ["family", "low", "high"]):
+            block, low, high = (rows[c].to_numpy() for c in ("block", "low", "high"))
+            found = []
+            for i in range(len(cuts) - 1):
+                part = rows.slice(cuts[i], cuts[i + 1] - cuts[i])
+                side, one = block[cuts[i] : cuts[i + 1]] == low[cuts[i]], low[cuts[i]] == high[cuts[i]]
+                sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in part["elements"]]
+                left, right = np.flatnonzero(side), np.flatnonzero(side if one else ~side)
+                if len(left) and len(right):
+                    found += cell(part["node"].to_numpy(), part["component"].to_numpy(), sets, left, right, one)
+            if found:
+                both = np.sort(np.array(found, np.int64), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
+
+    return run
+
+
+def _in_cells(sets: DataFrame) -> DataFrame:
+    """Sets with their number of ``blocks``, copied to the cells in which every two blocks of a group meet once."""
+    return (
+        sets.withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .drop("other", "blocks")
+    )
+
+
+def _blocks_of(classes: DataFrame, group: str) -> DataFrame:
+    """How many blocks the classes of a group are dealt to: BLOCK classes and ELEMENTS shingles each, on average."""
+    sizes = classes.groupBy(group).agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("elements")).filter("classes > 1")
+    blocks = F.ceil(F.greatest(F.col("classes") / BLOCK, F.col("elements") / ELEMENTS)).cast("int")
+    return sizes.select(group, blocks.alias("blocks"))
+
+
+def _late_links(docs: DataFrame, nodes: DataFrame, labelled: DataFrame, k: int, threshold: Fraction) -> DataFrame:
+    """Links between the components of ``labelled`` cells, by exact counts within families."""
+    tied = written(grouped(labelled, ["gid", "low", "high"]).mapInArrow(_tied(threshold), TIED).distinct())
+    families = components(tied.select(F.col("component").alias("a"), F.col("anchor").alias("b")))
+    ends = tied.select("node", "component").distinct().join(families.toDF("of", "family"), F.col("component") == F.col("of"))
+    ends = written(ends.join(nodes, "node").select("node", "component", "family", F.col("rep").alias("doc_id"), F.col("n_shingles").alias("n")))
+    texts = docs.join(ends.select("node", "doc_id"), "doc_id").select("node", "text")
+    sets = texts.mapInArrow(_whole(k), "node long, elements binary").dropDuplicates(["node"])
+    wanted = ends.join(_blocks_of(ends, "family"), "family").select("node", "component", "family", "blocks")
+    cells = _in_cells(sets.join(wanted, "node")).select("family", "low", "high", "block", "node", "component", "elements")
+    return written(grouped(cells, ["family", "low", "high"]).mapInArrow(_links_of_family(threshold), PAIRS).distinct())
+
+
 def _component_cells(docs: DataFrame, rows: DataFrame, k: int) -> DataFrame:
     """The whole sets of each component with several classes, dealt to cells of bounded size."""
     own = rows.filter("doc_id is not null and n_shingles > 0")
     classes = own.groupBy("node").agg(
         F.min(F.struct("doc_id", "digest")).alias("rep"), F.max("n_shingles").alias("n"), F.max("component").alias("component"), F.count(F.lit(1)).alias("weight"),
     )
-    sizes = classes.groupBy("component").agg(F.count(F.lit(1)).alias("classes"), F.sum("n").alias("elements")).filter("classes > 1")
-    blocks = F.ceil(F.greatest(F.col("classes") / BLOCK, F.col("elements") / ELEMENTS)).cast("int")
-    wanted = classes.join(sizes.select("component", blocks.alias("blocks")), "component")
+    wanted = classes.join(_blocks_of(classes, "component"), "component")
     reps = wanted.select("node", F.col("rep.doc_id").alias("doc_id"), F.col("rep.digest").alias("digest"))
     texts = docs.withColumn("digest", text_digest()).join(reps, ["doc_id", "digest"]).select("node", "text")
     sets = texts.mapInArrow(_whole(k), "node long, elements binary").dropDuplicates(["node"])
-    cells = (
-        sets.join(wanted.select("node", "component", "blocks", "weight"), "node")
-        .withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-    )
+    cells = _in_cells(sets.join(wanted.select("node", "component", "blocks", "weight"), "node"))
     return grouped(cells.select("component", "low", "high", "block", "node", "weight", "elements"), ["component", "low", "high"])
 
 
@@ -431,14 +552,13 @@ def _joined(docs: DataFrame, k: int, threshold: Fraction) -> tuple[DataFrame, Da
         .withColumn("high", F.greatest("block", "other"))
         .drop("other", "size")
     )
-    first = written(grouped(cells, ["gid", "low", "high"]).mapInArrow(_allowed(threshold, False), PAIRS).distinct())
+    first = written(grouped(cells, ["gid", "low", "high"]).mapInArrow(_first_partners(threshold), PAIRS).distinct())
     links = _links(docs, nodes, first, k, threshold)
     labels = components(links)
     labelled = cells.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    rest = grouped(labelled, ["gid", "low", "high"]).mapInArrow(_allowed(threshold, True), PAIRS).distinct()
-    rest = written(rest.join(first, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        links = links.union(_links(docs, nodes, rest, k, threshold))
+    late = _late_links(docs, nodes, labelled, k, threshold)
+    if not late.isEmpty():
+        links = links.union(late)
         labels = components(links)
     named = nodes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lowest = named.groupBy("component").agg(F.min("rep").alias("component_id"))
