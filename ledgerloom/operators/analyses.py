@@ -11,6 +11,7 @@ from ledgerloom.functions.numbers import exact_mean, indicator, round_half_even,
 from ledgerloom.operators.clean import series_window
 from ledgerloom.operators.dedupe import keep_first
 from ledgerloom.operators.joins import attach_groups
+from ledgerloom.operators.moments import exact_moments
 from ledgerloom.operators.nearest import nearest_in_groups
 from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranks import ntile_by_sort
@@ -37,7 +38,8 @@ def group_mean(df: DataFrame, column: str, keys: Sequence[str] = GROUP, name: st
 
 
 def group_volatility(df: DataFrame, column: str, keys: Sequence[str] = GROUP) -> DataFrame:
-    return _grouped(df, keys).groupBy(*keys).agg(F.stddev_samp(column).alias(f"{column}_std"))
+    moments = exact_moments(cut_lineage(_grouped(df, keys).select(*keys, column)), [column], keys)
+    return moments.select(*keys, F.col(f"{column}__std").alias(f"{column}_std"))
 
 
 def best_in_group(
@@ -153,11 +155,9 @@ def sector_benchmarks(df: DataFrame, columns: Sequence[str], sector: str = "targ
 
 def with_group_moments(df: DataFrame, columns: Sequence[str], keys: Sequence[str]) -> DataFrame:
     """Rows of known groups, with mean and sample deviation of the columns in their group."""
-    known = _grouped(df, keys)
-    moments = known.groupBy(*keys).agg(
-        *[F.avg(name).alias(f"{name}__mean") for name in columns],
-        *[F.stddev_samp(name).alias(f"{name}__std") for name in columns],
-    )
+    known = cut_lineage(_grouped(df, keys))
+    wanted = [f"{name}__{part}" for name in columns for part in ("mean", "std")]
+    moments = exact_moments(known, columns, keys).select(*keys, *wanted)
     return attach_groups(known, moments, keys)
 
 

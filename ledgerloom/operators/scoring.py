@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import rules
 from ledgerloom.functions.numbers import clip, indicator, round_half_even
+from ledgerloom.operators.moments import exact_moments
 from ledgerloom.operators.joins import attach_groups
 from ledgerloom.operators.quality import unpivot_row
 from ledgerloom.operators.quantiles import exact_quantiles, group_medians, median_name
@@ -131,20 +132,16 @@ def top_targets(scored: DataFrame, limit: int, entity: str = "ticker") -> DataFr
 
 
 def score_stats(df: DataFrame, columns: Sequence[str] = ALL_SCORES) -> DataFrame:
-    """Mean, median, sample deviation, least and greatest value per score."""
-    one_row = df.agg(
-        *[
-            F.struct(
-                F.avg(name).alias("mean"),
-                F.stddev_samp(name).alias("std"),
-                F.min(name).alias("min"),
-                F.max(name).alias("max"),
-            ).alias(name)
-            for name in columns
-        ]
-    )
-    cells = [F.struct(F.lit(name).alias("column"), F.col(name).alias("s")) for name in columns]
-    moments = one_row.select(F.inline(F.array(*cells))).select("column", "s.*")
+    """Mean, median, sample deviation, least and greatest value per score; the same bits for any order of rows."""
+    one_row = exact_moments(df, columns)
+    cells = [
+        F.struct(
+            F.lit(name).alias("column"), F.col(f"{name}__mean").alias("mean"), F.col(f"{name}__std").alias("std"),
+            F.col(f"{name}__low").alias("min"), F.col(f"{name}__high").alias("max"),
+        )
+        for name in columns
+    ]
+    moments = one_row.select(F.inline(F.array(*cells)))
     medians = exact_quantiles(df, columns, {"median": 0.5}).drop("n")
     return moments.join(medians, "column", "left")
 

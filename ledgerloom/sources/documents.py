@@ -18,6 +18,7 @@ from ledgerloom.functions.text import (
     zero_fill,
 )
 from ledgerloom.rules import sector_of_sic
+from ledgerloom.session import BROADCAST_ROWS, small_side
 from ledgerloom.sources.stored import replace_folder
 
 
@@ -75,6 +76,16 @@ def rejected_documents(documents: DataFrame) -> DataFrame:
     return documents.where(F.col("doc.facts").isNull()).select("ticker")
 
 
+def only_listed(documents: DataFrame, listed: DataFrame, key: str = "ticker") -> DataFrame:
+    """Documents of listed companies; the others go before any of their facts is opened.
+
+    The list is broadcast when it was counted to be small; otherwise whole documents meet it by shuffle, still one
+    row a company.
+    """
+    side, rows = small_side(listed.select(key).distinct())
+    return documents.join(F.broadcast(side) if rows <= BROADCAST_ROWS else side, key, "left_semi")
+
+
 def _unit_choice(units: Column, preference: tuple[str, ...], any_unit: bool) -> Column:
     listed = [F.when(F.map_contains_key(units, unit), F.lit(unit)) for unit in preference]
     fallback = [F.get(F.map_keys(units), F.lit(0))] if any_unit else []

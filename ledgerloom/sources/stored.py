@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerloom.session import shared_folder
 
@@ -50,6 +51,39 @@ def replace_folder(spark: SparkSession, target: str, write: Callable[[str], None
     system.delete(path(aside), True)
 
 
+def footer_profile(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """(column, rows, present, least, greatest) of number columns of a stored table, from its file footers.
+
+    The newer reader answers counts, minima and maxima from the statistics of the row groups, so that no data page is read.
+    Row groups without a value of a column have no extremes; where there are such, the extremes come from a scan.
+    The answers are single rows, fetched while the two settings they need are in force.
+    """
+    wanted = {"spark.sql.sources.useV1SourceList": "", "spark.sql.parquet.aggregatePushdown": "true"}
+    before = {name: spark.conf.get(name) for name in wanted}
+    counts = [F.count(F.lit(1)).alias("rows"), *[F.count(name).alias(f"{name}__n") for name in columns]]
+    ends = [end(name).alias(f"{name}__{label}") for name in columns for label, end in (("low", F.min), ("high", F.max))]
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        row = spark.read.parquet(path).agg(*counts).first().asDict()
+        try:
+            row |= spark.read.parquet(path).agg(*ends).first().asDict()
+        except Exception as error:
+            if "No min/max found" not in str(error):
+                raise
+            spark.conf.set("spark.sql.parquet.aggregatePushdown", "false")
+            row |= spark.read.parquet(path).agg(*ends).first().asDict()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+    def number(value) -> float | None:
+        return None if value is None else float(value)
+
+    cells = [(n, row["rows"], row[f"{n}__n"], number(row[f"{n}__low"]), number(row[f"{n}__high"])) for n in columns]
+    return spark.createDataFrame(cells, "column string, rows long, present long, least double, greatest double")
+
+
 def store_bucketed(
     df: DataFrame, name: str, keys: Sequence[str], buckets: int, sort: Sequence[str] = (), placed: bool = False
 ) -> None:

@@ -398,6 +398,7 @@ select * from (select *, min(case unit when 'USD' then 0 when 'USD/shares' then
   from document_facts_tx) d where best = case unit when 'USD' then 0 when 'USD/shares' then 1 end"""
 _LONG = "ticker, cik, company, taxonomy, tag, unit, pos, period_end, val, form, fp, filed"
 add("flatten_facts", f"select {_LONG} from document_facts_tx")
+add("flatten_listed", f"select {_LONG} from document_facts_tx where cast(substr(ticker, 2) as bigint) in (select s_suppkey from supplier)")
 add("flatten_variants", f"select {_LONG} from document_facts_tx")
 VIEWS["odd_tx"] = """
 select concat('T', cast(cik as varchar)) as ticker, lpad(cast(cik as varchar), 10, '0') as cik, fp as taxonomy, tag, unit,
@@ -754,6 +755,9 @@ def _covered(name: str) -> str:
 add("coverage", "\nunion all ".join(
     f"select '{n}' as \"column\", {_covered(n)} as coverage_pct from panel_tx" for n in v.PANEL_FIELDS),
     6, ["coverage_pct"])
+add("stored_profile", "\nunion all ".join(
+    f"select '{n}' as \"column\", count(*) as rows, count({n}) as present, cast(min({n}) as double) as least, cast(max({n}) as double) as greatest "
+    f"from panel_tx" for n in ["cik", "fiscal_quarter", *v.PANEL_FIELDS]))
 add("missing_counts", "\nunion all ".join(
     f"select '{n}' as \"column\", cast(count_if({n} is null) as bigint) as missing from panel_tx" for n in _ALL_PANEL))
 add("distinct_counts", "\nunion all ".join(

@@ -29,8 +29,8 @@ from ledgerloom.operators.quantiles import exact_quantiles
 from ledgerloom.operators.ranks import percent_ranks
 from ledgerloom.plans import panels
 from ledgerloom.plans.cleaning import clean_panel
-from ledgerloom.session import cut_lineage
-from ledgerloom.sources import documents, landing, stored, variants
+from ledgerloom.session import cut_lineage, intermediates, shared_folder
+from ledgerloom.sources import documents, landing, stored, tables, variants
 from ledgerloom.workload import views as v
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -281,6 +281,13 @@ def flatten_facts(spark, sf_dir):
     return documents.flatten_facts(v.fact_documents(spark, sf_dir)).select(*LONG)
 
 
+@query
+def flatten_listed(spark, sf_dir):
+    """Values of the companies whose number is a supplier's, too: the other documents are left closed."""
+    tickers = v.table(spark, sf_dir, "supplier").select(F.concat(F.lit("T"), F.col("s_suppkey").cast("string")).alias("ticker"))
+    return documents.flatten_facts(documents.only_listed(v.fact_documents(spark, sf_dir), tickers)).select(*LONG)
+
+
 @query
 def flatten_variants(spark, sf_dir):
     """The same values from documents read as variants."""
@@ -743,6 +750,17 @@ def coverage(spark, sf_dir):
     return v.rounded(quality.coverage(v.panel(spark, sf_dir), v.PANEL_FIELDS))
 
 
+@query
+def stored_profile(spark, sf_dir):
+    """Coverage and ranges of a written panel, from the footers of its files."""
+    with intermediates(spark):
+        folder = f"{shared_folder(spark)}/profiled/{uuid.uuid4().hex}"
+        tables.write_panel(v.panel(spark, sf_dir), folder, order=("cik", "period_end"))
+        found = stored.footer_profile(spark, folder, ["cik", "fiscal_quarter", *v.PANEL_FIELDS])
+        stored.delete_folder(spark, folder)
+    return found
+
+
 @query
 def missing_counts(spark, sf_dir):
     return quality.missing_counts(v.panel(spark, sf_dir))
