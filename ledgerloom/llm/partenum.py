@@ -11,8 +11,8 @@ that share a signature; within a group, pairs whose sketches allow the similarit
 components. Equal sets count once from the start. Each set of a group first takes one allowed partner, which
 connects copies without listing their pairs. Sets of different components that are still allowed to be similar are
 not listed as pairs either: a cell names each such set once, with the smallest component it is tied to there, and
-what is tied together is a family. The sets of a family meet in cells of bounded size, where all pairs of different
-components are counted exactly and only links that join two components leave. These links connect every component. Whoever asks for all links, or for their number, has the sets of each component
+what is tied together is a family. The sets of a family meet in cells of bounded size, where all allowed pairs of
+different components are counted exactly and only links that join two components leave. These links connect every component. Whoever asks for all links, or for their number, has the sets of each component
 compared with each other: every pair of a component meets in exactly one cell.
 """
 
@@ -369,32 +369,28 @@ def _links_of_family(threshold: Fraction):
     """Of the cells of families, similar pairs (a, b) that join two components there: fewer than components."""
     up, down = threshold.numerator, threshold.denominator
 
-    def cell(nodes, component, sets, left, right, one):
+    def cell(nodes, component, sets, left, right):
         n = np.array([len(x) for x in sets])
+        flat = folded([sketch_of(x) for x in sets])
         right = right[np.argsort(n[right], kind="stable")]
-        different, ids = np.unique(np.concatenate([sets[i] for i in right]), return_inverse=True)
-        starts = np.concatenate([[0], np.cumsum(n[right])])
-        marked = np.zeros(len(different) + 1, np.int32)
         names, place = np.unique(component, return_inverse=True)
         root = np.arange(len(names))
         for x in left:
             # sizes of possible partners: threshold * n <= m <= n / threshold
             lo = np.searchsorted(n[right], -(-up * n[x] // down))
             hi = np.searchsorted(n[right], down * n[x] // up, "right")
-            own = right[lo:hi]
-            if not len(own) or (root[place[own]] == root[place[x]]).all():
-                continue
-            at = np.searchsorted(different, sets[x])
-            known = at[different[np.minimum(at, len(different) - 1)] == sets[x]]
-            marked[known] = 1
-            shared = np.add.reduceat(marked[ids[starts[lo] : starts[hi]]], starts[lo:hi] - starts[lo], dtype=np.int64)
-            marked[known] = 0
-            y = own[down * shared >= up * (n[x] + n[own] - shared)]
+            y = right[lo:hi]
             y = y[root[place[y]] != root[place[x]]]
-            if len(y):
-                others, first = np.unique(root[place[y]], return_index=True)
-                yield from ((nodes[x], nodes[z]) for z in y[first])
-                _join(root, place[x], others)
+            if not len(y):
+                continue
+            total, apart = n[y] + n[x], np.abs(flat[y] - flat[x]).sum(1, dtype=np.int64)
+            for z in y[down * (total - apart) >= up * (total + apart)]:
+                if root[place[z]] == root[place[x]]:
+                    continue
+                shared = len(np.intersect1d(sets[x], sets[z], assume_unique=True))
+                if down * shared >= up * (n[x] + n[z] - shared):
+                    yield nodes[x], nodes[z]
+                    _join(root, place[x], root[place[z]][None])
 
     def run(batches):
         for rows, cuts in key_runs(batches, ["family", "low", "high"]):
@@ -406,7 +402,7 @@ def _links_of_family(threshold: Fraction):
                 sets = [np.frombuffer(v.as_buffer(), np.uint64) for v in part["elements"]]
                 left, right = np.flatnonzero(side), np.flatnonzero(side if one else ~side)
                 if len(left) and len(right):
-                    found += cell(part["node"].to_numpy(), part["component"].to_numpy(), sets, left, right, one)
+                    found += cell(part["node"].to_numpy(), part["component"].to_numpy(), sets, left, right)
             if found:
                 both = np.sort(np.array(found, np.int64), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])

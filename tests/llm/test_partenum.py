@@ -141,3 +141,40 @@ def test_all_links_equal_brute_force(spark, monkeypatch, block):
     counted, links = partenum.jaccard_links(documents(spark, rows), 5, 80)
     n = [(rows[i][0], sum(alike(sets[i], sets[j]) for j in own if j != i) if i in own else None) for i in range(len(rows))]
     assert sorted(((r.doc_id, r.n_links) for r in counted.collect()), key=str) == sorted(n, key=str)
+
+
+def _reach(nodes, edges):
+    """The smallest node that each node is connected with."""
+    low = {n: n for n in nodes}
+    for _ in nodes:
+        for a, b in edges:
+            low[a] = low[b] = min(low[a], low[b])
+    return low
+
+
+@pytest.mark.parametrize("split", [False, True])
+def test_family_cells_join_what_all_pairs_join(split):
+    """Near sets around the threshold, some known to belong together: the few links connect what all true pairs do."""
+    rng = np.random.default_rng(3 + split)
+    base = [np.unique(rng.integers(1, 1 << 62, 90).astype(np.uint64)) for _ in range(4)]
+    sets = []
+    for i in range(60):
+        keep = rng.random(len(base[i % 4])) < 0.92
+        sets.append(np.unique(np.concatenate([base[i % 4][keep], rng.integers(1, 1 << 62, 4).astype(np.uint64)])))
+    nodes, component = np.arange(60) + 1000, np.arange(60) + 1000
+    component[20:30] = 1020  # joined before, whatever their sets
+    threshold = Fraction(4, 5)
+    shared = lambda x, y: len(np.intersect1d(x, y))
+    true = [(i, j) for i in range(60) for j in range(i) if 5 * shared(sets[i], sets[j]) >= 4 * (len(sets[i]) + len(sets[j]) - shared(sets[i], sets[j]))]
+    block = np.arange(60) % 2 if split else np.zeros(60, int)
+    rows = []
+    for low, high in {(min(a, b), max(a, b)) for a in block for b in block}:
+        rows += [(7, low, high, block[i], nodes[i], component[i], sets[i].tobytes()) for i in range(60) if block[i] in (low, high)]
+    names = ["family", "low", "high", "block", "node", "component", "elements"]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=names)
+    found = [tuple(r.values()) for out in partenum._links_of_family(threshold)(iter([batch])) for r in out.to_pylist()]
+    known = [(component[i], nodes[i]) for i in range(60)]
+    want = _reach(nodes, [*known, *((nodes[i], nodes[j]) for i, j in true)])
+    assert _reach(nodes, [*known, *found]) == want and len(set(want.values())) > 4
+    assert {(min(a, b), max(a, b)) for a, b in found} <= {(nodes[j], nodes[i]) for i, j in true}
+    assert len(found) < (3 if split else 1) * 60
