@@ -31,7 +31,7 @@ def test_other_queries_cover_the_table(spark, name):
     got = REGISTRY[name](spark, SF_DIR)
     assert got.columns and got.count() > 0
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
-    if name not in ("op4_compact_windows", "op5_temperature_mix"):
+    if name not in ("op4_compact_windows", "op5_temperature_mix", "op13_variable_grams"):
         assert docs.join(got.select("doc_id"), "doc_id", "left_anti").count() == 0
 
 
