@@ -13,6 +13,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 # Words a worker remembers: a bound on memory; further words are encoded each time they come.
 KEPT_WORDS = 250_000
@@ -47,7 +48,7 @@ class Encoder:
         self.widths = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, number in vocab.items():
             self.widths[number] = len(token)  # one character of the byte alphabet for each byte
-        self.slots: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())  # the words of the first places of the pool
         self.pool = np.zeros(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 14, np.int64)
         self.lengths = np.zeros(1 << 14, np.int64)
@@ -96,7 +97,7 @@ class Encoder:
         np.cumsum(lengths, out=ends[1:])
         ids = self.pool[np.repeat(self.starts[slots] - ends[:-1], lengths) + np.arange(ends[-1])]
         if self.words > KEPT_WORDS:  # the slots past the bound served this call only
-            self.words, self.used = max(kept[0], len(self.slots)), self._end(max(kept[0], len(self.slots)))
+            self.words, self.used = max(kept[0], len(self.known)), self._end(max(kept[0], len(self.known)))
         return ids, ends[np.searchsorted(bounds, offsets)]
 
     def _end(self, words: int) -> int:
@@ -104,24 +105,28 @@ class Encoder:
 
     def _slots(self, words: pa.Array) -> np.ndarray:
         """The place of each word's ids in the pool; unknown words are encoded first."""
-        texts = words.to_pylist()
-        found = np.fromiter((self.slots.get(w, -1) for w in texts), np.int64, len(texts))
+        found = pc.fill_null(pc.index_in(words, value_set=self.known), -1).to_numpy().astype(np.int64)
         missing = np.flatnonzero(found < 0)
         if len(missing):
-            new = [texts[i] for i in missing]
-            found[missing] = self._learn(new)
+            found[missing] = self._learn(words.take(pa.array(missing)))
         return found
 
-    def _learn(self, words: list[str]) -> np.ndarray:
+    def _learn(self, words: pa.Array) -> np.ndarray:
+        data, offsets = _bytes(words)
+        sizes, last = np.diff(offsets), data[offsets[1:] - 1]
         # joined, a word must begin with a blank and end so that the next word's blank starts a token
-        plain = np.fromiter((w[0] in " \n" and ("\x20" < w[-1] < "\x7f" or "À" <= w[-1] <= "߿") for w in words), bool, len(words))
+        wide = (sizes > 1) & (data[offsets[1:] - 2] >= 0xC3) & (data[offsets[1:] - 2] <= 0xDF)
+        plain = np.isin(data[offsets[:-1]], (0x20, 0x0A)) & (((last > 0x20) & (last < 0x7F)) | wide)
         order = np.concatenate([np.flatnonzero(plain), np.flatnonzero(~plain)])
-        smooth = [words[i] for i in np.flatnonzero(plain)]
-        joined = ["".join(smooth[i : i + JOINED_WORDS]) for i in range(0, len(smooth), JOINED_WORDS)]
-        odd = [words[i] for i in np.flatnonzero(~plain)]
+        sorted_words = words.take(pa.array(order))
+        own, cuts = _bytes(sorted_words)
+        smooth = int(plain.sum())
+        groups = np.append(np.arange(0, smooth, JOINED_WORDS), smooth)
+        joined = [own[cuts[a] : cuts[b]].tobytes().decode() for a, b in zip(groups, groups[1:])]
+        odd = sorted_words.slice(smooth).to_pylist()
         coded = self.tokenizer.encode_batch_fast(joined + odd, add_special_tokens=False)
         ids = np.concatenate([np.array(x.ids, np.uint32) for x in coded])
-        ends = np.cumsum(np.fromiter((len(words[i].encode()) for i in order), np.int64, len(order)))
+        ends = np.cumsum(sizes[order])
         stops = np.searchsorted(np.cumsum(self.widths[ids]), ends) + 1
         begins = np.concatenate([[0], stops[:-1]])
         first, self.words = self.words, self.words + len(order)
@@ -134,8 +139,13 @@ class Encoder:
         self.lengths[first : self.words] = stops - begins
         self.used += len(ids)
         places = np.arange(first, self.words)
-        for i, place in zip(order[: max(0, KEPT_WORDS - first)], places):
-            self.slots[words[i]] = int(place)
+        self.known = pa.concat_arrays([self.known, sorted_words.slice(0, max(0, KEPT_WORDS - first))])
         slots = np.empty(len(words), np.int64)
         slots[order] = places
         return slots
+
+
+def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a large string array, and where each string starts and ends in them."""
+    offsets = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    return np.frombuffer(words.buffers()[2], np.uint8), offsets
