@@ -33,3 +33,9 @@ def test_profiles_of_all_customers_with_orders(spark, tables):
     missing = {r["row_id"] for r in found.where("entity_type is null").collect()}
     assert missing == {0, 1, *range(30, 36)}  # company 0 is none
     assert difference(REGISTRY["profile_join"](spark, tables), connect(tables), SQL["profile_join"]) is None
+
+
+def test_worklist_is_of_customers_without_orders(spark, tables):
+    found = {r["row_id"] for r in REGISTRY["fetch_worklist"](spark, tables).collect()}
+    assert found and found <= set(range(30, 36))
+    assert difference(REGISTRY["fetch_worklist"](spark, tables), connect(tables), SQL["fetch_worklist"]) is None
