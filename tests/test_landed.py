@@ -39,3 +39,9 @@ def test_worklist_is_of_customers_without_orders(spark, tables):
     found = {r["row_id"] for r in REGISTRY["fetch_worklist"](spark, tables).collect()}
     assert found and found <= set(range(30, 36))
     assert difference(REGISTRY["fetch_worklist"](spark, tables), connect(tables), SQL["fetch_worklist"]) is None
+
+
+def test_summary_counts_all_customers_with_orders(spark, tables):
+    found = {r["stage"]: r["rows"] for r in REGISTRY["universe_match_summary"](spark, tables).collect()}
+    assert found["started"] == 40 and found["matched"] == 33 and 0 < found["kept"] < 33
+    assert difference(REGISTRY["universe_match_summary"](spark, tables), connect(tables), SQL["universe_match_summary"]) is None
