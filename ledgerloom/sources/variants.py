@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.text import zero_fill
 
+RECORDS = "array<struct<end string, val variant, form string, fp string, filed string>>"
+
 
 def parse_variants(texts: DataFrame) -> DataFrame:
     """Add ``doc``; text that is not valid JSON, or names a key of one object twice, gives NULL."""
@@ -55,32 +57,31 @@ def flatten_variants(
     names += ["taxonomy", "tag"]
     units = bodies.select(*names, F.try_variant_get("body", "$.units", "map<string, variant>").alias("units"))
     if unit_preference is None:
-        listed = units.select(*names, F.posexplode(F.array_sort(F.map_entries("units"), _by_key)).alias("unit_pos", "entry"))
-        listed = listed.select(*names, "unit_pos", F.col("entry.key").alias("unit"), F.col("entry.value").alias("records"))
+        listed = units.select(*names, "units", F.posexplode(F.sort_array(F.map_keys("units"))).alias("unit_pos", "unit"))
+        listed = listed.select(*names, "unit_pos", "unit", F.try_element_at("units", F.col("unit")).alias("records"))
         names.append("unit_pos")
     else:
         choice = F.coalesce(*[F.when(_is_list(F.try_element_at("units", F.lit(u))), F.lit(u)) for u in unit_preference])
         chosen = units.withColumn("unit", choice).where(F.col("unit").isNotNull())
         listed = chosen.select(*names, "unit", F.try_element_at("units", F.col("unit")).alias("records"))
-    records = listed.select(*names, "unit", F.posexplode(F.try_variant_get("records", "$", "array<variant>")).alias("pos", "record"))
-    raw = F.try_variant_get("record", "$.val", "variant")
-    value = F.when(F.schema_of_variant(raw) != "BOOLEAN", F.try_variant_get("record", "$.val", "double"))
+    # one walk over a list opens its records; a field of the wrong kind is NULL, as is a record that is no object
+    records = listed.select(*names, "unit", F.posexplode(F.try_variant_get("records", "$", RECORDS)).alias("pos", "record"))
+    raw = F.col("record.val")
+    number = F.try_variant_get(raw, "$", "double")
+    # a truth value reads as 0 or 1: only these are asked for their kind
+    value = F.when(number.isNotNull() & (~number.isin(0.0, 1.0) | (F.schema_of_variant(raw) != "BOOLEAN")), number)
     return records.select(
         *names,
         "unit",
         "pos",
-        text("record", "$.end").try_cast("date").alias("period_end"),
+        F.col("record.end").try_cast("date").alias("period_end"),
         F.when(~F.isnan(value), value).alias("val"),
-        text("record", "$.form").alias("form"),
-        text("record", "$.fp").alias("fp"),
-        text("record", "$.filed").try_cast("date").alias("filed"),
+        F.col("record.form").alias("form"),
+        F.col("record.fp").alias("fp"),
+        F.col("record.filed").try_cast("date").alias("filed"),
         F.when(value.isNull() & ~F.is_variant_null(raw), F.to_json(raw)).alias("raw_val"),
     )
 
 
-def _by_key(a: Column, b: Column) -> Column:
-    return F.when(a["key"] < b["key"], -1).when(a["key"] > b["key"], 1).otherwise(0)
-
-
 def _is_list(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("ARRAY")

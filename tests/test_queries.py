@@ -74,3 +74,10 @@ def test_scan_reads_only_needed_columns(spark):
 def test_forward_fill_of_all_columns_is_one_window(spark):
     text = plan(QUERIES["ffill"](spark, SF_DIR))
     assert len(re.findall(r"^\W*Window ", text, re.M)) == 1
+
+
+def test_odd_documents_are_put_together_within_a_filer(spark):
+    """The lines are dealt by filer once; no grouping deals the growing texts again."""
+    text = plan(views.odd_fact_texts(spark, SF_DIR))
+    dealt = re.findall(r"Exchange hashpartitioning\((cik[^)]*)\)", text)
+    assert len(dealt) == 1 and dealt[0].count("#") == 1

@@ -160,3 +160,20 @@ def test_variants_keep_what_a_schema_loses(spark, tmp_path):
     ]
     chosen = variants.flatten_variants(parsed, tags=["Assets", "Equity"], unit_preference=("shares", "USD"))
     assert rows(chosen.select("tag", "unit", "raw_val")) == [("Assets", "USD", "true")]
+
+
+def test_truth_values_and_records_of_the_wrong_kind(spark):
+    records = '[{"val":1,"end":5},{"val":true},{"val":false},{"val":"0"},{"val":null},7,{"val":1e0,"form":2}]'
+    text = '{"cik":3,"facts":{"g":{"T":{"units":{"b":' + records + ',"a":{},"c":[[]]}}}}}'
+    parsed = variants.parse_variants(spark.createDataFrame([("X", text)], "ticker string, text string"))
+    got = variants.flatten_variants(parsed).select("unit", "unit_pos", "pos", "period_end", "val", "form", "raw_val")
+    assert [tuple(r) for r in got.orderBy("unit", "pos").collect()] == [
+        ("b", 1, 0, None, 1.0, None, None),
+        ("b", 1, 1, None, None, None, "true"),
+        ("b", 1, 2, None, None, None, "false"),
+        ("b", 1, 3, None, 0.0, None, None),
+        ("b", 1, 4, None, None, None, None),
+        ("b", 1, 5, None, None, None, None),
+        ("b", 1, 6, None, 1.0, "2", None),
+        ("c", 2, 0, None, None, None, None),
+    ]
