@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.session import shared_folder
 
+BUCKET_ROWS = 250_000
+
 
 def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
@@ -84,6 +86,11 @@ def footer_profile(spark: SparkSession, path: str, columns: Sequence[str]) -> Da
     return spark.createDataFrame(cells, "column string, rows long, present long, least double, greatest double")
 
 
+def bucket_count(rows: int, least: int = 8) -> int:
+    """Buckets for a table of so many rows: each stays small enough for one task, however many there are."""
+    return max(least, -(-rows // BUCKET_ROWS))
+
+
 def store_bucketed(
     df: DataFrame, name: str, keys: Sequence[str], buckets: int, sort: Sequence[str] = (), placed: bool = False
 ) -> None:

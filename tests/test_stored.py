@@ -12,6 +12,7 @@ from ledgerloom import session
 from ledgerloom.operators import clean, facts, fold
 from ledgerloom.sources import documents as docs
 from ledgerloom.sources import stored, tables, variants
+from ledgerloom.workload import queries
 
 KEYS = ["cik", "tag", "period_end"]
 
@@ -177,3 +178,28 @@ def test_truth_values_and_records_of_the_wrong_kind(spark):
         ("b", 1, 6, None, 1.0, "2", None),
         ("c", 2, 0, None, None, None, None),
     ]
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    assert [stored.bucket_count(n) for n in (0, 2_000_000, 25_000_000)] == [8, 8, 100]
+    day = "timestamp'1995-02-01' + make_interval(0, 0, 0, cast(id % 900 as int))"
+    lines = spark.range(1000).selectExpr(
+        "id as l_orderkey", "id % 7 as l_partkey", "id % 5 as l_suppkey", "1 as l_linenumber", "'A' as l_returnflag",
+        "'F' as l_linestatus", f"{day} as l_shipdate", "cast(id as double) as l_extendedprice",
+    )
+    orders = spark.range(1000).selectExpr(
+        "id as o_orderkey", "id % 40 as o_custkey", "'2-HIGH' as o_orderpriority", "'F' as o_orderstatus", f"{day} as o_orderdate"
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    used, keep = [], fold.FoldTable.__init__
+
+    def seen(self, spark, name, keys, carry, buckets, **rest):
+        used.append(buckets)
+        keep(self, spark, name, keys, carry, buckets, **rest)
+
+    monkeypatch.setattr(fold.FoldTable, "__init__", seen)
+    monkeypatch.setattr(stored, "BUCKET_ROWS", 100)
+    found = queries.latest_filing_in_batches(spark, str(tmp_path))
+    assert used == [10]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, queries.latest_filing(spark, str(tmp_path)).select(*found.columns).collect()))
